@@ -49,10 +49,12 @@ def page_log_of(events: DataFrame) -> DataFrame:
     came_from = F.when(kind.isin("signup", "view"), F.lit(None).cast("string")).otherwise(
         F.when(kind == "click", "search").otherwise("home")
     )
-    first = item.cast("int")
-    shown = F.filter(F.array(*[F.struct(
-        (first + n).cast("string").alias("item"), F.lit("sku_id").alias("item_type"), F.lit(n).alias("n")
-    ) for n in range(2)]), lambda d: d["n"] < F.col("event_id") % 3)
+    second = (item.cast("int") + 1).cast("string")
+    both = F.array(*[
+        F.struct(shown.alias("item"), F.lit("sku_id").alias("item_type"))
+        for shown in (item, second)
+    ])
+    shown = F.slice(both, F.lit(1), (F.col("event_id") % 3).cast("int"))
     return events.select(
         "event_id",
         F.struct(
@@ -69,7 +71,7 @@ def page_log_of(events: DataFrame) -> DataFrame:
             F.lit("sku_id").alias("item_type"),
             F.floor(F.col("value") * 1000).cast("long").alias("during_time"),
         ).alias("page"),
-        F.transform(shown, lambda d: d.dropFields("n")).alias("displays"),
+        shown.alias("displays"),
         F.unix_millis(_moment("ts")).alias("ts"),
     )
 
@@ -210,12 +212,15 @@ def dim_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _name_id(column: str) -> Column:
+    """Number for a name: the first 32 bits of its digest."""
+    return F.conv(F.substring(F.md5(F.col(column).cast("binary")), 1, 8), 16, 10)
+
+
 def _named(spark: SparkSession, sf_dir: str, column: str, name: str) -> DataFrame:
-    """Dimension of the distinct names of a part column; the id is the least part key."""
-    parts = table(spark, sf_dir, "part")
-    return parts.groupBy(F.col(column).alias(name)).agg(
-        F.min("p_partkey").cast("string").alias("id")
-    ).select("id", name)
+    """Dimension of the distinct names of a part column."""
+    parts = table(spark, sf_dir, "part").select(F.col(column).alias(name)).distinct()
+    return parts.select(_name_id(name).alias("id"), name)
 
 
 def dim_spu(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,19 +236,13 @@ def dim_category3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part")
-    for column, dim, name, key in [
-        ("p_name", dim_spu(spark, sf_dir), "spu_name", "spu_id"),
-        ("p_brand", dim_trademark(spark, sf_dir), "tm_name", "tm_id"),
-        ("p_type", dim_category3(spark, sf_dir), "name", "category3_id"),
-    ]:
-        side = dim.select(F.col("id").alias(key), F.col(name).alias(f"_{key}"))
-        parts = parts.join(side, F.col(column) == F.col(f"_{key}"), "left")
-    return parts.select(
+    return table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("id"),
         F.concat(F.col("p_name"), F.lit(" "), F.col("p_size").cast("string")).alias("sku_name"),
         F.col("p_retailprice").cast("decimal(16,2)").cast("string").alias("price"),
-        "category3_id", "spu_id", "tm_id",
+        _name_id("p_type").alias("category3_id"),
+        _name_id("p_name").alias("spu_id"),
+        _name_id("p_brand").alias("tm_id"),
     )
 
 

@@ -16,17 +16,20 @@ from tidemart.functions.times import as_column
 
 RUN = "[a-z0-9]+"
 PART = "[a-z]+|[0-9]+"
+MIXED = "[a-z][0-9]|[0-9][a-z]"
 HAN_RUN = "[\\u4e00-\\u9fff]+"
 
 
-def latin_tokens(text: Column | str) -> Column:
-    """Array of the letter and digit tokens of one text, in no promised order."""
-    whole = F.regexp_extract_all(F.lower(as_column(text)), F.lit(RUN), F.lit(0))
-    mixed = F.filter(whole, lambda run: run.rlike("[a-z]") & run.rlike("[0-9]"))
-    parts = F.transform(
-        mixed, lambda run: F.regexp_extract_all(run, F.lit(PART), F.lit(0))
-    )
-    return F.concat(whole, F.flatten(parts))
+def letter_runs(text: Column | str) -> Column:
+    """Array of the letter and digit runs of a text, lower-case."""
+    return F.regexp_extract_all(F.lower(as_column(text)), F.lit(RUN), F.lit(0))
+
+
+def run_tokens(run: Column | str) -> Column:
+    """Array of the tokens of one run: itself and, if it is mixed, its parts."""
+    run = as_column(run)
+    parts = F.regexp_extract_all(run, F.lit(PART), F.lit(0))
+    return F.when(run.rlike(MIXED), F.concat(F.array(run), parts)).otherwise(F.array(run))
 
 
 def han_tokens(df: DataFrame, text: str, words: DataFrame, keyword: str) -> DataFrame:
@@ -66,7 +69,8 @@ def keyword_rows(
     df: DataFrame, text: str, keyword: str = "keyword", words: DataFrame | None = None
 ) -> DataFrame:
     """One row per token; texts without a token vanish."""
-    found = df.select("*", F.explode(latin_tokens(text)).alias(keyword))
+    runs = df.select("*", F.explode(letter_runs(text)).alias("_run"))
+    found = runs.select(*df.columns, F.explode(run_tokens("_run")).alias(keyword))
     if words is None:
         return found
     return found.unionByName(han_tokens(df, text, words, keyword))
@@ -75,19 +79,18 @@ def keyword_rows(
 def register_keyword_function(spark: SparkSession, name: str = "keyword_tokens") -> None:
     """Table function for SQL: ``from t, lateral keyword_tokens(t.text)``.
 
-    It is an SQL function, so the plan is the same generator as ``keyword_rows`` and no
-    Python worker is started.
+    It is an SQL function, so it becomes a generator in the plan and no Python worker is
+    started. One generator is used and not two, which keeps the watermark of a stream.
     """
     spark.sql(
         f"""
         create or replace temporary function {name}(txt string)
         returns table (keyword string)
-        return select explode(concat(
+        return select explode(flatten(transform(
             regexp_extract_all(lower(txt), '{RUN}', 0),
-            flatten(transform(
-                filter(regexp_extract_all(lower(txt), '{RUN}', 0),
-                       run -> run rlike '[a-z]' and run rlike '[0-9]'),
-                run -> regexp_extract_all(run, '{PART}', 0)))))
+            run -> case when run rlike '{MIXED}'
+                        then concat(array(run), regexp_extract_all(run, '{PART}', 0))
+                        else array(run) end)))
         """
     )
 

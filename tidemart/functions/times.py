@@ -12,8 +12,13 @@ def as_column(value: Column | str) -> Column:
 
 
 def parse_time(text: Column | str) -> Column:
-    """Timestamp of ``yyyy-MM-dd HH:mm:ss`` text; null where it cannot be read."""
-    return F.try_to_timestamp(as_column(text), F.lit(TEXT_FORMAT))
+    """Timestamp of ``yyyy-MM-dd HH:mm:ss`` text; null where it cannot be read.
+
+    The cast reads this form several times faster than a parser with a pattern. It also
+    reads shorter and longer forms, which the length rules out.
+    """
+    text = as_column(text)
+    return F.when(F.length(text) == len(TEXT_FORMAT), text.try_cast("timestamp"))
 
 
 def parse_millis(text: Column | str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemart import schemas
+from tidemart.functions.once import once
 
 # Operation letters of the capture tool.
 OPERATIONS = {"c": "create", "r": "read", "u": "update", "d": "delete"}
@@ -34,7 +35,7 @@ def normalize(
     kind = F.when(named.isin(inserts), F.lit("insert")).otherwise(named)
     parts = F.split(F.col(topic), "\\.")
     empty = F.create_map().cast(schemas.TEXT_MAP)
-    return raw.withColumn("_e", event).select(
+    return raw.select("*", once(event).alias("_e")).select(
         *keep,
         F.get(parts, F.lit(1)).alias("database"),
         F.get(parts, F.lit(2)).alias("tableName"),

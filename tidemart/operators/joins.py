@@ -1,9 +1,10 @@
 """Joins by key and time, and lookups in dimension tables.
 
-No join here carries a broadcast hint. Spark broadcasts a side only when its size is
+No join here carries a broadcast hint. Spark broadcasts a dimension only when its size is
 known to lie under ``spark.sql.autoBroadcastJoinThreshold`` (at planning time or, with
 adaptive execution, from the finished shuffle); beyond that it sorts and merges, and
-splits skewed partitions.
+splits skewed partitions. Joins of two facts ask for a merge: the estimate for a fact file
+is that of its compressed size, and too weak a ground for collecting it on the driver.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ def _sliced(
     spots = F.sequence(slice_of(there - upper, width), slice_of(there - lower, width))
     copied = copied.select("*", F.explode(spots).alias("_copy_slice"))
     close = there.between(here + lower, here + upper)
-    joined = fixed.join(copied, keys & (F.col("_slice") == F.col("_copy_slice")) & close, how)
+    near = keys & (F.col("_slice") == F.col("_copy_slice")) & close
+    joined = fixed.join(copied.hint("merge"), near, how)
     return joined.drop("_slice", "_copy_slice")
 
 

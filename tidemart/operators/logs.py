@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemart import schemas
+from tidemart.functions.once import once
 
 _BROKEN = "_broken"
 
@@ -17,9 +18,8 @@ def parse_log(raw: DataFrame, value: str = "value") -> DataFrame:
     or, unless they are start records, without ``page``. Good lines have no reason.
     """
     schema = StructType([*schemas.APP_LOG.fields, StructField(_BROKEN, StringType())])
-    parsed = raw.withColumn(
-        "_log", F.from_json(value, schema, {"columnNameOfCorruptRecord": _BROKEN})
-    )
+    record = F.from_json(value, schema, {"columnNameOfCorruptRecord": _BROKEN})
+    parsed = raw.select("*", once(record).alias("_log"))
     reason = (
         F.when(F.col("_log").isNull() | F.col(f"_log.{_BROKEN}").isNotNull(), "not_json")
         .when(F.col("_log.common").isNull(), "no_common")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart import schemas
+from tidemart.functions.once import once
 from tidemart.functions.times import age_years, parse_millis
 from tidemart.operators.joins import LEFT, RIGHT, enrich, interval_join
 
@@ -14,17 +15,17 @@ SECOND, MINUTE = 1_000, 60_000
 def parse_orders(orders: DataFrame) -> DataFrame:
     """Add date, two-digit hour and epoch milliseconds of the creation time."""
     halves = F.split("create_time", " ")
-    return orders.select(
-        "*",
+    return parse_created(orders).select(
+        *orders.columns,
         F.get(halves, F.lit(0)).alias("create_date"),
         F.get(F.split(F.get(halves, F.lit(1)), ":"), F.lit(0)).alias("create_hour"),
-        parse_millis("create_time").alias("create_ts"),
+        "create_ts",
     )
 
 
 def parse_created(df: DataFrame) -> DataFrame:
     """Add the epoch milliseconds of the creation time (details and payments)."""
-    return df.withColumn("create_ts", parse_millis("create_time"))
+    return df.select("*", once(parse_millis("create_time")).alias("create_ts"))
 
 
 def bad_times(parsed: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemart.functions.times import millis_date, slice_of
 
@@ -13,7 +13,7 @@ MATCHED, TIMED_OUT = "matched", "timeout"
 SLICES_PER_TIMEOUT = 32
 
 
-def is_entry():
+def is_entry() -> Column:
     """A visit begins on a page that no other page led to."""
     return F.col("page.last_page_id").isNull()
 
@@ -29,6 +29,15 @@ def unique_visits(pages: DataFrame, order: tuple[str, ...] = ("ts", "event_id"))
     return dated.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n", "_day")
 
 
+def look_ahead_slices(time: Column, timeout: int, width: int) -> Column:
+    """The slices a record belongs to: its own and, at the head of it, the one before."""
+    if width < timeout:
+        raise ValueError("a slice must be at least as long as the timeout")
+    own = slice_of(time, width)
+    at_head = time - own * width < timeout
+    return F.when(at_head, F.array(own - 1, own)).otherwise(F.array(own))
+
+
 def bounce_details(
     pages: DataFrame, timeout: int, order: tuple[str, ...] = ("ts", "event_id"),
     width: int | None = None, kind: str = "bounce_kind",
@@ -45,12 +54,8 @@ def bounce_details(
     sorted in one task.
     """
     width = width or SLICES_PER_TIMEOUT * timeout
-    if width < timeout:
-        raise ValueError("a slice must be at least as long as the timeout")
     time = F.col(order[0])
-    own = slice_of(time, width)
-    at_head = time - own * width < timeout
-    spots = F.when(at_head, F.array(own - 1, own)).otherwise(F.array(own))
+    own, spots = slice_of(time, width), look_ahead_slices(time, timeout, width)
     decided = is_entry() & (F.col("_slice") == own)
     spread = pages.select("*", F.explode(spots).alias("_slice")).select(
         "_slice", *order, F.col("common.mid").alias("_mid"),

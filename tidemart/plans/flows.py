@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart import bind, schemas
 from tidemart.operators import joins, logs, orders, stats, visits
+from tidemart.streaming.run import stored
 
 HOUR, DAY = 3_600_000, 86_400_000
 
@@ -51,11 +52,23 @@ def visit_flow(pages: DataFrame, durations: Durations = Durations(), repair: boo
     )
 
 
+_snowflakes: dict[tuple[str, str], str] = {}
+
+
 def snowflake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.sku_snowflake(
-        bind.dim_sku(spark, sf_dir), bind.dim_spu(spark, sf_dir),
-        bind.dim_trademark(spark, sf_dir), bind.dim_category3(spark, sf_dir),
-    )
+    """The article dimension, from the table that is written once per application.
+
+    Being stored, its size is known when a job is planned, and so is whether it may be
+    broadcast. The estimate for an unfinished join would be the product of its inputs.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _snowflakes:
+        built = joins.sku_snowflake(
+            bind.dim_sku(spark, sf_dir), bind.dim_spu(spark, sf_dir),
+            bind.dim_trademark(spark, sf_dir), bind.dim_category3(spark, sf_dir),
+        )
+        _snowflakes[key] = stored(spark, built, "dim-sku")
+    return spark.read.parquet(_snowflakes[key])
 
 
 def joined_orders(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
@@ -83,28 +96,29 @@ def wide_payments(spark: SparkSession, sf_dir: str, durations: Durations = SPARS
 
 
 def product_measures(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
-    """Only the columns the statistics need survive, so the lookups of the wide rows,
-    which no measure reads, are pruned from the plan."""
-    wide = joined_orders(spark, sf_dir, durations)
+    """Measure rows of all seven inputs.
+
+    The joined orders are stored first, as the layer between the jobs, since both the
+    order rows and the payment join read them. They carry no dimensions: the statistics
+    look those up after aggregating.
+    """
+    joined = joined_orders(spark, sf_dir, durations)
+    wide = joined.select(*[
+        F.col(name) if name in joined.columns else F.lit(None).cast("string").alias(name)
+        for name in schemas.ORDER_WIDE_COLUMNS
+    ])
+    layer = spark.read.schema(wide.schema).parquet(stored(spark, wide, "order-wide"))
     paid = orders.join_payments(
-        orders.parse_created(bind.payment_info(spark, sf_dir)),
-        _as_wide(wide), durations.payment_lower, durations.payment_upper,
+        orders.parse_created(bind.payment_info(spark, sf_dir)), layer,
+        durations.payment_lower, durations.payment_upper,
     )
     return stats.product_rows(
         bind.page_log(spark, sf_dir), bind.favor_info(spark, sf_dir),
-        bind.cart_info(spark, sf_dir), wide, paid,
+        bind.cart_info(spark, sf_dir), layer, paid,
         bind.refund_info(spark, sf_dir), bind.comment_info(spark, sf_dir),
     )
 
 
-def _as_wide(joined: DataFrame) -> DataFrame:
-    """Joined rows in the wide shape, with the dimension columns left empty."""
-    return joined.select(*[
-        F.col(name) if name in joined.columns else F.lit(None).cast("string").alias(name)
-        for name in schemas.ORDER_WIDE_COLUMNS
-    ])
-
-
 def product_stats(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
     return stats.product_stats(
         product_measures(spark, sf_dir, durations), snowflake(spark, sf_dir),

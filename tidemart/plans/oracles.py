@@ -17,6 +17,10 @@ def _window(millis: str, width: int) -> str:
     return f"(({millis}) // {width}) * {width}"
 
 
+def _name_id(column: str) -> str:
+    return f"cast('0x' || substr(md5({column}), 1, 8) as bigint)"
+
+
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "pl": ((), """
         select event_id, cast(user_id as varchar) mid, cast(user_id % 3 as varchar) vc,
@@ -122,9 +126,9 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         select n_nationkey id, n_name name, 'area-' || n_nationkey area_code,
                'CN-' || n_nationkey iso_code, r_name || '-' || n_nationkey iso_3166_2
         from nation left join region on n_regionkey = r_regionkey"""),
-    "spu": ((), "select p_name spu_name, min(p_partkey) id from part group by p_name"),
-    "tm": ((), "select p_brand tm_name, min(p_partkey) id from part group by p_brand"),
-    "c3": ((), "select p_type name, min(p_partkey) id from part group by p_type"),
+    "spu": ((), f"select distinct p_name spu_name, {_name_id('p_name')} id from part"),
+    "tm": ((), f"select distinct p_brand tm_name, {_name_id('p_brand')} id from part"),
+    "c3": ((), f"select distinct p_type name, {_name_id('p_type')} id from part"),
     "sku": (("spu", "tm", "c3"), """
         select p_partkey id, p_name || ' ' || p_size sku_name,
                cast(p_retailprice as decimal(16,2)) price, spu.id spu_id, tm.id tm_id,
@@ -578,12 +582,11 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "stream_new_visitor_fix": (("fixed",), "select event_id, mid, is_new from fixed"),
     "stream_unique_visit": (("pl",), f"""
         select distinct mid, substr({_text('ts')}, 1, 10) "day" from pl where last_page_id is null"""),
-    # An entry is given out when the watermark has passed its timeout, rounded up.
+    # An entry is given out when the watermark has passed its timeout.
     "stream_bounce_detail": (("bounce", "pl"), f"""
         select {', '.join('pl.' + c.strip() for c in _FLAT.split(','))}, bounce_kind
         from bounce join pl using (event_id)
-        where ((pl.ts + {6 * HOUR} + {6 * HOUR - 1}) // {6 * HOUR}) * {6 * HOUR}
-              <= (select max(ts) - 14000 from pl)"""),
+        where pl.ts + {6 * HOUR} <= (select max(ts) - 14000 from pl)"""),
     "stream_visitor_stats": (("vs", "pl"), f"""
         select {_VS} from vs where edt <= (select {_text(f'max(ts) - {7 * HOUR}')} from pl)"""),
     "stream_product_stats": (("ps", "pr"), f"""

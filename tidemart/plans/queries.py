@@ -239,9 +239,10 @@ def dim_upsert(spark, d):
     write = table_sinks.dimension_writer(
         f"{out}/dim", "id", shape,
         lambda batch: changes.dimension_rows(batch, "dim_user_info", columns),
+        compact_every=2,
     )
     run.drain_to_batches(routed, write, f"{out}/checkpoint")
-    return table_sinks.read_current(spark, f"{out}/dim", shape)
+    return table_sinks.read_current(spark, f"{out}/dim", shape, "id")
 
 
 @query
@@ -307,7 +308,7 @@ def dim_refresh(spark, d):
     rename = table_sinks.dimension_writer(f"{base}/dim", "id", shape, lambda batch: batch)
 
     def look_up(batch: DataFrame) -> DataFrame:
-        now = table_sinks.read_current(batch.sparkSession, f"{base}/dim", shape)
+        now = table_sinks.read_current(batch.sparkSession, f"{base}/dim", shape, "id")
         return joins.enrich(batch, now, "user_id", {"user_gender": "gender"})
 
     write = fresh_lookup(
@@ -743,7 +744,7 @@ def stream_product_stats(spark, d):
     stream = topic_sources.read_topic(
         own, "product-rows", format="parquet", path=path, schema=rows.schema
     )
-    dims = own.read.parquet(run.stored(spark, flows.snowflake(spark, d), "snowflake"))
+    dims = flows.snowflake(own, d)
     return run.drained(
         spark, stats.product_stats(stream, dims, DURATIONS.product_window), "product-stats"
     )

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemart.operators.changes import upsert
+from tidemart.operators.changes import latest_per_key, upsert
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -55,55 +55,75 @@ def create_dimension(
         spark.catalog.createTable(name, path=path, source=format, schema=schema)
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+# A dimension is a folder of ``base=N`` tables, each whole, and ``delta=N`` tables, each
+# holding the rows one micro-batch changed. N is the number of the batch.
+BASE, DELTA = "base", "delta"
 
 
-def dimension_versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the finished versions of a dimension, oldest first."""
-    files, folder = _file_system(spark, path)
+def _parts(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Numbers of the finished tables of one kind, oldest first."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(folder):
         return []
-    found = []
-    for entry in files.listStatus(folder):
-        name = entry.getPath().getName()
-        done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
-        if name.startswith("version=") and files.exists(done):
-            found.append(int(name.split("=")[1]))
-    return sorted(found)
+    names = [entry.getPath().getName() for entry in files.listStatus(folder)]
+    return sorted(
+        int(name.split("=")[1]) for name in names
+        if name.startswith(f"{kind}=") and files.exists(hadoop.Path(f"{path}/{name}/_SUCCESS"))
+    )
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_current(
-    spark: SparkSession, path: str, schema: StructType, below: int | None = None
+    spark: SparkSession, path: str, schema: StructType, key: str, upto: int | None = None
 ) -> DataFrame:
-    """The newest finished version (older than ``below`` if given); empty before the first."""
-    numbers = [n for n in dimension_versions(spark, path) if below is None or n < below]
-    if not numbers:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/version={numbers[-1]}")
+    """The dimension as of batch ``upto``, by default as of the last one."""
+
+    def numbers(kind: str) -> list[int]:
+        return [n for n in _parts(spark, path, kind) if upto is None or n <= upto]
+
+    bases = numbers(BASE)
+    newest = bases[-1] if bases else -1
+    if bases:
+        current = spark.read.schema(schema).parquet(f"{path}/{BASE}={newest}")
+    else:
+        current = spark.createDataFrame([], schema)
+    deltas = [f"{path}/{DELTA}={n}" for n in numbers(DELTA) if n > newest]
+    if not deltas:
+        return current
+    numbered = StructType([*schema.fields, StructField(DELTA, LongType())])
+    changed = spark.read.schema(numbered).option("basePath", path).parquet(*deltas)
+    return upsert(current, latest_per_key(changed, [key], DELTA).drop(DELTA), key)
 
 
 def dimension_writer(
     path: str, key: str, schema: StructType, prepare: Callable[[DataFrame], DataFrame],
-    keep: int = 3,
+    compact_every: int = 20,
 ) -> BatchWriter:
-    """Writer for ``foreachBatch`` that merges each batch into a new version of the table.
+    """Writer for ``foreachBatch`` that keeps a dimension table up to date.
 
-    ``prepare`` turns a batch into one row per key. A repeated batch writes its version
-    again from the same base, so the result is the same. Readers of an older version are
-    left undisturbed until ``keep`` newer ones exist.
+    ``prepare`` turns a batch into one row per key, which is all that the batch writes.
+    Every ``compact_every`` batches the table is merged into a new base, and tables older
+    than the base before it are removed. A repeated batch replaces its own tables, so the
+    result is the same.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        base = read_current(spark, path, schema, below=batch_id)
-        merged = upsert(base, prepare(batch), key)
-        merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-        files, _ = _file_system(spark, path)
-        for number in dimension_versions(spark, path)[:-keep]:
-            old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version={number}")
-            files.delete(old, True)
+        prepare(batch).write.mode("overwrite").parquet(f"{path}/{DELTA}={batch_id}")
+        if (batch_id + 1) % compact_every:
+            return
+        merged = read_current(spark, path, schema, key, upto=batch_id)
+        merged.write.mode("overwrite").parquet(f"{path}/{BASE}={batch_id}")
+        older = [n for n in _parts(spark, path, BASE) if n < batch_id]
+        for kind in (BASE, DELTA) if older else ():
+            for number in _parts(spark, path, kind):
+                if number < older[-1]:
+                    _remove(spark, f"{path}/{kind}={number}")
 
     return write

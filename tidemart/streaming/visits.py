@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, functions as F
@@ -15,7 +16,8 @@ from pyspark.sql.types import (
     BooleanType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
-from tidemart.functions.times import millis_date, millis_time
+from tidemart.functions.times import millis_date, millis_time, slice_of
+from tidemart.operators.visits import SLICES_PER_TIMEOUT, look_ahead_slices
 
 # The processors travel to the workers by value, so no worker needs this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -108,7 +110,8 @@ def repair_new_flag(pages: DataFrame) -> DataFrame:
 
 _PENDING = StructType([
     StructField("ts", LongType()), StructField("event_id", LongType()),
-    StructField("entry", BooleanType()), StructField("value", StringType()),
+    StructField("entry", BooleanType()), StructField("own", BooleanType()),
+    StructField("value", StringType()),
 ])
 BOUNCE = StructType([
     StructField("mid", StringType()), StructField("event_id", LongType()),
@@ -118,66 +121,67 @@ BOUNCE = StructType([
 
 
 class BounceFinder(StatefulProcessor):
-    """Holds the records of a visitor until the watermark lets their entries be decided.
+    """Holds records of a visitor until the watermark lets their entries be decided.
+
+    The key is a visitor and a slice of time; records at the head of the next slice are
+    here too, as copies that are no ``own`` entries of the slice.
 
-    An entry is due at its time plus the timeout, rounded up to ``grain`` so that a busy
-    visitor sets one timer per grain and not one per record. When the timer fires, every
-    record up to that time has come, in whatever order; they are sorted then.
+    A timer stands at the timeout of the earliest open entry. When it fires, every record
+    up to the watermark has come, in whatever order: they are sorted, all entries that have
+    timed out by then are decided together, and the next timer is set.
     """
 
-    def __init__(self, timeout: int, grain: int) -> None:
-        self._timeout, self._grain = timeout, grain
+    def __init__(self, timeout: int) -> None:
+        self._timeout = timeout
 
     def init(self, handle) -> None:
         self._handle = handle
         self._pending = handle.getListState("pending", _PENDING)
 
-    def _due(self, ts: int) -> int:
-        return -(-(ts + self._timeout) // self._grain) * self._grain
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        due, chunk = set(), []
+        earliest, chunk = None, []
         for row in rows:
-            if row.entry:
-                due.add(self._due(row.ts))
-            chunk.append((row.ts, row.event_id, row.entry, row.value))
+            if row.own and (earliest is None or row.ts < earliest):
+                earliest = row.ts
+            chunk.append((row.ts, row.event_id, row.entry, row.own, row.value))
             if len(chunk) == _CHUNK:
                 self._pending.appendList(chunk)
                 chunk = []
         if chunk:
             self._pending.appendList(chunk)
-        for moment in sorted(due):
-            self._handle.registerTimer(moment)
+        if earliest is not None:
+            self._handle.registerTimer(earliest + self._timeout)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        import datetime
-
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        rows = sorted(self._pending.get(), key=lambda r: (r[0], r[1]))
-        found, kept, undecided = [], [], False
+        seen = timerValues.getCurrentWatermarkInMs()
+        rows = sorted(map(tuple, self._pending.get()), key=lambda row: row[:2])
+        found, kept, open_entry = [], [], None
         for row, after in zip(rows, [*rows[1:], None]):
-            ts, number, entry, value = row
-            if entry and self._due(ts) <= now:
+            ts, number, _, own, value = row
+            if own and ts + self._timeout <= seen:
                 if after is None or after[0] - ts >= self._timeout:
                     kind = "timeout"
                 elif after[2]:
                     kind = "matched"
                 else:
                     continue
-                moment = datetime.datetime.fromtimestamp(ts / 1000, datetime.timezone.utc)
+                moment = datetime.fromtimestamp(ts / 1000, timezone.utc)
                 found.append(Row(mid=key[0], event_id=number, ts=ts, bounce_kind=kind,
                                  value=value, rt=moment))
                 continue
-            undecided = undecided or entry
+            if own and open_entry is None:
+                open_entry = ts
             # Before the first open entry a record matters only if rows before it may
             # still come.
-            if undecided or ts >= now:
-                kept.append(tuple(row))
+            if open_entry is not None or ts >= seen:
+                kept.append(row)
         if kept:
             self._pending.put(kept)
         else:
             self._pending.clear()
+        if open_entry is not None:
+            self._handle.registerTimer(open_entry + self._timeout)
         return iter(found)
 
     def close(self) -> None:
@@ -185,19 +189,26 @@ class BounceFinder(StatefulProcessor):
 
 
 def bounce_details(
-    pages: DataFrame, timeout: int = 10_000, delay: str = "14 seconds", grain: int | None = None
+    pages: DataFrame, timeout: int = 10_000, delay: str = "14 seconds", width: int | None = None
 ) -> DataFrame:
-    """Bounced entries, given out once the watermark has passed their timeout."""
+    """Bounced entries, given out once the watermark has passed their timeout.
+
+    State is held per visitor and slice of time, as in the batch form, so that catching up
+    on a busy visitor is spread over its slices.
+    """
     body = [name for name in pages.columns if name not in ("event_id", "ts")]
     entry = F.col("page.last_page_id").isNull()
-    rows = with_event_time(pages, delay).select(
-        F.col("common.mid").alias("mid"), "event_id", "ts", "rt", entry.alias("entry"),
-        F.when(entry, F.to_json(F.struct(*body))).alias("value"),
+    own = slice_of(F.col("ts"), width or SLICES_PER_TIMEOUT * timeout)
+    spots = look_ahead_slices(F.col("ts"), timeout, width or SLICES_PER_TIMEOUT * timeout)
+    mine = entry & (F.col("_slice") == own)
+    rows = with_event_time(pages, delay).select("*", F.explode(spots).alias("_slice")).select(
+        F.col("common.mid").alias("mid"), "_slice", "event_id", "ts", "rt",
+        entry.alias("entry"), mine.alias("own"),
+        F.when(mine, F.to_json(F.struct(*body))).alias("value"),
     )
     shape = StructType([pages.schema[name] for name in body])
-    found = rows.groupBy("mid").transformWithState(
-        BounceFinder(timeout, grain or timeout), BOUNCE, outputMode="append",
-        timeMode="eventTime",
+    found = rows.groupBy("mid", "_slice").transformWithState(
+        BounceFinder(timeout), BOUNCE, outputMode="append", timeMode="eventTime"
     )
     return found.withColumn("_b", F.from_json("value", shape)).select(
         "event_id", "ts", "_b.*", "bounce_kind"
