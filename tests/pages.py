@@ -1,8 +1,10 @@
 """Small page logs for the tests."""
 
+from pyspark.sql.types import LongType, StructField, StructType
+
 from tidemart import schemas
 
-PAGES = schemas.PAGE_LOG.simpleString().replace("struct<", "event_id:bigint,", 1)[:-1]
+PAGES = StructType([StructField("event_id", LongType()), *schemas.PAGE_LOG.fields])
 
 
 def page(number, mid, ts, last=None, is_new="0", item="1", page_id="home", shown=0, during=5):

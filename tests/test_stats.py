@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tests.pages import frame, page
 from tidemart.functions import rates
 from tidemart.functions.times import age_years, parse_time, seconds_time, time_text
-from tidemart.operators import orders, stats
+from tidemart.operators import logs, orders, stats
 from tidemart.plans import flows, reports
 
 
@@ -44,7 +44,7 @@ def test_rates_round_half_up_and_guard_zero(spark):
 
 
 def visitor(spark, rows, **options):
-    flow = flows.visit_flow(frame(spark, rows))
+    flow = flows.visit_flow(logs.repair_new_flag(frame(spark, rows)))
     return stats.visitor_stats(flow.rows(**options), "10 seconds")
 
 

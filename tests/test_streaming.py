@@ -25,7 +25,7 @@ def visit_log(size=400, disorder=4_000):
     return rows
 
 
-def file_stream(spark, rows, parts=5):
+def file_stream(spark, rows, parts=3):
     path = fresh_dir(spark, "files")
     size = -(-len(rows) // parts)
     for start in range(0, len(rows), size):
@@ -41,7 +41,7 @@ def test_new_flag_by_arrival(spark):
     assert out.count() == len(rows)
     kept = {r.event_id for r in out.where("common.is_new = '1'").collect()}
     # Files come one by one; within a file the earliest claim counts.
-    size, first = -(-len(rows) // 5), {}
+    size, first = -(-len(rows) // 3), {}
     for row in rows:
         if row[1][4] == "1":
             mid, rank = row[1][0], (row[0] // size, row[4], row[0])

@@ -66,12 +66,30 @@ def rules_from_changes(changes: DataFrame, order: str = "offset") -> DataFrame:
     return latest_per_key(rows, ["source_table", "operate_type"], order).drop(order)
 
 
-def current_table(changes: DataFrame, key: str = "id", order: str = "offset") -> DataFrame:
-    """Live rows of a changed table: the last change per key, unless it is a delete."""
+DELETED = "_deleted"
+
+
+def _last_changes(changes: DataFrame, key: str, order: str) -> DataFrame:
     gone = F.col("type").eqNullSafe("delete")
     image = F.when(gone, F.col("before")).otherwise(F.col("after"))
-    keyed = changes.withColumn("_key", image.getItem(key))
-    return latest_per_key(keyed, ["tableName", "_key"], order).where(~gone).drop("_key")
+    keyed = changes.withColumn("_image", image).withColumn(DELETED, gone)
+    return latest_per_key(keyed, ["tableName", F.col("_image").getItem(key)], order)
+
+
+def current_table(changes: DataFrame, key: str = "id", order: str = "offset") -> DataFrame:
+    """Live rows of a changed table: the last change per key, unless it is a delete."""
+    return _last_changes(changes, key, order).where(~F.col(DELETED)).drop("_image", DELETED)
+
+
+def last_images(
+    changes: DataFrame, schema: StructType, key: str = "id", order: str = "offset"
+) -> DataFrame:
+    """The last row of each changed key of one table, marked if the change deletes it."""
+    last = _last_changes(changes, key, order)
+    return last.select(
+        *[F.col("_image").getItem(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
+        DELETED,
+    )
 
 
 def keep_columns(after: Column | str, columns: Column | str) -> Column:
@@ -131,6 +149,11 @@ def dimension_rows(
 
 
 def upsert(current: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """``current`` with the rows of ``incoming``, which has one row per key, put in."""
+    """``current`` with the rows of ``incoming``, which has one row per key, put in.
+
+    Incoming rows marked as deleted take the row of their key away.
+    """
     kept = current.join(incoming.select(key), key, "left_anti")
+    if DELETED in incoming.columns:
+        incoming = incoming.where(~F.coalesce(DELETED, F.lit(False))).drop(DELETED)
     return kept.unionByName(incoming)

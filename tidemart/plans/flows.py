@@ -42,16 +42,24 @@ class VisitFlow:
         return stats.visitor_rows(self.pages, self.visits, self.bounces, literal)
 
 
-def visit_flow(pages: DataFrame, durations: Durations = Durations(), repair: bool = True) -> VisitFlow:
-    """Repair the new flag, then find unique visits and bounces."""
-    if repair:
-        pages = logs.repair_new_flag(pages)
+def visit_flow(pages: DataFrame, durations: Durations = Durations()) -> VisitFlow:
+    """Unique visits and bounces of a page log whose new flag is repaired."""
     return VisitFlow(
         pages, visits.unique_visits(pages),
         visits.bounce_details(pages, durations.bounce_timeout),
     )
 
 
+def repaired_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page log with its new flag repaired, stored as a layer of its own.
+
+    Three operators read it. Were it not stored, each would parse the log and repair it
+    again; stored, each scans only the columns it needs.
+    """
+    pages = logs.repair_new_flag(bind.page_log(spark, sf_dir))
+    return spark.read.schema(pages.schema).parquet(stored(spark, pages, "page-log"))
+
+
 _snowflakes: dict[tuple[str, str], str] = {}
 
 
@@ -129,7 +137,7 @@ def product_stats(spark: SparkSession, sf_dir: str, durations: Durations = SPARS
 def visitor_stats(
     spark: SparkSession, sf_dir: str, durations: Durations = SPARSE, literal: bool = False
 ) -> DataFrame:
-    flow = visit_flow(bind.page_log(spark, sf_dir), durations)
+    flow = visit_flow(repaired_pages(spark, sf_dir), durations)
     return stats.visitor_stats(flow.rows(literal), durations.visitor_window)
 
 

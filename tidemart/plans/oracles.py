@@ -334,6 +334,11 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
                case when c_custkey % 7 = 0 then lower(c_mktsegment) else c_mktsegment end segment,
                cast(c_nationkey as varchar) nation
         from customer where c_custkey % 31 <> 0"""),
+    "stream_changelog": ((), """
+        select cast(c_custkey as varchar) id, c_name name,
+               case when c_custkey % 7 = 0 then lower(c_mktsegment) else c_mktsegment end segment,
+               cast(c_nationkey as varchar) nation
+        from customer where c_custkey % 31 <> 0"""),
     "src_csv_lines": (("views", "clicks"), """
         select id, ts, vc from views union all select id, ts, vc from clicks"""),
     "dim_read": (("sku",), """

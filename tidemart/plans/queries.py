@@ -125,6 +125,29 @@ def changelog_table(spark, d):
     return spark.sql("select * from user_now")
 
 
+@query
+def stream_changelog(spark, d):
+    """The changed table kept up to date from a stream, deletes included."""
+    envelopes = bind.user_changes(spark, d)
+    step = F.col("offset") % 3
+    path = fresh_dir(spark, "user-changes")
+    for number in range(3):
+        envelopes.where(step == number).write.mode("append").parquet(path)
+    stream = (
+        spark.readStream.schema(change_sources.CHANGE_COLUMNS)
+        .option("maxFilesPerTrigger", 1).parquet(path)
+    )
+    shape = changes.dimension_schema("id,name,segment,nation")
+    out = fresh_dir(spark, "user-now")
+    write = table_sinks.dimension_writer(
+        f"{out}/table", "id", shape, lambda batch: changes.last_images(batch, shape)
+    )
+    run.drain_to_batches(
+        changes.normalize(stream, keep=("offset",)), write, f"{out}/checkpoint"
+    )
+    return table_sinks.read_current(spark, f"{out}/table", shape, "id")
+
+
 @query
 def src_csv_lines(spark, d):
     path = run.stored(spark, bind.sensor_lines(spark, d), "sensor-lines", "text")
@@ -195,7 +218,7 @@ def route_to_topics(spark, d):
 
 
 def _visitor_row_stream(spark: SparkSession, own: SparkSession, d: str) -> DataFrame:
-    rows = flows.visit_flow(bind.page_log(spark, d), DURATIONS).rows()
+    rows = flows.visit_flow(flows.repaired_pages(spark, d), DURATIONS).rows()
     path = run.stored(spark, rows, "visitor-rows")
     return topic_sources.read_topic(
         own, "visitor-rows", format="parquet", path=path, schema=rows.schema
@@ -587,13 +610,13 @@ def keyword_stats(spark, d):
 
 @query
 def visitor_rows(spark, d):
-    return flows.visit_flow(bind.page_log(spark, d), DURATIONS).rows()
+    return flows.visit_flow(flows.repaired_pages(spark, d), DURATIONS).rows()
 
 
 @query
 def visitor_rows_literal(spark, d):
     """Sessions counted by the rule the original code applies."""
-    rows = flows.visit_flow(bind.page_log(spark, d), DURATIONS).rows(literal=True)
+    rows = flows.visit_flow(flows.repaired_pages(spark, d), DURATIONS).rows(literal=True)
     return rows.groupBy("vc", "ch", "ar", "is_new").agg(
         F.sum("pv_ct").alias("pv_ct"), F.sum("sv_ct").alias("sv_ct")
     )

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from tidemart.operators.changes import latest_per_key, upsert
+from tidemart.operators.changes import DELETED, latest_per_key, upsert
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -96,7 +96,8 @@ def read_current(
     deltas = [f"{path}/{DELTA}={n}" for n in numbers(DELTA) if n > newest]
     if not deltas:
         return current
-    numbered = StructType([*schema.fields, StructField(DELTA, LongType())])
+    marks = [StructField(DELETED, BooleanType()), StructField(DELTA, LongType())]
+    numbered = StructType([*schema.fields, *marks])
     changed = spark.read.schema(numbered).option("basePath", path).parquet(*deltas)
     return upsert(current, latest_per_key(changed, [key], DELTA).drop(DELTA), key)
 
@@ -107,7 +108,8 @@ def dimension_writer(
 ) -> BatchWriter:
     """Writer for ``foreachBatch`` that keeps a dimension table up to date.
 
-    ``prepare`` turns a batch into one row per key, which is all that the batch writes.
+    ``prepare`` turns a batch into one row per key, which is all that the batch writes; a
+    true ``_deleted`` column takes the row of that key away.
     Every ``compact_every`` batches the table is merged into a new base, and tables older
     than the base before it are removed. A repeated batch replaces its own tables, so the
     result is the same.
