@@ -125,3 +125,25 @@ def test_join_over_files_equals_batch(spark):
     batch = joins.interval_join(
         cut(frame(spark, sides[0])), cut(frame(spark, sides[1])), {"k": "k"}, ("ts", "ts"), -2_000, 700)
     assert found.count() == batch.count() > 0 and found.exceptAll(batch).isEmpty()
+
+
+def test_lookup_and_routing_on_a_stream(spark):
+    rows = [page(n, str(n % 3), 1_000 + n, page_id="home") for n in range(9)]
+    users = spark.createDataFrame([("0", "F"), ("1", "M")], "id string, gender string")
+    stream = file_stream(spark, rows).select(F.col("common.mid").alias("user_id"), "event_id")
+    out = run.drained(spark, joins.enrich(stream, users, "user_id", {"gender": "gender"}), "lookup")
+    assert sorted((r.event_id % 3, r.gender) for r in out.collect()) == (
+        [(0, "F")] * 3 + [(1, "M")] * 3 + [(2, None)] * 3)
+
+
+def test_product_sums_over_files_equal_batch(spark):
+    rows = [page(n, "m", 1_000_000 + n * 900, item=str(n % 2), page_id="good_detail", shown=n % 3)
+            for n in range(90)]
+
+    def sums(pages):
+        return stats.product_sums(stats.click_and_display_rows(pages), "10 seconds")
+
+    found = run.drained(spark, sums(file_stream(spark, rows)), "sums")
+    closed = F.timestamp_millis(F.lit(rows[-1][4] - 2_000))
+    batch = sums(frame(spark, rows)).where(F.to_timestamp("edt") <= closed)
+    assert found.count() == batch.count() > 0 and found.exceptAll(batch).isEmpty()

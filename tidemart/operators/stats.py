@@ -13,6 +13,7 @@ from tidemart import schemas
 from tidemart.functions.codes import APPRAISE
 from tidemart.functions.text import keyword_rows
 from tidemart.functions.times import millis_time, parse_millis, parse_time, seconds_time, time_text
+from tidemart.operators.orders import add_province
 
 TEN_SECONDS = "10 seconds"
 ORDERED, PAID, REFUNDED = "order", "paid", "refund"
@@ -195,17 +196,25 @@ def _now_millis() -> Column:
 
 
 def province_stats(
-    wide: DataFrame, width: str = TEN_SECONDS, delay: str = "2 seconds"
+    wide: DataFrame, width: str = TEN_SECONDS, delay: str = "2 seconds",
+    provinces: DataFrame | None = None,
 ) -> DataFrame:
-    """Order amount and distinct orders per window and province."""
+    """Order amount and distinct orders per window and province.
+
+    Rows that carry the province columns are grouped by them. Rows with the id alone are
+    grouped by it, and ``provinces`` is looked up once per result row.
+    """
+    keys = _PROVINCE if provinces is None else ["province_id"]
     timed = wide.withColumn("rt", parse_time("create_time")).withWatermark("rt", delay)
-    per_order = timed.groupBy(F.window("rt", width), *_PROVINCE, "order_id").agg(
+    per_order = timed.groupBy(F.window("rt", width), *keys, "order_id").agg(
         F.sum("split_total_amount").alias("amount")
     )
-    sums = per_order.groupBy("window", *_PROVINCE).agg(
+    sums = per_order.groupBy("window", *keys).agg(
         F.count("order_id").alias("order_count"),
         F.sum("amount").cast(schemas.MONEY_SUM).alias("order_amount"),
     )
+    if provinces is not None:
+        sums = add_province(sums, provinces)
     return sums.select("*", *_bounds(), _now_millis().alias("ts")).select(
         *schemas.PROVINCE_STATS_COLUMNS
     )

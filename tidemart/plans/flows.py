@@ -142,10 +142,10 @@ def visitor_stats(
 
 
 def province_stats(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
-    wide = orders.add_province(
-        joined_orders(spark, sf_dir, durations), bind.dim_province(spark, sf_dir)
+    return stats.province_stats(
+        joined_orders(spark, sf_dir, durations), durations.product_window,
+        provinces=bind.dim_province(spark, sf_dir),
     )
-    return stats.province_stats(wide, durations.product_window)
 
 
 def keyword_stats(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:

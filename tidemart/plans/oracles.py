@@ -641,4 +641,5 @@ def all_oracles() -> dict[str, str]:
         parts = [f"{cte} as ({_CTES[cte][1]})" for cte in _with(needs)]
         text = f"select * from ({body})" if parts and body.lstrip().startswith("with") else body
         result[name] = ("with " + ",\n".join(parts) + "\n" + text) if parts else body
+    result["stream_payment_wide"] = result["payment_wide"]
     return result

@@ -657,7 +657,9 @@ def province_stats(spark, d):
 
 @query
 def report_gmv(spark, d):
-    return reports.gross_sales(flows.product_stats(spark, d), SALES_FROM, SALES_TO)
+    # The total needs no names, so the sums are read without a lookup.
+    sums = stats.product_sums(flows.product_measures(spark, d), DURATIONS.product_window)
+    return reports.gross_sales(sums, SALES_FROM, SALES_TO)
 
 
 @query
@@ -796,6 +798,25 @@ def stream_order_wide(spark, d):
     )
 
 
+@query
+def stream_payment_wide(spark, d):
+    own = stream_session(spark)
+    parts = []
+    for name, frame in [
+        ("payments", orders.parse_created(bind.payment_info(spark, d))),
+        ("order-wide", orders.parse_created(flows.wide_orders(spark, d))),
+    ]:
+        path = run.stored(spark, frame, name)
+        parts.append(topic_sources.read_topic(
+            own, name, format="parquet", path=path, schema=frame.schema
+        ))
+    pairs = stream_joins.interval_join(
+        parts[0], parts[1], {"order_id": "order_id"}, ("create_ts", "create_ts"),
+        DURATIONS.payment_lower, DURATIONS.payment_upper, delays=(UNSORTED, UNSORTED),
+    )
+    return run.drained(spark, orders.merge_payment(pairs), "payment-wide")
+
+
 @query
 def stream_province_stats(spark, d):
     wide = orders.add_province(flows.joined_orders(spark, d), bind.dim_province(spark, d))
