@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.pages import PAGES, frame, page
@@ -34,9 +35,10 @@ def file_stream(spark, rows, parts=3):
     return own.readStream.schema(PAGES).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def test_new_flag_by_arrival(spark):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_new_flag_by_arrival(spark, salts):
     rows = visit_log()
-    fixed = stream_visits.repair_new_flag(file_stream(spark, rows))
+    fixed = stream_visits.repair_new_flag(file_stream(spark, rows), salts)
     out = run.drained(spark, fixed, "flags")
     assert out.count() == len(rows)
     kept = {r.event_id for r in out.where("common.is_new = '1'").collect()}

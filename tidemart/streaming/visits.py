@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from datetime import datetime, timezone
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import (
     BooleanType, LongType, StringType, StructField, StructType, TimestampType,
@@ -52,10 +52,10 @@ _CLAIM = StructType([
 
 
 class FirstClaim(StatefulProcessor):
-    """Leaves the flag to the first claim ever of a visitor; state does not expire.
+    """Leaves the flag to the first claim ever of a key; state does not expire.
 
     Within a batch the first is the least (ts, event_id), found in one pass without
-    holding the rows.
+    holding the rows. Rows that claim nothing pass as they are.
     """
 
     def init(self, handle) -> None:
@@ -65,9 +65,13 @@ class FirstClaim(StatefulProcessor):
         def out(row, flag):
             return Row(mid=key[0], event_id=row.event_id, ts=row.ts, is_new=flag, value=row.value)
 
-        seen = self._seen.exists()
-        best = None
+        seen, best = None, None
         for row in rows:
+            if row.is_new != "1":
+                yield out(row, row.is_new)
+                continue
+            if seen is None:
+                seen = self._seen.exists()
             if seen:
                 yield out(row, "0")
             elif best is None:
@@ -85,10 +89,20 @@ class FirstClaim(StatefulProcessor):
         pass
 
 
-def repair_new_flag(pages: DataFrame) -> DataFrame:
+def _first_claims(claims: DataFrame, part: Column) -> DataFrame:
+    keyed = claims.withColumn("_part", part)
+    return keyed.groupBy("mid", "_part").transformWithState(
+        FirstClaim(), _CLAIM, outputMode="append", timeMode="none"
+    )
+
+
+def repair_new_flag(pages: DataFrame, salts: int = 8) -> DataFrame:
     """Streaming form of the repair: only claims of ``'1'`` pass through the state.
 
-    All other records keep their flag and need neither shuffle nor Python.
+    All other records keep their flag and need neither shuffle nor Python. The claims of a
+    visitor are first decided within ``salts`` parts. At most one claim per part is ever
+    left for the second step, where the claims already refused are spread again, so no
+    task receives all records of a busy visitor. One part skips the first step.
     """
     flag = F.col("common.is_new").eqNullSafe("1")
     rest = pages.where(~flag)
@@ -96,11 +110,14 @@ def repair_new_flag(pages: DataFrame) -> DataFrame:
     shape = StructType([pages.schema[name] for name in body])
     claims = pages.where(flag).select(
         F.col("common.mid").alias("mid"), "event_id", "ts",
-        F.to_json(F.struct(*body)).alias("value"),
-    )
-    decided = claims.groupBy("mid").transformWithState(
-        FirstClaim(), _CLAIM, outputMode="append", timeMode="none"
+        F.col("common.is_new").alias("is_new"), F.to_json(F.struct(*body)).alias("value"),
     )
+    open_part = F.lit(0)
+    if salts > 1:
+        salt = 1 + F.pmod(F.hash("event_id"), F.lit(salts))
+        claims = _first_claims(claims, salt)
+        open_part = F.when(F.col("is_new") == "1", 0).otherwise(salt)
+    decided = _first_claims(claims, open_part)
     back = decided.withColumn("_b", F.from_json("value", shape)).select(
         "event_id", "ts", "is_new", "_b.*"
     )
