@@ -25,7 +25,9 @@ def test_dimension_store(spark):
     write = tables.dimension_writer(path, "id", SHAPE, lambda b: b, compact_every=2)
     write(batch(spark, ("1", "a"), ("2", "b")), 0)
     assert current(spark, path) == {("1", "a"), ("2", "b")}
-    write(batch(spark, ("2", "c")), 1)
+    for _ in range(2):
+        write(batch(spark, ("2", "c")), 1)
+    assert tables._parts(spark, path, tables.BASE) == [1]
     write(batch(spark, ("2", "d"), ("3", None)), 2)
     expected = {("1", "a"), ("2", "d"), ("3", None)}
     assert current(spark, path) == expected
@@ -38,6 +40,17 @@ def test_dimension_store(spark):
     assert tables._parts(spark, path, tables.BASE) == [5, 7]
 
 
+def test_dimension_store_takes_rows_away(spark):
+    path = fresh_dir(spark, "gone")
+    write = tables.dimension_writer(path, "id", SHAPE, lambda b: b, compact_every=3)
+    shape = "id string, name string, _deleted boolean"
+    for number, row in enumerate([("1", "a", False), ("1", "a", True), ("2", "b", None)]):
+        write(spark.createDataFrame([row], shape), number)
+        assert current(spark, path) == [{("1", "a")}, set(), {("2", "b")}][number]
+    write(spark.createDataFrame([("1", "z", False)], shape), 3)
+    assert current(spark, path) == {("1", "z"), ("2", "b")}
+
+
 def test_stats_batches_are_replaced_when_repeated(spark):
     path = fresh_dir(spark, "stats")
     write = tables.stats_writer(path, ["name"], transient=["id"])

@@ -80,14 +80,18 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def read_current(
-    spark: SparkSession, path: str, schema: StructType, key: str, upto: int | None = None
+    spark: SparkSession, path: str, schema: StructType, key: str,
+    upto: int | None = None, base_below: int | None = None,
 ) -> DataFrame:
-    """The dimension as of batch ``upto``, by default as of the last one."""
+    """The dimension as of batch ``upto``, by default as of the last one.
+
+    ``base_below`` starts from a base older than that batch.
+    """
 
     def numbers(kind: str) -> list[int]:
         return [n for n in _parts(spark, path, kind) if upto is None or n <= upto]
 
-    bases = numbers(BASE)
+    bases = [n for n in numbers(BASE) if base_below is None or n < base_below]
     newest = bases[-1] if bases else -1
     if bases:
         current = spark.read.schema(schema).parquet(f"{path}/{BASE}={newest}")
@@ -120,7 +124,8 @@ def dimension_writer(
         prepare(batch).write.mode("overwrite").parquet(f"{path}/{DELTA}={batch_id}")
         if (batch_id + 1) % compact_every:
             return
-        merged = read_current(spark, path, schema, key, upto=batch_id)
+        # A repeated batch must not read the base it is about to replace.
+        merged = read_current(spark, path, schema, key, upto=batch_id, base_below=batch_id)
         merged.write.mode("overwrite").parquet(f"{path}/{BASE}={batch_id}")
         older = [n for n in _parts(spark, path, BASE) if n < batch_id]
         for kind in (BASE, DELTA) if older else ():
