@@ -6,12 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontaminate, quality, secrets
+from tidemart.llm import decontaminate, langid, packing, quality, secrets, simhash, tokens
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = langid.identified(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", langid.held_out().alias("held_out"), "_lang.*")
+
+
 def op2_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")), quality.V1)
     return rows.select(
@@ -32,6 +43,20 @@ def op3_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+def op9_packed_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op10_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.select(
@@ -41,5 +66,8 @@ def op10_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_quality_ledger, op3_secret_links, op10_benchmark_winnowing)
+    f.__name__: f for f in (
+        op1_language_centroids, op2_quality_ledger, op3_secret_links, op5_simhash_variants, op6_token_counts,
+        op9_packed_groups, op10_benchmark_winnowing,
+    )
 }
