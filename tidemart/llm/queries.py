@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontaminate, langid, packing, quality, secrets, simhash, tokens
+from tidemart.llm import decontaminate, langid, packing, quality, secrets, simhash, tokens, urls
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
 def op9_packed_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -68,6 +72,6 @@ def op10_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_language_centroids, op2_quality_ledger, op3_secret_links, op5_simhash_variants, op6_token_counts,
-        op9_packed_groups, op10_benchmark_winnowing,
+        op7_url_cascade, op9_packed_groups, op10_benchmark_winnowing,
     )
 }
