@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontaminate, langid, packing, quality, secrets, simhash, tokens, urls
+from tidemart.llm import decontaminate, langid, packing, quality, repeats, secrets, simhash, tokens, urls
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages"))
 
 
+def op8_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_packed_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -72,6 +76,6 @@ def op10_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_language_centroids, op2_quality_ledger, op3_secret_links, op5_simhash_variants, op6_token_counts,
-        op7_url_cascade, op9_packed_groups, op10_benchmark_winnowing,
+        op7_url_cascade, op8_repeated_strings, op9_packed_groups, op10_benchmark_winnowing,
     )
 }
