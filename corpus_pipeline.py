@@ -1,6 +1,80 @@
-"""A training corpus from raw documents: five stages, each written and read again."""
+"""A training corpus from raw documents: five stages, each written and read again.
+
+A stage takes (spark, documents, folder of tables) and returns what it keeps; its decisions
+act on its own input. All but the last return the columns of documents; the last returns the
+packed pieces. A stage may be run alone on any table with the columns doc_id, text and lang.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemart.llm import decontaminate, langid, packing, secrets, simhash
+from tidemart.llm.common import stored, table, text_of
+from tidemart.llm.queries import vocabulary
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that are like no language of the labelled ones; write the language found."""
+    found = langid.identified(docs)
+    columns = [F.col("_lang.lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns]
+    return found.where(~F.col("_lang.rejected")).select(*columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the least id of each component of near copies, once if it is repeated.
+
+    Documents without an id cannot be told apart and stay.
+    """
+    found = simhash.near_duplicates(docs)
+    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
+    named = docs.join(first, docs["doc_id"] == first["_id"], "left_semi").dropDuplicates(["doc_id"])
+    return named.union(docs.where(F.col("doc_id").isNull()))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a window of a benchmark item."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    bad = found.where("contaminated").select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).distinct()
+    keyed = docs.withColumn("__h", F.xxhash64(text_of("text")))
+    kept = keyed.join(bad, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("__h") == F.col("_h")), "left_anti")
+    return kept.select(*docs.columns)
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets by their kind; ``n_chars`` follows the text."""
+    clean = secrets.redacted(docs)
+    columns = [
+        F.length("text").cast(clean.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns
+    ]
+    return clean.select(*columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences for training: pieces with their sequence and place."""
+    return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language), ("near_dedup", near_duplicates), ("decontaminate", decontaminated),
+    ("secret_scan", redacted), ("pack", packed),
+]
+
+#: The stages hash with XXH64 and tokenize, which SQL has no words for.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
+
+
+QUERIES = {"pipeline": run}
+SQL: dict[str, str] = {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontaminate, langid, packing, quality, repeats, secrets, simhash, tokens, urls
+from tidemart.llm import decontaminate, langid, packing, pages, quality, repeats, secrets, simhash, tokens, urls
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op3_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pages.extracted(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
+
+
 def op5_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -75,7 +80,7 @@ def op10_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_language_centroids, op2_quality_ledger, op3_secret_links, op5_simhash_variants, op6_token_counts,
+        op1_language_centroids, op2_quality_ledger, op3_secret_links, op4_page_text, op5_simhash_variants, op6_token_counts,
         op7_url_cascade, op8_repeated_strings, op9_packed_groups, op10_benchmark_winnowing,
     )
 }
