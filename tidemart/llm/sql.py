@@ -1,5 +1,146 @@
-"""DuckDB SQL with the rows of the operators' queries."""
+"""DuckDB SQL with the rows of those operators' queries that SQL can express.
+
+Languages, page texts, fingerprints, tokens, removed strings and packings need models, hashes
+or tokenizers that SQL lacks; their queries are tested against brute force instead.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from tidemart.llm import decontaminate, quality, secrets, urls
+
+_WORD = r"[^\x20\x09-\x0D]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_ROWS = "SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _failed(place: int) -> str:
+    return f"CASE WHEN {quality.RULES[place][1]} THEN {1 << place} ELSE 0 END"
+
+
+_QUALITY = f"""
+WITH d AS ({_ROWS}),
+w AS (
+  SELECT r, doc_id, regexp_extract_all(t, '{_WORD}') AS ws,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{_WORD}')) AS ls,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(regexp_extract_all(t, '!')) AS n_bangs
+  FROM d
+),
+g AS (SELECT r, i, ws[i:i + 2] AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+twice AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r
+),
+m AS (
+  SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, n_symbols,
+    len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(ls) AS n_lines, n_bangs
+  FROM w LEFT JOIN covered USING (r)
+),
+f AS (SELECT *, {" + ".join(map(_failed, range(len(quality.RULES))))} AS failed FROM m)
+SELECT doc_id, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  (failed & {quality.BASE.mask}) <> 0 AS base_failed,
+  (failed & {quality.BASE.mask | quality.V1.mask}) = 0 AS kept, failed
+FROM f
+"""
+
+_ok = {"assign": "length(v) >= 6", "access": "length(m) >= 20", "ident": "length(v) >= 3",
+       "opaque": "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]')"}
+
+
+def _matches(place: int) -> str:
+    kind, pattern, _ = secrets.KINDS[place]
+    p = _quoted(pattern)
+    values = f"regexp_extract_all(t, {p}, 2)" if kind in ("assign", "ident") else "[]::VARCHAR[]"
+    return (
+        f"SELECT r, {place} AS place, '{kind}' AS kind, e - length(m) AS s, e FROM ("
+        f"SELECT r, m, v, sum(length(g) + length(m)) OVER (PARTITION BY r ORDER BY k) AS e FROM ("
+        f"SELECT r, unnest(ms) AS m, unnest(list_resize(vs, len(ms))) AS v, unnest(gs[1:len(ms)]) AS g, "
+        f"generate_subscripts(ms, 1) AS k FROM (SELECT r, regexp_extract_all(t, {p}) AS ms, {values} AS vs, "
+        f"regexp_split_to_array(t, {p}) AS gs FROM d))) WHERE {_ok.get(kind, 'true')}"
+    )
+
+
+def _role(role: str) -> str:
+    listed = ", ".join(f"'{k}'" for k, r in secrets.ROLES.items() if r == role)
+    return (f"EXISTS (SELECT 1 FROM a AS o WHERE o.r = a.r AND o.kind IN ({listed}) "
+            f"AND abs(o.s - a.s) <= {secrets.REACH})")
+
+
+_strong = ", ".join(f"'{k}'" for k in secrets.STRONG)
+_needs = " OR ".join(
+    f"(kind = '{kind}' AND " + " AND ".join(_role(role) for role in roles) + ")"
+    for kind, roles in secrets.NEEDS.items()
+)
+_SECRETS = f"""
+WITH d AS ({_ROWS}),
+p AS ({" UNION ALL ".join(map(_matches, range(len(secrets.KINDS))))}),
+a AS (
+  SELECT * FROM p WHERE kind IN ({_strong}) OR NOT EXISTS (
+    SELECT 1 FROM p AS o WHERE o.r = p.r AND o.kind IN ({_strong}) AND o.s < p.e AND o.e > p.s)
+),
+shown AS (SELECT r, place, kind, s, e FROM a WHERE kind IN ({_strong}) OR {_needs}),
+x AS (
+  SELECT r, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) AS spans,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) FILTER (kind IN ({_strong})) AS base,
+    {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secrets.STRONG)}
+  FROM shown GROUP BY r
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.STRONG)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN x USING (r)
+"""
+
+_URLS = f"""
+WITH p AS (
+  SELECT row_number() OVER () AS r, page_id,
+    CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS u FROM pages
+),
+q AS (
+  SELECT r, page_id, translate(regexp_extract(u, '^[^/?#]*'), '{_UPPER}', '{_UPPER.lower()}') AS host,
+    regexp_extract(u, '^[^/?#]*([^?#]*)', 1) AS path FROM p
+),
+rules(action, h, p) AS (VALUES {", ".join(f"('{r.action}', '{r.host}', '{r.path}')" for r in urls.RULES)}),
+fit AS (
+  SELECT r, h || p AS rule, action FROM q JOIN rules
+  ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY length(h) + length(p) DESC, h || p DESC) = 1
+)
+SELECT page_id, host, path, rule, coalesce(action, CASE WHEN list_has_any(string_split(host, '.'),
+  [{", ".join(f"'{h}'" for h in urls.SPAM_HOSTS)}]) THEN 'block' ELSE 'allow' END) AS verdict
+FROM q LEFT JOIN fit USING (r)
+"""
+
+_words = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{decontaminate.WORD}')"
+_WINNOWING = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_words} AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_words} AS ws FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS w FROM (
+    SELECT item_id, ws, least(10, len(ws)) AS n, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i
+    FROM b WHERE len(ws) > 0)
+),
+dw AS (
+  SELECT r, n, i, array_to_string(ws[i:i + n - 1], ' ') AS w FROM (
+    SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw))
+),
+hits AS (SELECT dw.r, dw.n, dw.i, dw.w FROM dw SEMI JOIN bw ON dw.n = bw.n AND dw.w = bw.w),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r
+),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (
+    SELECT DISTINCT r, item_id FROM (SELECT DISTINCT r, n, w FROM hits) JOIN bw USING (n, w) WHERE item_id IS NOT NULL)
+  GROUP BY r
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""
+
+SQL: dict[str, str] = {
+    "op2_quality_ledger": _QUALITY, "op3_secret_links": _SECRETS, "op7_url_cascade": _URLS,
+    "op10_benchmark_winnowing": _WINNOWING,
+}
