@@ -170,7 +170,7 @@ def _fitted(rows: pd.DataFrame, k: int) -> Model:
 
 
 def _floors(best: np.ndarray, sizes: np.ndarray, bins: int = 40) -> np.ndarray:
-    """Half the cosine that all but the farthest 1 % reach, for texts of a length or shorter.
+    """A third of the cosine that all but the farthest 1 % reach, for texts of a length or shorter.
 
     Short texts have few grams and lie far from any centroid, so the floor falls with the
     length; lengths that the sample lacks take the floor of the nearest shorter one.
@@ -180,7 +180,7 @@ def _floors(best: np.ndarray, sizes: np.ndarray, bins: int = 40) -> np.ndarray:
     for k in range(bins):
         own = best[lengths == k]
         if len(own) >= 10:
-            own_floor = float(np.quantile(own, 0.01)) / 2
+            own_floor = float(np.quantile(own, 0.01)) / 3
             last = own_floor if math.isnan(last) else max(last, own_floor)
         floors[k] = 0.0 if math.isnan(last) else last
     return floors
