@@ -28,7 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 SAMPLE = 400
-_EXAMPLE_WEIGHT = 20
+#: An example counts as much as one in so many sampled pages.
+_EXAMPLE_SHARE = 20
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
@@ -209,7 +210,7 @@ def parse(source: str) -> Page:
 
 def features(block: Block, plain: bool = False) -> list[str]:
     tag = _PLAIN.get(block.tag, block.tag) if plain else block.tag
-    found = [f"tag {tag}", f"words {min(block.words.bit_length(), 8)}"]
+    found = [f"tag {tag}", f"words {min(block.words.bit_length(), 4)}"]
     if block.words:
         found.append(f"linked {min(3, 4 * block.linked // block.words)}")
         found.append(f"ends {block.ends}")
@@ -246,6 +247,7 @@ def counted(source: str, given: bool = False) -> Counter:
     found: Counter = Counter()
     if states is None:
         return found
+    found[("page", 1)] = 1
     for plain in (False, True):
         for block, state in zip(page.blocks, states):
             found[("state", state)] += 1
@@ -270,7 +272,7 @@ class Model:
         for top in (0, 1):
             rows = [[counts[(f"under {s} {top}", t)] + 0.5 for t in (0, 1)] for s in (0, 1)]
             follow.append([[n / sum(row) for n in row] for row in rows])
-        names = {name for name, _ in counts if name != "state" and not name.startswith("under")}
+        names = {name for name, _ in counts if name not in ("page", "state") and not name.startswith("under")}
         odds = {
             name: math.log((counts[(name, 1)] + 0.5) / total[1]) - math.log((counts[(name, 0)] + 0.5) / total[0])
             for name in names
@@ -333,9 +335,10 @@ def fit(pages: DataFrame, page_id: str = "page_id", source: str = "html", sample
 
     rows = texts.mapInPandas(count, "name string, state int, n long").groupBy("name", "state").agg(F.sum("n").alias("n"))
     counts = Counter({(r["name"], r["state"]): r["n"] for r in rows.collect()})  # a fixed set of features
+    weight = max(1, counts[("page", 1)] // _EXAMPLE_SHARE)
     for example in EXAMPLES:
         for key, n in counted(example, given=True).items():
-            counts[key] += _EXAMPLE_WEIGHT * n
+            counts[key] += weight * n
     return Model.of(counts)
 
 
