@@ -77,7 +77,7 @@ def page_log_of(events: DataFrame) -> DataFrame:
 
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log lines as text; some are cut short, some lack ``common``, some are start records."""
+    """Log lines as text; some are cut short, lack ``common`` or ``ts``, or are start records."""
     return raw_log_of(page_log(spark, sf_dir))
 
 
@@ -85,8 +85,9 @@ def raw_log_of(pages: DataFrame) -> DataFrame:
     number = F.col("event_id")
     start = F.when(number % 50 == 0, F.struct(F.lit("icon").alias("entry")))
     common = F.when(number % 89 != 0, F.col("common"))
+    time = F.when(number % 83 != 0, F.col("ts"))
     text = F.to_json(F.struct(
-        common.alias("common"), "page", "displays", start.alias("start"), "ts"
+        common.alias("common"), "page", "displays", start.alias("start"), time.alias("ts")
     ))
     cut = F.when(number % 97 == 0, F.substring(text, 1, 40)).otherwise(text)
     return pages.select("event_id", cut.alias("value"))
@@ -176,9 +177,14 @@ def comment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _touched(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Times as a database writes them: some with a fraction, and some that nobody can read."""
+    number, text = F.col("event_id"), time_text(_moment("ts"))
+    written = (
+        F.when(number % 71 == 0, F.concat(F.lit("on "), text))
+        .when(number % 3 == 0, F.concat(text, F.lit(".5"))).otherwise(text)
+    )
     return table(spark, sf_dir, "events").where(F.col("event_type") == kind).select(
-        (F.col("event_id") % 200).alias("sku_id"),
-        time_text(_moment("ts")).alias("create_time"),
+        (number % 200).alias("sku_id"), written.alias("create_time"), "event_id"
     )
 
 
@@ -213,8 +219,8 @@ def dim_province(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _name_id(column: str) -> Column:
-    """Number for a name: the first 32 bits of its digest."""
-    return F.conv(F.substring(F.md5(F.col(column).cast("binary")), 1, 8), 16, 10)
+    """Number for a name: the first 60 bits of its digest."""
+    return F.conv(F.substring(F.md5(F.col(column).cast("binary")), 1, 15), 16, 10)
 
 
 def _named(spark: SparkSession, sf_dir: str, column: str, name: str) -> DataFrame:
@@ -246,6 +252,12 @@ def dim_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_bad_id(dim: DataFrame) -> DataFrame:
+    """A dimension with one more row, whose id is no number."""
+    spark = dim.sparkSession
+    return dim.unionByName(spark.createDataFrame([("x9",)], "id string"), allowMissingColumns=True)
+
+
 def _envelope(source: DataFrame, name: str, op: Column, order: Column, row: Column,
               before: Column | None = None) -> DataFrame:
     """Capture envelopes of one table: (topic, offset, value)."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
+_LEADING = r"^\s*(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2})"
 
 
 def as_column(value: Column | str) -> Column:
@@ -12,13 +13,14 @@ def as_column(value: Column | str) -> Column:
 
 
 def parse_time(text: Column | str) -> Column:
-    """Timestamp of ``yyyy-MM-dd HH:mm:ss`` text; null where it cannot be read.
+    """Timestamp of ``yyyy-MM-dd HH:mm:ss`` text in whole seconds; null where it cannot be read.
 
-    The cast reads this form several times faster than a parser with a pattern. It also
-    reads shorter and longer forms, which the length rules out.
+    What follows the seconds, such as a fraction, is ignored. Text of the plain length goes
+    straight to the cast, which is several times faster than a pattern.
     """
     text = as_column(text)
-    return F.when(F.length(text) == len(TEXT_FORMAT), text.try_cast("timestamp"))
+    plain = F.when(F.length(text) == len(TEXT_FORMAT), text.try_cast("timestamp"))
+    return F.coalesce(plain, F.regexp_extract(text, _LEADING, 1).try_cast("timestamp"))
 
 
 def parse_millis(text: Column | str) -> Column:

@@ -87,7 +87,7 @@ def last_images(
     """The last row of each changed key of one table, marked if the change deletes it."""
     last = _last_changes(changes, key, order)
     return last.select(
-        *[F.col("_image").getItem(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
+        *[F.col("_image").getItem(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
         DELETED,
     )
 
@@ -133,7 +133,7 @@ def dimension_schema(sink_columns: str, sink_pk: str | None = None) -> StructTyp
 def image_columns(df: DataFrame, schema: StructType, image: str = "after") -> DataFrame:
     """The map of a change as columns of the given shape."""
     return df.select(
-        *[F.col(image).getItem(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+        *[F.col(image).getItem(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
     )
 
 

@@ -109,14 +109,15 @@ def enrich(
 
     A row without a partner passes unchanged, with nulls. The dimension holds one row
     per key. Its key, which is text, is cast to the type of the fact key, so the fact
-    side is not recomputed.
+    side is not recomputed; a dimension row whose key cannot be read is left out.
     """
     wanted = [
         (F.col(value) if isinstance(value, str) else value).alias(name)
         for name, value in take.items()
     ]
     kind = df.select(key).schema[0].dataType
-    side = dim.select(F.col(dim_key).cast(kind).alias("_key"), *wanted)
+    read = F.col(dim_key).try_cast(kind)
+    side = dim.where(read.isNotNull()).select(read.alias("_key"), *wanted)
     kept = [name for name in df.columns if name not in take]
     joined = df.select(*kept).join(side, F.col(key) == F.col("_key"), "left")
     return joined.drop("_key")
@@ -130,10 +131,8 @@ def sku_snowflake(
     Joined once, so that facts need one lookup and not a chain of four.
     """
     base = sku.select(
-        "id", "sku_name", F.col("price").cast("decimal(16,2)").alias("sku_price"),
-        F.col("spu_id").cast("long").alias("spu_id"),
-        F.col("tm_id").cast("long").alias("tm_id"),
-        F.col("category3_id").cast("long").alias("category3_id"),
+        "id", "sku_name", F.col("price").try_cast("decimal(16,2)").alias("sku_price"),
+        *[F.col(name).try_cast("long").alias(name) for name in ("spu_id", "tm_id", "category3_id")],
     )
     base = enrich(base, spu, "spu_id", {"spu_name": "spu_name"})
     base = enrich(base, trademark, "tm_id", {"tm_name": "tm_name"})

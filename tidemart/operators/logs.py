@@ -15,7 +15,8 @@ def parse_log(raw: DataFrame, value: str = "value") -> DataFrame:
     """Each line with its record fields at top level and the ``reason`` why it is dirty.
 
     Dirty are lines that are no JSON record of this shape, and records without ``common``
-    or, unless they are start records, without ``page``. Good lines have no reason.
+    or, unless they are start records, without ``page``, and records without a time, which
+    no later step could place. Good lines have no reason.
     """
     schema = StructType([*schemas.APP_LOG.fields, StructField(_BROKEN, StringType())])
     record = F.from_json(value, schema, {"columnNameOfCorruptRecord": _BROKEN})
@@ -24,6 +25,7 @@ def parse_log(raw: DataFrame, value: str = "value") -> DataFrame:
         F.when(F.col("_log").isNull() | F.col(f"_log.{_BROKEN}").isNotNull(), "not_json")
         .when(F.col("_log.common").isNull(), "no_common")
         .when(F.col("_log.page").isNull() & F.col("_log.start").isNull(), "no_page")
+        .when(F.col("_log.ts").isNull(), "no_ts")
     )
     fields = [F.col(f"_log.{name}").alias(name) for name in schemas.APP_LOG.fieldNames()]
     return parsed.select(*raw.columns, reason.alias("reason"), *fields)
@@ -39,33 +41,32 @@ def clean_logs(parsed: DataFrame, value: str = "value") -> DataFrame:
     return parsed.where(F.col("reason").isNull()).drop("reason", value)
 
 
-def repair_new_flag(logs: DataFrame, order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
+def repair_new_flag(logs: DataFrame, order: tuple[str, str] = ("ts", "event_id")) -> DataFrame:
     """Only the first record of a visitor that claims ``is_new = '1'`` keeps it.
 
-    Records with another flag pass unchanged and do not count. The first claim of each
-    visitor is found by an aggregate that combines before the shuffle, and is then joined
-    back on visitor and arrival columns together. So a visitor with very many records is
-    neither sorted in one task nor joined in one.
+    Records with another flag pass as they are: they are neither shuffled nor joined. The
+    first claim of each visitor is found by two aggregates that combine before their
+    shuffle, the least number per visitor and time and then the least time per visitor, and
+    is joined back on visitor, time and number together. So a visitor with very many records
+    is neither sorted in one task nor joined in one. A claim without a time comes last.
     """
     mid, flag = F.col("common.mid"), F.col("common.is_new")
-    names = [f"_first_{name}" for name in order]
+    time, number = order
+    claims, rest = logs.where(flag == "1"), logs.where(~flag.eqNullSafe("1"))
+    late = F.coalesce(F.col(time), F.lit((1 << 63) - 1))
     firsts = (
-        logs.where(flag == "1")
-        .groupBy(mid.alias("_first_mid"))
-        .agg(F.min(F.struct(*order)).alias("_first"))
-        .select(
-            "_first_mid",
-            *[F.col(f"_first.{name}").alias(alias) for name, alias in zip(order, names)],
-        )
+        claims.groupBy(mid.alias("_mid"), late.alias("_late")).agg(F.min(number).alias("_n"))
+        .groupBy("_mid").agg(F.min_by("_n", "_late").alias("_number"), F.min("_late").alias("_time"))
+        .withColumn("_is_first", F.lit(True))
+    )
+    match = (
+        mid.eqNullSafe(F.col("_mid")) & (late == F.col("_time"))
+        & F.col(number).eqNullSafe(F.col("_number"))
     )
-    match: Column = mid.eqNullSafe(F.col("_first_mid"))
-    for name, alias in zip(order, names):
-        match = match & (F.col(name) == F.col(alias))
-    joined = logs.join(firsts, match, "left")
-    is_first = F.col(names[0]).isNotNull()
-    fixed = F.when((flag == "1") & ~is_first, F.lit("0")).otherwise(flag)
-    repaired = F.col("common").withField("is_new", fixed)
-    return joined.withColumn("common", repaired).drop("_first_mid", *names)
+    joined = claims.join(firsts, match, "left")
+    kept = F.when(F.col("_is_first"), "1").otherwise("0")
+    repaired = joined.withColumn("common", F.col("common").withField("is_new", kept))
+    return rest.unionByName(repaired.select(*logs.columns))
 
 
 def start_logs(logs: DataFrame) -> DataFrame:

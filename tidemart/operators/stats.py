@@ -79,7 +79,7 @@ def _product(df: DataFrame, ts: Column, kind: str | None = None, **values: Colum
     zero = F.lit(0).cast("long")
     no_money = F.lit(0).cast(schemas.MONEY)
     return df.select(
-        F.col("sku_id").cast("long").alias("sku_id"),
+        F.col("sku_id").try_cast("long").alias("sku_id"),
         ts.alias("ts"),
         *[F.coalesce(values.get(n, zero).cast("long"), zero).alias(n) for n in _COUNTS],
         *[F.coalesce(values.get(n, no_money), no_money).cast(schemas.MONEY).alias(n)
@@ -153,6 +153,21 @@ def product_rows(
     return rows
 
 
+def complete(rows: DataFrame) -> DataFrame:
+    """Measure rows with a time and, where they have an article, a readable one."""
+    return rows.where(_usable(rows))
+
+
+def incomplete(rows: DataFrame) -> DataFrame:
+    """Measure rows that no window or article can take; they belong to a dirty table."""
+    return rows.where(~_usable(rows))
+
+
+def _usable(rows: DataFrame) -> Column:
+    usable = F.col("ts").isNotNull()
+    return usable & F.col("sku_id").isNotNull() if "sku_id" in rows.columns else usable
+
+
 def product_sums(
     rows: DataFrame, width: str = TEN_SECONDS, delay: str = "2 seconds"
 ) -> DataFrame:
@@ -181,7 +196,8 @@ def product_stats(
     """Article statistics; the lookup runs on the aggregated rows, not on the input."""
     names = ["sku_name", "sku_price", "spu_id", "spu_name", "tm_id", "tm_name",
              "category3_id", "category3_name"]
-    side = snowflake.select(F.col("id").cast("long").alias("_key"), *names)
+    key = F.col("id").try_cast("long")
+    side = snowflake.where(key.isNotNull()).select(key.alias("_key"), *names)
     sums = product_sums(rows, width, delay)
     joined = sums.join(side, F.col("sku_id") == F.col("_key"), "left")
     return joined.select(*schemas.PRODUCT_STATS_COLUMNS)

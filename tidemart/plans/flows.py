@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -81,8 +82,8 @@ def snowflake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def joined_orders(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
     return orders.join_orders(
-        orders.parse_orders(bind.order_info(spark, sf_dir)),
-        orders.parse_created(bind.order_detail(spark, sf_dir)),
+        orders.good_times(orders.parse_orders(bind.order_info(spark, sf_dir))),
+        orders.good_times(orders.parse_created(bind.order_detail(spark, sf_dir))),
         -durations.order_bound, durations.order_bound,
     )
 
@@ -97,7 +98,7 @@ def wide_orders(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE)
 
 def wide_payments(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
     return orders.join_payments(
-        orders.parse_created(bind.payment_info(spark, sf_dir)),
+        orders.good_times(orders.parse_created(bind.payment_info(spark, sf_dir))),
         wide_orders(spark, sf_dir, durations),
         durations.payment_lower, durations.payment_upper,
     )
@@ -117,14 +118,34 @@ def product_measures(spark: SparkSession, sf_dir: str, durations: Durations = SP
     ])
     layer = spark.read.schema(wide.schema).parquet(stored(spark, wide, "order-wide"))
     paid = orders.join_payments(
-        orders.parse_created(bind.payment_info(spark, sf_dir)), layer,
+        orders.good_times(orders.parse_created(bind.payment_info(spark, sf_dir))), layer,
         durations.payment_lower, durations.payment_upper,
     )
-    return stats.product_rows(
+    return stats.complete(stats.product_rows(
         bind.page_log(spark, sf_dir), bind.favor_info(spark, sf_dir),
         bind.cart_info(spark, sf_dir), layer, paid,
         bind.refund_info(spark, sf_dir), bind.comment_info(spark, sf_dir),
-    )
+    ))
+
+
+def dirty_times(inputs: dict[str, DataFrame], key: str) -> DataFrame:
+    """(input, key, create_time): rows of the inputs whose time cannot be read.
+
+    Together with the rows that the flow goes on with they are all that came.
+    """
+    found = [
+        orders.bad_times(orders.parse_created(rows)).select(
+            F.lit(name).alias("input"), F.col(key).cast("string").alias(key), "create_time")
+        for name, rows in inputs.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def product_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dirty_times({
+        "favor": bind.favor_info(spark, sf_dir), "cart": bind.cart_info(spark, sf_dir),
+        "refund": bind.refund_info(spark, sf_dir), "comment": bind.comment_info(spark, sf_dir),
+    }, "sku_id")
 
 
 def product_stats(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:

@@ -18,7 +18,7 @@ def _window(millis: str, width: int) -> str:
 
 
 def _name_id(column: str) -> str:
-    return f"cast('0x' || substr(md5({column}), 1, 8) as bigint)"
+    return f"cast('0x' || substr(md5({column}), 1, 15) as bigint)"
 
 
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -55,11 +55,12 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "raw": (("pl",), """
         select *, case when event_id % 97 = 0 then substr(line, 1, 40) else line end "value",
                case when event_id % 97 = 0 then 'not_json'
-                    when event_id % 89 = 0 then 'no_common' end reason
+                    when event_id % 89 = 0 then 'no_common'
+                    when event_id % 83 = 0 then 'no_ts' end reason
         from (
             select *, '{' || case when event_id % 89 <> 0 then common || ',' else '' end
-                   || body || case when event_id % 50 = 0 then '"start":{"entry":"icon"},' else '' end
-                   || '"ts":' || ts || '}' line
+                   || rtrim(body || case when event_id % 50 = 0 then '"start":{"entry":"icon"},' else '' end, ',')
+                   || case when event_id % 83 <> 0 then ',"ts":' || ts else '' end || '}' line
             from (
                 select *, '"common":{"mid":"' || mid || '","vc":"' || vc || '","ch":"' || ch
                           || '","ar":"' || ar || '","is_new":"' || is_new || '"}' common,
@@ -164,9 +165,9 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         from pl where page_id = 'good_detail'
         union all select cast(item as bigint), ts, 'display', null, null, null from shown
         union all select event_id % 200, epoch_ms(date_trunc('second', ts)), 'favor', null, null, null
-        from events where event_type = 'click'
+        from events where event_type = 'click' and event_id % 71 <> 0
         union all select event_id % 200, epoch_ms(date_trunc('second', ts)), 'cart', null, null, null
-        from events where event_type = 'purchase'
+        from events where event_type = 'purchase' and event_id % 71 <> 0
         union all select sku_id, create_ts, 'order', split_total_amount, sku_num, order_id from joined
         union all select sku_id, paid_ts, 'paid', split_total_amount, null, order_id from paid
         union all select sku_id, create_ts, 'refund', split_total_amount, null, order_id
@@ -347,7 +348,7 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
                cast(tm_id as varchar) tm_id from sku"""),
     "jdbc_rename": ((), """
         select c_custkey "cCustkey", c_name "cName", c_nationkey "cNationkey",
-               c_mktsegment "cMktsegment" from customer"""),
+               cast(c_acctbal as decimal(16,2)) "cAcctbal", c_mktsegment "cMktsegment" from customer"""),
     "src_log_files": (("raw",), f"""
         select substr({_text('ts')}, 1, 10) log_day, "value" from raw"""),
     "sink_topic": (("raw",), """
@@ -371,10 +372,10 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "dim_schema_from_rule": (("users_now",), "select id, name, segment from users_now"),
     "cdc_normalize": (("norm",), 'select * from norm'),
     "cdc_normalize_reads": (("chg",), """
-        select db as "database", tbl "tableName",
+        select "offset", db as "database", tbl "tableName", before, after,
                case op when 'u' then 'update' when 'd' then 'delete' when 'r' then 'read'
-                    else 'insert' end "type", count(*) n
-        from chg group by all"""),
+                    else 'insert' end "type"
+        from chg"""),
     "cdc_drop_deletes": (("norm",), """select * from norm where "type" <> 'delete'"""),
     "rules_latest": ((), """
         select 'table_' || (o_custkey % 40) source_table,
@@ -442,6 +443,17 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
                substr(create_time, 12, 2) create_hour, create_ts from oi"""),
     "order_parse_dirty": (("oi",), """
         select id, 'on ' || create_time create_time from oi where id % 9 = 0"""),
+    "order_flow_dirty": (("oi", "od", "pay"), """
+        select input, cast(id as varchar) id, 'on ' || create_time create_time from (
+            select 'order' input, id, create_time from oi
+            union all select 'detail', id, create_time from od
+            union all select 'payment', id, create_time from pay)
+        where id % 9 = 0"""),
+    "product_rows_dirty": ((), f"""
+        select case event_type when 'click' then 'favor' else 'cart' end input,
+               cast(event_id % 200 as varchar) sku_id,
+               'on ' || {_text("epoch_ms(date_trunc('second', ts))")} create_time
+        from events where event_type in ('click', 'purchase') and event_id % 71 = 0"""),
     "order_wide_join": (("joined",), f"select {_JOINED} from joined"),
     "order_wide": (("wide",), "select * exclude (create_ts) from wide"),
     "payment_wide": (("wide", "pay"), """
@@ -499,9 +511,15 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
         select vc, ch, ar, is_new, cast(uv_ct as bigint) uv_ct, cast(pv_ct as bigint) pv_ct,
                cast(sv_ct as bigint) sv_ct, cast(uj_ct as bigint) uj_ct,
                cast(dur_sum as bigint) dur_sum, ts from vr"""),
-    "visitor_rows_literal": (("fixed",), """
-        select vc, ch, ar, is_new, count(*) pv_ct, count(last_page_id) sv_ct
-        from fixed group by all"""),
+    "visitor_rows_literal": (("fixed", "vr"), """
+        select vc, ch, ar, is_new, cast(uv_ct as bigint) uv_ct, cast(pv_ct as bigint) pv_ct,
+               cast(sv_ct as bigint) sv_ct, cast(uj_ct as bigint) uj_ct,
+               cast(dur_sum as bigint) dur_sum, ts
+        from (
+            select * from vr where pv_ct = 0
+            union all
+            select vc, ch, ar, is_new, 0, 1, case when last_page_id is null then 0 else 1 end, 0,
+                   during_time, ts from fixed)"""),
     "visitor_stats": (("vs",), f"select {_VS} from vs"),
     "product_click": (("pl",), """
         select cast(item as bigint) sku_id, ts, cast(1 as bigint) click_ct

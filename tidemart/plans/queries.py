@@ -163,7 +163,8 @@ def dim_read(spark, d):
 
 @query
 def jdbc_rename(spark, d):
-    return camel_columns(bind.table(spark, d, "customer").drop("c_acctbal"))
+    balance = F.col("c_acctbal").cast("decimal(16,2)")
+    return camel_columns(bind.table(spark, d, "customer").withColumn("c_acctbal", balance))
 
 
 @query
@@ -288,7 +289,7 @@ def cdc_normalize_reads(spark, d):
     normal = changes.normalize(
         bind.raw_changes(spark, d), keep=("offset",), map_read_to_insert=False
     )
-    return normal.groupBy("database", "tableName", "type").agg(F.count("*").alias("n"))
+    return _maps_as_text(normal, "before", "after")
 
 
 @query
@@ -444,13 +445,25 @@ def order_parse(spark, d):
 @query
 def order_parse_dirty(spark, d):
     """Orders whose time text is broken go to the dirty table."""
-    broken = F.when(F.col("id") % 9 == 0, F.concat(F.lit("on "), "create_time"))
-    shaky = bind.order_info(spark, d).withColumn(
-        "create_time", F.coalesce(broken, F.col("create_time"))
-    )
+    shaky = _shaky(bind.order_info(spark, d))
     return orders.bad_times(orders.parse_orders(shaky)).select("id", "create_time")
 
 
+def _shaky(rows: DataFrame) -> DataFrame:
+    """Every ninth row has a time text that nobody can read."""
+    broken = F.when(F.col("id") % 9 == 0, F.concat(F.lit("on "), "create_time"))
+    return rows.withColumn("create_time", F.coalesce(broken, F.col("create_time")))
+
+
+@query
+def order_flow_dirty(spark, d):
+    """What the order, detail and payment inputs of the wide records leave behind."""
+    return flows.dirty_times({
+        "order": _shaky(bind.order_info(spark, d)), "detail": _shaky(bind.order_detail(spark, d)),
+        "payment": _shaky(bind.payment_info(spark, d)),
+    }, "id")
+
+
 @query
 def order_wide_join(spark, d):
     return flows.joined_orders(spark, d).drop("split_feight_fee", "expire_time", "operate_time")
@@ -488,20 +501,20 @@ def _details(spark: SparkSession, d: str) -> DataFrame:
 @query
 def enrich(spark, d):
     """The generic lookup; half of the dimension is missing, so many rows pass unmatched."""
-    cheap = bind.dim_sku(spark, d).where(F.col("price").cast("decimal(16,2)") < 950)
+    cheap = bind.dim_sku(spark, d).where(F.col("price").try_cast("decimal(16,2)") < 950)
     return joins.enrich(_details(spark, d), cheap, "sku_id", {"price": "price"})
 
 
 @query
 def enrich_user(spark, d):
     base = bind.order_info(spark, d).select("id", "user_id")
-    return orders.add_user(base, bind.dim_user(spark, d), bind.AS_OF)
+    return orders.add_user(base, bind.with_bad_id(bind.dim_user(spark, d)), bind.AS_OF)
 
 
 @query
 def enrich_province(spark, d):
     base = bind.order_info(spark, d).select("id", "province_id")
-    return orders.add_province(base, bind.dim_province(spark, d))
+    return orders.add_province(base, bind.with_bad_id(bind.dim_province(spark, d)))
 
 
 def _with_sku(spark: SparkSession, d: str) -> DataFrame:
@@ -509,7 +522,7 @@ def _with_sku(spark: SparkSession, d: str) -> DataFrame:
         "sku_name": "sku_name", "sku_price": F.col("price").cast("decimal(16,2)"),
         **{n: F.col(n).cast("long") for n in ("spu_id", "tm_id", "category3_id")},
     }
-    return joins.enrich(_details(spark, d), bind.dim_sku(spark, d), "sku_id", take)
+    return joins.enrich(_details(spark, d), bind.with_bad_id(bind.dim_sku(spark, d)), "sku_id", take)
 
 
 @query
@@ -520,20 +533,21 @@ def enrich_sku(spark, d):
 @query
 def enrich_spu(spark, d):
     base = _with_sku(spark, d).select("order_id", "sku_id", "spu_id")
-    return joins.enrich(base, bind.dim_spu(spark, d), "spu_id", {"spu_name": "spu_name"})
+    return joins.enrich(base, bind.with_bad_id(bind.dim_spu(spark, d)), "spu_id", {"spu_name": "spu_name"})
 
 
 @query
 def enrich_tm(spark, d):
     base = _with_sku(spark, d).select("order_id", "sku_id", "tm_id")
-    return joins.enrich(base, bind.dim_trademark(spark, d), "tm_id", {"tm_name": "tm_name"})
+    tm = bind.with_bad_id(bind.dim_trademark(spark, d))
+    return joins.enrich(base, tm, "tm_id", {"tm_name": "tm_name"})
 
 
 @query
 def enrich_category3(spark, d):
     base = _with_sku(spark, d).select("order_id", "sku_id", "category3_id")
     return joins.enrich(
-        base, bind.dim_category3(spark, d), "category3_id", {"category3_name": "name"}
+        base, bind.with_bad_id(bind.dim_category3(spark, d)), "category3_id", {"category3_name": "name"}
     )
 
 
@@ -616,10 +630,7 @@ def visitor_rows(spark, d):
 @query
 def visitor_rows_literal(spark, d):
     """Sessions counted by the rule the original code applies."""
-    rows = flows.visit_flow(flows.repaired_pages(spark, d), DURATIONS).rows(literal=True)
-    return rows.groupBy("vc", "ch", "ar", "is_new").agg(
-        F.sum("pv_ct").alias("pv_ct"), F.sum("sv_ct").alias("sv_ct")
-    )
+    return flows.visit_flow(flows.repaired_pages(spark, d), DURATIONS).rows(literal=True)
 
 
 @query
@@ -642,6 +653,11 @@ def product_rows(spark, d):
     return flows.product_measures(spark, d)
 
 
+@query
+def product_rows_dirty(spark, d):
+    return flows.product_dirty(spark, d)
+
+
 @query
 def product_stats(spark, d):
     return flows.product_stats(spark, d)

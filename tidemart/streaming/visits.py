@@ -51,6 +51,11 @@ _CLAIM = StructType([
 ])
 
 
+def _arrival(row) -> tuple:
+    """Order of arrival within a batch; a record without a time comes last."""
+    return row.ts is None, row.ts or 0, row.event_id
+
+
 class FirstClaim(StatefulProcessor):
     """Leaves the flag to the first claim ever of a key; state does not expire.
 
@@ -76,7 +81,7 @@ class FirstClaim(StatefulProcessor):
                 yield out(row, "0")
             elif best is None:
                 best = row
-            elif (row.ts, row.event_id) < (best.ts, best.event_id):
+            elif _arrival(row) < _arrival(best):
                 yield out(best, "0")
                 best = row
             else:
