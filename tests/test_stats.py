@@ -147,3 +147,22 @@ def test_period_filter_reaches_the_scan_of_stored_stats(spark, tmp_path):
     plan = reports.gross_sales(spark.read.parquet(path), "20240115")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(stt,2024-01-15" in text
+
+
+def test_reports_read_their_partitions_alone(spark, sf_dir):
+    flows.build_statistics(spark, sf_dir)
+    cases = {
+        "product": [reports.gross_sales, reports.by_trademark, reports.by_category3, reports.by_spu],
+        "province": [reports.by_province], "keyword": [reports.keyword_scores],
+        "visitor": [reports.by_new_flag, reports.visitor_rates, reports.by_hour, reports.hours_filled],
+    }
+    for name, functions in cases.items():
+        table = flows.statistics(spark, sf_dir, name)
+        for report in functions:
+            for day in ("19970310", None):
+                plan = report(table, day)._jdf.queryExecution().executedPlan().toString()
+                scan = next(line for line in plan.split("\n") if "FileScan" in line and "dt#" in line)
+                filters = scan.split("PartitionFilters: [")[1].split("]")[0]
+                assert "dt#" in filters and ">=" in filters and "<=" in filters, (report.__name__, day)
+    one = flows.statistics(spark, sf_dir, "product").where("dt = '1997-03'")
+    assert all("dt=1997-03" in path for path in one.select("stt", F.input_file_name().alias("f")).select("f").toPandas().f)

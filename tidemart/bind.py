@@ -11,6 +11,7 @@ from tidemart.functions.times import time_text
 from tidemart.session import configure
 
 AS_OF = "2024-01-31"
+VISIT_DATE = "2024-01-15"
 
 TOPIC_PREFIX = "capture.shop."
 USERS, ORDERS, PROVINCES, REGIONS = "user_info", "order_info", "base_province", "base_region"

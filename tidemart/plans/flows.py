@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart import bind, schemas
 from tidemart.operators import joins, logs, orders, stats, visits
+from tidemart.plans.layers import layer
 from tidemart.streaming.run import stored
 
 HOUR, DAY = 3_600_000, 86_400_000
@@ -24,12 +25,14 @@ class Durations:
     payment_upper: int = 5 * orders.SECOND
     visitor_window: str = stats.TEN_SECONDS
     product_window: str = stats.TEN_SECONDS
+    # Leading characters of a window start that name a partition of stored statistics.
+    period_width: int = 10
 
 
 # The test tables are sparse in time, so they are read with longer bounds.
 SPARSE = Durations(
     bounce_timeout=6 * HOUR, order_bound=120 * DAY,
-    visitor_window="1 hour", product_window="1 day",
+    visitor_window="1 hour", product_window="1 day", period_width=7,
 )
 
 
@@ -61,23 +64,12 @@ def repaired_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(pages.schema).parquet(stored(spark, pages, "page-log"))
 
 
-_snowflakes: dict[tuple[str, str], str] = {}
-
-
-def snowflake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The article dimension, from the table that is written once per application.
-
-    Being stored, its size is known when a job is planned, and so is whether it may be
-    broadcast. The estimate for an unfinished join would be the product of its inputs.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _snowflakes:
-        built = joins.sku_snowflake(
-            bind.dim_sku(spark, sf_dir), bind.dim_spu(spark, sf_dir),
-            bind.dim_trademark(spark, sf_dir), bind.dim_category3(spark, sf_dir),
-        )
-        _snowflakes[key] = stored(spark, built, "dim-sku")
-    return spark.read.parquet(_snowflakes[key])
+def snowflake(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
+    """The article dimension with all its names, as a layer."""
+    return layer(spark, sf_dir, "dim-sku", lambda: joins.sku_snowflake(
+        bind.dim_sku(spark, sf_dir), bind.dim_spu(spark, sf_dir),
+        bind.dim_trademark(spark, sf_dir), bind.dim_category3(spark, sf_dir),
+    ), rebuild=rebuild)
 
 
 def joined_orders(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
@@ -172,3 +164,25 @@ def province_stats(spark: SparkSession, sf_dir: str, durations: Durations = SPAR
 def keyword_stats(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
     searches = stats.search_rows(bind.page_log(spark, sf_dir))
     return stats.keyword_stats(searches, durations.visitor_window)
+
+
+STATISTICS = {
+    "product": product_stats, "visitor": visitor_stats, "province": province_stats,
+    "keyword": keyword_stats,
+}
+
+
+def statistics(
+    spark: SparkSession, sf_dir: str, name: str, durations: Durations = SPARSE, rebuild: bool = False
+) -> DataFrame:
+    """A statistics table as the jobs leave it and the reports read it, stored by period."""
+    return layer(
+        spark, sf_dir, f"{name}-stats", lambda: STATISTICS[name](spark, sf_dir, durations),
+        durations.period_width, rebuild,
+    )
+
+
+def build_statistics(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> None:
+    """Write all statistics tables anew, before reports are asked for."""
+    for name in STATISTICS:
+        statistics(spark, sf_dir, name, durations, rebuild=True)

@@ -660,4 +660,5 @@ def all_oracles() -> dict[str, str]:
         text = f"select * from ({body})" if parts and body.lstrip().startswith("with") else body
         result[name] = ("with " + ",\n".join(parts) + "\n" + text) if parts else body
     result["stream_payment_wide"] = result["payment_wide"]
+    result["report_visitor_default_day"] = result["report_visitor"]
     return result

@@ -673,19 +673,17 @@ def province_stats(spark, d):
 
 @query
 def report_gmv(spark, d):
-    # The total needs no names, so the sums are read without a lookup.
-    sums = stats.product_sums(flows.product_measures(spark, d), DURATIONS.product_window)
-    return reports.gross_sales(sums, SALES_FROM, SALES_TO)
+    return reports.gross_sales(flows.statistics(spark, d, "product"), SALES_FROM, SALES_TO)
 
 
 @query
 def report_trademark(spark, d):
-    return reports.by_trademark(flows.product_stats(spark, d), SALES_FROM, SALES_TO)
+    return reports.by_trademark(flows.statistics(spark, d, "product"), SALES_FROM, SALES_TO)
 
 
 @query
 def report_trademark_series(spark, d):
-    series = reports.trademark_series(flows.product_stats(spark, d), SALES_FROM, SALES_TO)
+    series = reports.trademark_series(flows.statistics(spark, d, "product"), SALES_FROM, SALES_TO)
     return series.select(
         F.array_join("categories", ",").alias("categories"),
         F.array_join(F.transform("data", lambda x: x.cast("string")), ",").alias("data"),
@@ -694,42 +692,48 @@ def report_trademark_series(spark, d):
 
 @query
 def report_category3(spark, d):
-    return reports.by_category3(flows.product_stats(spark, d), SALES_FROM, SALES_TO)
+    return reports.by_category3(flows.statistics(spark, d, "product"), SALES_FROM, SALES_TO)
 
 
 @query
 def report_spu(spark, d):
-    return reports.by_spu(flows.product_stats(spark, d), SALES_FROM, SALES_TO)
+    return reports.by_spu(flows.statistics(spark, d, "product"), SALES_FROM, SALES_TO)
 
 
 @query
 def report_province(spark, d):
-    return reports.by_province(flows.province_stats(spark, d), SALES_FROM, SALES_TO)
+    return reports.by_province(flows.statistics(spark, d, "province"), SALES_FROM, SALES_TO)
 
 
 @query
 def report_visitor(spark, d):
-    return reports.by_new_flag(flows.visitor_stats(spark, d), VISIT_DAY)
+    return reports.by_new_flag(flows.statistics(spark, d, "visitor"), VISIT_DAY)
+
+
+@query
+def report_visitor_default_day(spark, d):
+    """No day is named, so the clock gives it."""
+    return reports.by_new_flag(flows.statistics(spark, d, "visitor"), now=bind.VISIT_DATE)
 
 
 @query
 def report_visitor_rates(spark, d):
-    return reports.visitor_rates(flows.visitor_stats(spark, d), VISIT_DAY)
+    return reports.visitor_rates(flows.statistics(spark, d, "visitor"), VISIT_DAY)
 
 
 @query
 def report_hourly(spark, d):
-    return reports.by_hour(flows.visitor_stats(spark, d), VISIT_DAY)
+    return reports.by_hour(flows.statistics(spark, d, "visitor"), VISIT_DAY)
 
 
 @query
 def report_hourly_filled(spark, d):
-    return reports.hours_filled(flows.visitor_stats(spark, d), VISIT_DAY)
+    return reports.hours_filled(flows.statistics(spark, d, "visitor"), VISIT_DAY)
 
 
 @query
 def report_keyword(spark, d):
-    return reports.keyword_scores(flows.keyword_stats(spark, d), VISIT_DAY)
+    return reports.keyword_scores(flows.statistics(spark, d, "keyword"), VISIT_DAY)
 
 
 # Streaming forms

@@ -1,31 +1,42 @@
 """Dashboard results over the statistics tables, one function each.
 
-``day`` is ``yyyyMMdd``; without one, the current day is meant. ``last`` makes the period
-longer than a day. The period is a range on the window-start text, which a scan of stored
-statistics can prune on.
+``day`` is ``yyyyMMdd``; without one, the day of the clock is meant: ``now``, or the current
+date. ``last`` makes the period longer than a day. The period is a range on the window-start
+text and, for stored statistics, on their partitions, so other partitions are not read.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart import schemas
 from tidemart.functions.codes import KEYWORD_WEIGHT
 from tidemart.functions.rates import bounce_rate, pages_per_visit, seconds_per_visit
 from tidemart.functions.times import parse_time
+from tidemart.plans.layers import PERIOD
 
 
-def _period(stats: DataFrame, day: str | None, last: str | None) -> DataFrame:
+def _period(
+    stats: DataFrame, day: str | None, last: str | None, now: Column | str | None = None
+) -> DataFrame:
     if day is None:
-        today = F.date_format(F.current_date(), "yyyy-MM-dd")
-        return stats.where(F.col("stt").between(today, F.concat(today, F.lit(" 23:59:59"))))
-    start = datetime.strptime(day, "%Y%m%d")
-    end = datetime.strptime(last or day, "%Y%m%d") + timedelta(days=1)
-    form = "%Y-%m-%d %H:%M:%S"
-    stt = F.col("stt")
-    return stats.where((stt >= start.strftime(form)) & (stt < end.strftime(form)))
+        clock = F.current_date() if now is None else F.to_date(F.lit(now) if isinstance(now, str) else now)
+        first = final = F.date_format(clock, "yyyy-MM-dd")
+    else:
+        first, final = [
+            F.lit(datetime.strptime(d, "%Y%m%d").strftime("%Y-%m-%d")) for d in (day, last or day)
+        ]
+    found = stats.where(F.col("stt").between(first, F.concat(final, F.lit(" 23:59:59"))))
+    if PERIOD in stats.columns:
+        # A day's text begins with the name of its partition, be it of days or months.
+        period = F.col(PERIOD)
+        width = F.length(period)
+        found = found.where(
+            (period >= first.substr(F.lit(1), width)) & (period <= final.substr(F.lit(1), width))
+        )
+    return found
 
 
 def gross_sales(product_stats: DataFrame, day: str | None = None, last: str | None = None) -> DataFrame:
@@ -81,8 +92,8 @@ def by_province(province_stats: DataFrame, day=None, last=None) -> DataFrame:
 _SUMS = ["uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum"]
 
 
-def by_new_flag(visitor_stats: DataFrame, day=None, last=None) -> DataFrame:
-    return _period(visitor_stats, day, last).groupBy("is_new").agg(
+def by_new_flag(visitor_stats: DataFrame, day=None, last=None, now=None) -> DataFrame:
+    return _period(visitor_stats, day, last, now).groupBy("is_new").agg(
         *[F.sum(name).alias(name) for name in _SUMS]
     )
 
