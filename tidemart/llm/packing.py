@@ -24,22 +24,27 @@ from pyspark.sql import DataFrame, functions as F
 from tidemart.llm.common import stored, text_of
 
 LENGTH, END_ID, GROUP = 2048, 1, 4096
-_KNOWN_WORDS = 600_000
+_KNOWN_WORDS = 1_000_000
 _SLICE = 1 << 20
 # White space beyond ASCII, and controls that Python alone counts as white space.
 _ODD_SPACE = re.compile("[" + "".join(map(chr, (
     *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 ))) + "]")
 _ASCII_SPACE = re.compile(r"[ \t\n\x0b\x0c\r]+")
-# A run of Latin letters with closing punctuation: two pre-tokens at most.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)").fullmatch
+_BEYOND = re.compile("[^\x00-\xff]")
+_LATIN = "a-zß-öø-ÿ"
+# Pre-tokens of lower-case Latin-1 text: letters and closing marks where nothing else touches
+# them, and everything between white space otherwise.
+_CUT = re.compile(f"[{_LATIN}]+(?=[\\s.,!?;:]|$)|[.,!?;:]+(?=[\\s{_LATIN}]|$)|\\S+").findall
+_ONE = re.compile(f"[{_LATIN}]+|[.,!?;:]+").fullmatch
 
 
 class WordEncoder:
     """Ids of texts whose tokenizer drops white space and never looks across it.
 
-    Words are encoded once and kept as bytes of 32-bit ids. New plain words are encoded
-    together: each ends with one token that carries the word-end mark, where the ids are cut.
+    Words are encoded once and kept as bytes of 32-bit ids; texts in Latin-1 are lower-cased and
+    cut to pre-tokens first, of which there are fewer. New pre-tokens are encoded together:
+    each ends with one token that carries the word-end mark, where the ids are cut.
     """
 
     def __init__(self, path: str):
@@ -59,42 +64,37 @@ class WordEncoder:
         for word, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
             self.known[word] = np.array(e.ids, "<u4").tobytes()
 
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        if _ODD_SPACE.search(text):
+            return _ASCII_SPACE.split(text)
+        # Beyond Latin-1, lower case and composed letters depend on their neighbours.
+        return text.split() if _BEYOND.search(text) else _CUT(text.lower())
+
     def _learn(self, words: set[str]) -> None:
-        if len(self.known) > _KNOWN_WORDS:
-            self.known.clear()
-        plain, other = {}, []
-        for word in words:
-            if m := _PLAIN(word):
-                plain[word] = (m[1].lower(), m[2])
-            else:
-                other.append(word)
-        fresh = list({part for pair in plain.values() for part in pair if part} - self.known.keys())
-        for at in range(0, len(fresh), 20_000):
-            some = fresh[at : at + 20_000]
+        plain = list(filter(_ONE, words))
+        for at in range(0, len(plain), 20_000):
+            some = plain[at : at + 20_000]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(cuts) != len(some):
                 self._single(some)
                 continue
             raw, start = ids.tobytes(), 0
-            for word, cut in zip(some, (cuts * 4).tolist()):
+            for word, cut in zip(some, cuts.tolist()):
                 self.known[word] = raw[start:cut]
                 start = cut
-        for word, (letters, marks) in plain.items():
-            self.known[word] = self.known[letters] + (self.known[marks] if marks else b"")
-        self._single(other)
+        self._single(list(words.difference(plain)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [
-            _ASCII_SPACE.split(t) if _ODD_SPACE.search(t) else t.split() for t in texts
-        ]
+        split = list(map(self._words, texts))
         words = set().union(*split)
         words.discard("")
+        if len(self.known) > _KNOWN_WORDS:
+            self.known.clear()
         missing = words - self.known.keys()
         if missing:
             self._learn(missing)
-            if len(self.known) <= len(missing):  # it was emptied
-                self._learn(words - self.known.keys())
         self.known[""] = b""
         find = self.known.__getitem__
         return [b"".join(map(find, own)) for own in split]
