@@ -82,3 +82,16 @@ def test_json_rows_round_trip(spark):
     back = json.loads(rows.first().value)
     assert back["common"]["mid"] == "m" and len(back["displays"]) == 2 and back["ts"] == 7
     assert rows.where(F.col("value").contains("last_page_id")).count() == 0
+
+
+def test_a_claim_without_a_time_comes_last(spark):
+    rows = [page(1, "m", None, None, "1"), page(2, "m", 5, None, "1"), page(3, "m", 5, None, "1"), page(4, "n", None, None, "1"),
+            page(5, "m", 1, None, "0"), page(6, None, 9, None, "1")]
+    fixed = logs.repair_new_flag(frame(spark, rows))
+    assert {r.event_id: r.common.is_new for r in fixed.collect()} == {1: "0", 2: "1", 3: "0", 4: "1", 5: "0", 6: "1"}
+
+
+def test_records_without_a_time_are_dirty(spark):
+    line = '{"common":{"mid":"m","is_new":"1"},"page":{"page_id":"p"}}'
+    parsed = logs.parse_log(spark.createDataFrame([(line,), (line[:-1] + ',"ts":5}',)], "value string"))
+    assert [r.reason for r in parsed.orderBy("ts").collect()] == ["no_ts", None]

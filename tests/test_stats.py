@@ -166,3 +166,13 @@ def test_reports_read_their_partitions_alone(spark, sf_dir):
                 assert "dt#" in filters and ">=" in filters and "<=" in filters, (report.__name__, day)
     one = flows.statistics(spark, sf_dir, "product").where("dt = '1997-03'")
     assert all("dt=1997-03" in path for path in one.select("stt", F.input_file_name().alias("f")).select("f").toPandas().f)
+
+
+def test_good_and_dirty_times_are_all_rows(spark, sf_dir):
+    from tidemart import bind
+    for rows in (bind.favor_info(spark, sf_dir), bind.cart_info(spark, sf_dir)):
+        parsed = orders.parse_created(rows)
+        good, bad = orders.good_times(parsed).count(), orders.bad_times(parsed).count()
+        assert good + bad == rows.count() and good and bad
+    measures = spark.createDataFrame([(1, 5), (None, 5), (1, None)], "sku_id long, ts long")
+    assert (stats.complete(measures).count(), stats.incomplete(measures).count()) == (1, 2)

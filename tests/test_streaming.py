@@ -149,3 +149,26 @@ def test_product_sums_over_files_equal_batch(spark):
     closed = F.timestamp_millis(F.lit(rows[-1][4] - 2_000))
     batch = sums(frame(spark, rows)).where(F.to_timestamp("edt") <= closed)
     assert found.count() == batch.count() > 0 and found.exceptAll(batch).isEmpty()
+
+
+def test_bounce_state_is_freed(spark):
+    """Records of slices without an entry leave with their slice."""
+    own = stream_session(spark, 2)
+    path = fresh_dir(spark, "no-entries")
+    schema = frame(spark, []).schema
+    checkpoint, out = fresh_dir(spark, "checkpoint"), fresh_dir(spark, "out")
+    early = [page(n, f"m{n % 20}", 1_000_000 + n * 50, "home") for n in range(80)]
+    late = [page(1000 + n, "other", 1_000_000 + n * 40_000_000, "home") for n in (1, 2, 3)]
+    kept = []
+    for rows in (early, *[[row] for row in late]):
+        frame(spark, rows).coalesce(1).write.mode("append").parquet(path)
+        stream = own.readStream.schema(schema).parquet(path)
+        found = stream_visits.bounce_details(stream, TIMEOUT)
+        query = (
+            found.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    # Only the last record's own slice is open; the twenty visitors' keys are gone.
+    assert kept[0] >= 20 and kept[-1] <= 4

@@ -51,15 +51,15 @@ def test_tokens_match_brute_force(spark, seed):
     assert tokens(spark, texts, WORDS) == expected
 
 
-def test_without_words_only_letters_and_digits(spark):
-    assert tokens(spark, ["移动 4G", "", "---"]) == ["4", "4g", "g"]
+def test_without_words_each_character_stands_alone(spark):
+    assert tokens(spark, ["移动 4G", "", "---", "㐀か한"]) == sorted(["4", "4g", "g", "移", "动", "㐀", "か", "한"])
 
 
 def test_sql_function_gives_the_same(spark):
     register_keyword_function(spark)
     spark.createDataFrame([(TITLE,), ("",), (None,)], "t string").createOrReplaceTempView("titles")
     rows = spark.sql("select k.keyword from titles, lateral keyword_tokens(t) k").collect()
-    assert sorted(r.keyword for r in rows) == naive(TITLE)
+    assert sorted(r.keyword for r in rows) == sorted(naive(TITLE) + re.findall("[一-鿿]", TITLE))
 
 
 def test_camel_names(spark):

@@ -340,6 +340,27 @@ def rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULES, schemas.RULE)
 
 
+def order_rule_changes(spark: SparkSession) -> DataFrame:
+    """Two changes of the rule for orders: first all columns to one topic, then ids to another."""
+    rows = [
+        (n, (ORDERS, "insert", "kafka", table, columns))
+        for n, (table, columns) in enumerate([
+            ("dwd_order_info", "id,user_id,order_status"), ("dwd_order_ids", "id"),
+        ])
+    ]
+    shape = "n long, r struct<source_table:string,operate_type:string,sink_type:string,sink_table:string,sink_columns:string>"
+    frame = spark.createDataFrame(rows, shape)
+    return _envelope(frame, "table_process", F.lit("c"), F.col("n"), F.col("r"))
+
+
+def user_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users' table as a snapshot finds it, before any of its changes."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"),
+    )
+
+
 def rule_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A long history of rule changes, one per order: 40 tables, three operations."""
     key = F.col("o_orderkey")
@@ -373,6 +394,21 @@ def sensor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(F.concat_ws(",", "id", "ts", "vc").alias("value"))
 
 
+# Phrases of Chinese product titles, and a word list for them.
+HAN_PHRASES = ["深空灰色", "移动联通电信4G手机", "双卡双待", "官方旗舰店"]
+HAN_WORDS = ["移动", "联通", "移动联通", "电信", "手机", "双卡", "卡双", "待", "灰色"]
+
+
+def han_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles that mix Latin names with Chinese phrases."""
+    phrases = F.array(*[F.lit(p) for p in HAN_PHRASES])
+    key = F.col("p_partkey")
+    pick = [F.get(phrases, (key % n).cast("int")) for n in (4, 3)]
+    return table(spark, sf_dir, "part").select(
+        key.alias("sku_id"), F.concat_ws(" ", "p_name", F.concat(*pick)).alias("title")
+    )
+
+
 def product_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("sku_id"),

@@ -1,23 +1,5 @@
-"""The shop's business codes and the keyword source weights."""
+"""The business codes that results depend on, and the keyword source weights."""
 
-ORDER_STATUS = {
-    "unpaid": "1001", "paid": "1002", "cancelled": "1003",
-    "finished": "1004", "refunding": "1005", "refunded": "1006",
-}
-PAYMENT_TYPE = {"alipay": "1101", "wechat": "1102", "unionpay": "1103"}
 APPRAISE = {"good": "1201", "fair": "1202", "bad": "1203", "auto": "1204"}
-REFUND_REASON = {
-    "bad_goods": "1301", "wrong_description": "1302", "sold_out": "1303",
-    "wrong_size": "1304", "order_mistake": "1305", "not_wanted": "1306",
-    "other": "1307",
-}
-COUPON_STATUS = {"unused": "1401", "in_use": "1402", "used": "1403"}
-REFUND_TYPE = {"money_only": "1501", "with_goods": "1502"}
-SOURCE_TYPE = {
-    "query": "2401", "promotion": "2402", "recommended": "2403", "activity": "2404",
-}
-ACTIVITY_RULE = {"amount_off": "3101", "percent_off": "3102", "discount": "3103"}
-COUPON_TYPE = {"amount_off": "3201", "percent_off": "3202", "voucher": "3203"}
-COUPON_RANGE = {"category3": "3301", "trademark": "3302", "spu": "3303"}
 
 KEYWORD_WEIGHT = {"SEARCH": 10, "ORDER": 3, "CART": 2, "CLICK": 1}

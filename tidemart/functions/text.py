@@ -17,7 +17,10 @@ from tidemart.functions.times import as_column
 RUN = "[a-z0-9]+"
 PART = "[a-z]+|[0-9]+"
 MIXED = "[a-z][0-9]|[0-9][a-z]"
-HAN_RUN = "[\\u4e00-\\u9fff]+"
+# Scripts written without spaces, all of their blocks.
+HAN = "[\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsHangul}]"
+HAN_RUN = HAN + "+"
+HAN_SQL = HAN.replace("\\", "\\\\")
 
 
 def letter_runs(text: Column | str) -> Column:
@@ -35,8 +38,8 @@ def run_tokens(run: Column | str) -> Column:
 def han_tokens(df: DataFrame, text: str, words: DataFrame, keyword: str) -> DataFrame:
     """One row per token of the Han runs of ``df[text]``.
 
-    The word list is joined on its first character, so neither side is collected.
-    Coverage is decided inside one run of one text, a group no key can make large.
+    Every part of a run that is as long as some word is joined with the list as a whole, so
+    neither side is collected and a part meets its own word alone. Coverage is decided inside one run of one text, a group no key can make large.
     """
     # The row id exists so that two equal texts stay two rows. It is recomputed
     # nowhere: every later step works on this one frame.
@@ -49,11 +52,22 @@ def han_tokens(df: DataFrame, text: str, words: DataFrame, keyword: str) -> Data
     spots = runs.select("*", F.explode(F.sequence(F.lit(1), F.length("_run"))).alias("_pos"))
     spots = spots.withColumn("_char", F.col("_run").substr(F.col("_pos"), F.lit(1)))
     listed = words.select(F.col(words.columns[0]).alias("_word")).where("_word != ''").distinct()
-    listed = listed.withColumn("_first", F.col("_word").substr(1, 1))
-    fits = (F.col("_char") == F.col("_first")) & (
-        F.col("_run").substr(F.col("_pos"), F.length("_word")) == F.col("_word")
+    # As many values as the longest word has characters, at most.
+    sizes = [r.n for r in listed.select(F.length("_word").alias("n")).distinct().collect()]
+    fitting = F.filter(
+        F.array(*[F.lit(n) for n in sorted(sizes) or [0]]),
+        lambda n: (n > 0) & (F.col("_pos") + n - 1 <= F.length("_run")),
     )
-    matched = spots.join(listed, fits, "left")
+    parts = spots.select("*", F.explode_outer(fitting).alias("_size")).withColumn(
+        "_part", F.col("_run").substr(F.col("_pos"), F.coalesce("_size", F.lit(0)))
+    )
+    found = parts.join(listed, F.col("_part") == F.col("_word"), "left")
+    # A position is one row for each word that begins there, or one without a word.
+    first = F.coalesce("_size", F.lit(0)) == F.coalesce(
+        F.min("_size").over(Window.partitionBy("_row", "_run_no", "_pos")), F.lit(0))
+    words_here = F.count("_word").over(Window.partitionBy("_row", "_run_no", "_pos"))
+    found = found.withColumns({"_some": words_here, "_lead": first})
+    matched = found.where(F.col("_word").isNotNull() | ((F.col("_some") == 0) & F.col("_lead")))
     reach = F.max(F.col("_pos") + F.length("_word")).over(
         Window.partitionBy("_row", "_run_no").orderBy("_pos")
     )
@@ -68,11 +82,12 @@ def han_tokens(df: DataFrame, text: str, words: DataFrame, keyword: str) -> Data
 def keyword_rows(
     df: DataFrame, text: str, keyword: str = "keyword", words: DataFrame | None = None
 ) -> DataFrame:
-    """One row per token; texts without a token vanish."""
-    runs = df.select("*", F.explode(letter_runs(text)).alias("_run"))
-    found = runs.select(*df.columns, F.explode(run_tokens("_run")).alias(keyword))
+    """One row per token; texts without a token vanish. Without words each Han character is one."""
+    tokens = F.flatten(F.transform(letter_runs(text), run_tokens))
     if words is None:
-        return found
+        alone = F.regexp_extract_all(F.col(text), F.lit(HAN), F.lit(0))
+        return df.select("*", F.explode(F.concat(tokens, alone)).alias(keyword))
+    found = df.select("*", F.explode(tokens).alias(keyword))
     return found.unionByName(han_tokens(df, text, words, keyword))
 
 
@@ -86,11 +101,11 @@ def register_keyword_function(spark: SparkSession, name: str = "keyword_tokens")
         f"""
         create or replace temporary function {name}(txt string)
         returns table (keyword string)
-        return select explode(flatten(transform(
+        return select explode(concat(flatten(transform(
             regexp_extract_all(lower(txt), '{RUN}', 0),
             run -> case when run rlike '{MIXED}'
                         then concat(array(run), regexp_extract_all(run, '{PART}', 0))
-                        else array(run) end)))
+                        else array(run) end)), regexp_extract_all(txt, '{HAN_SQL}', 0)))
         """
     )
 

@@ -130,6 +130,21 @@ def dimension_schema(sink_columns: str, sink_pk: str | None = None) -> StructTyp
     )
 
 
+def rule_shape(rules: DataFrame, sink_table: str) -> tuple[StructType, str]:
+    """Shape and key of a dimension as its rules name them.
+
+    All rules of a table agree; where one leaves the key out, another may give it.
+    """
+    rows = rules.where(F.col("sink_table") == sink_table).select("sink_columns", "sink_pk").distinct().collect()
+    if not rows:
+        raise ValueError(f"no rule names {sink_table}")
+    columns = {row.sink_columns for row in rows}
+    if len(columns) > 1:
+        raise ValueError(f"rules of {sink_table} disagree: {sorted(columns)}")
+    key = next((row.sink_pk for row in rows if row.sink_pk), "id")
+    return dimension_schema(columns.pop(), key), key
+
+
 def image_columns(df: DataFrame, schema: StructType, image: str = "after") -> DataFrame:
     """The map of a change as columns of the given shape."""
     return df.select(
@@ -142,8 +157,14 @@ def dimension_rows(
     order: str = "offset",
 ) -> DataFrame:
     """The dimension table a rule fills: the last image of each key."""
-    shape = dimension_schema(sink_columns, sink_pk)
-    key = F.col("after").getItem(sink_pk or "id")
+    return dimension_of(routed, sink_table, dimension_schema(sink_columns, sink_pk), sink_pk or "id", order)
+
+
+def dimension_of(
+    routed: DataFrame, sink_table: str, shape: StructType, key: str, order: str = "offset"
+) -> DataFrame:
+    """The last image of each key of a dimension, in the given shape."""
+    key = F.col("after").getItem(key)
     mine = routed.where(F.col("sinkTable") == sink_table)
     return image_columns(latest_per_key(mine, [key], order), shape)
 

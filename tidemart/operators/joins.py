@@ -17,9 +17,10 @@ from tidemart.functions.times import slice_of
 
 LEFT, RIGHT = "l_", "r_"
 
-# A copied row lands in one slice, or in two when its bounds cross an edge. With
-# slices this many times longer than the bounds, one row in eight is copied.
-SLICES_PER_SPAN = 8
+# A copied row lands in one slice, or in two when its bounds cross an edge. With slices this
+# many times longer than the bounds, every second row is copied, and a row of a hot key meets
+# about three times the partners it keeps. Longer slices copy less and compare more.
+SLICES_PER_SPAN = 2
 
 
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -34,8 +35,9 @@ def _sliced(
 
     Each row of ``fixed`` lies in one slice of time. Each row of ``copied`` is copied to
     every slice that can hold a partner, so a fixed row meets all of its partners in its
-    own slice. One hot key is thus spread over its slices, and within a slice only rows
-    close in time are compared. As no fixed row is copied, outer and anti forms are exact.
+    own slice. One hot key is thus spread over its slices. Within a slice all rows of a key
+    are paired and those out of bounds dropped, so a slice is kept not much longer than the
+    bounds. As no fixed row is copied, outer and anti forms are exact.
     """
     here, there = F.col(fixed_time), F.col(copied_time)
     fixed = fixed.withColumn("_slice", slice_of(here, width))

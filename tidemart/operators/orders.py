@@ -37,14 +37,14 @@ def good_times(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("create_ts").isNotNull())
 
 
+# The order's id and unused fields are set apart; its name of the article is the detail's.
+_UNFILLED = ("expire_time", "operate_time")
 _FROM_ORDER = [
-    "order_status", "create_time", "create_date", "create_hour",
-    "activity_reduce_amount", "coupon_reduce_amount", "original_total_amount",
-    "feight_fee", "total_amount", "province_id", "user_id",
+    name for name in (*schemas.ORDER_INFO.fieldNames(), "create_date", "create_hour")
+    if name != "id" and name not in _UNFILLED
 ]
 _FROM_DETAIL = [
-    "sku_id", "sku_name", "order_price", "sku_num", "split_activity_amount",
-    "split_coupon_amount", "split_total_amount",
+    name for name in schemas.ORDER_DETAIL.fieldNames() if name not in ("id", "order_id", "create_time")
 ]
 
 

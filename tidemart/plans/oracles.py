@@ -6,6 +6,8 @@ front of it.
 
 from __future__ import annotations
 
+from tidemart import bind
+
 HOUR, DAY = 3_600_000, 86_400_000
 
 
@@ -267,6 +269,20 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "users_now": (("cut_users",), """
         select cast(id as varchar) id, name, segment from cut_users
         qualify row_number() over (partition by id order by "offset" desc) = 1"""),
+    "tail": ((), """
+        select 'capture.shop.user_info' topic, o "offset", '{"before":'
+               || case when op = 'u' then plain else now end || ','
+               || case when op = 'u' then '"after":' || now || ',' else '' end
+               || '"source":{"db":"shop","table":"user_info"},"op":"' || op || '","ts_ms":' || o || '}' "value"
+        from (
+            select c_custkey * 3 + step o, case step when 1 then 'u' else 'd' end op,
+                   '{"id":' || c_custkey || ',"name":"' || c_name || '","segment":"' || c_mktsegment
+                   || '","nation":' || c_nationkey || '}' plain,
+                   '{"id":' || c_custkey || ',"name":"' || c_name || '","segment":"'
+                   || case when c_custkey % 7 = 0 then lower(c_mktsegment) else c_mktsegment end
+                   || '","nation":' || c_nationkey || '}' now
+            from customer, (values (1), (2)) v(step)
+            where (step = 1 and c_custkey % 7 = 0) or (step = 2 and c_custkey % 31 = 0))"""),
     "views": ((), """
         select cast(user_id as varchar) id, epoch_us(ts) // 1000 ts, cast(floor(value * 100) as bigint) vc,
                event_id from events where event_type = 'view'"""),
@@ -301,6 +317,7 @@ def _tokens(text: str) -> str:
     return f"unnest({runs} || {parts})"
 
 
+_PHRASES = f"{bind.HAN_PHRASES}"
 _TOTALS = """cast(sum(order_amount) as decimal(38,2)) order_amount"""
 _RANK = "having sum(order_amount) > 0 order by order_amount desc,"
 
@@ -309,27 +326,13 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "src_sql_table": (("pl",), f"""
         select item key_word, {_text('ts // 1000 * 1000')} rt from pl
         where last_page_id = 'search' and item is not null"""),
-    "src_changes": ((), """
-        select 'capture.shop.nation' topic, cast(-1 as bigint) "offset",
-               '{"after":{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name
-               || '","n_regionkey":' || n_regionkey
-               || '},"source":{"db":"shop","table":"nation"},"op":"r"}' "value" from nation
-        union all
-        select 'capture.shop.user_info', o, '{' || case when op in ('u', 'd') then
-                   '"before":' || case when op = 'u' then plain else now end || ',' else '' end
-               || case when op <> 'd' then '"after":' || now || ',' else '' end
-               || '"source":{"db":"shop","table":"user_info"},"op":"' || op || '","ts_ms":' || o || '}'
-        from (
-            select c_custkey * 3 + step o,
-                   case step when 1 then 'u' when 2 then 'd'
-                        else case when c_custkey % 10 = 0 then 'r' else 'c' end end op,
-                   '{"id":' || c_custkey || ',"name":"' || c_name || '","segment":"' || c_mktsegment
-                   || '","nation":' || c_nationkey || '}' plain,
-                   '{"id":' || c_custkey || ',"name":"' || c_name || '","segment":"'
-                   || case when step > 0 and c_custkey % 7 = 0 then lower(c_mktsegment)
-                      else c_mktsegment end || '","nation":' || c_nationkey || '}' now
-            from customer, (values (0), (1), (2)) v(step)
-            where step = 0 or (step = 1 and c_custkey % 7 = 0) or (step = 2 and c_custkey % 31 = 0))"""),
+    "src_changes": (("tail",), """
+        select 'capture.shop.user_info' topic, cast(-1 as bigint) "offset",
+               '{"after":{"id":' || c_custkey || ',"name":"' || c_name || '","segment":"' || c_mktsegment
+               || '","nation":' || c_nationkey
+               || '},"source":{"db":"shop","table":"user_info"},"op":"r"}' "value" from customer
+        union all select * from tail"""),
+    "src_changes_tail": (("tail",), "select * from tail"),
     "changelog_table": ((), """
         select cast(c_custkey as varchar) id, c_name name,
                case when c_custkey % 7 = 0 then lower(c_mktsegment) else c_mktsegment end segment,
@@ -386,6 +389,11 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
         from orders
         qualify row_number() over (partition by source_table, operate_type
                                    order by o_orderkey desc) = 1"""),
+    "stream_route_rule_change": ((), """
+        select case o_orderkey % 2 when 0 then 'dwd_order_info' else 'dwd_order_ids' end topic,
+               case o_orderkey % 2 when 0 then '{"id":"' || o_orderkey || '","user_id":"' || o_custkey
+                   || '","order_status":"' || o_orderstatus || '"}' else '{"id":"' || o_orderkey || '"}' end "value"
+        from orders"""),
     "cdc_route_fact": (("chg",), """
         select "offset", tbl "tableName", 'insert' "type", 'dwd_order_info' "sinkTable", after
         from chg where tbl = 'order_info'"""),
@@ -501,6 +509,21 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "keyword_tokens": ((), f"""
         select p_partkey sku_id,
                {_tokens("p_name || ' ' || p_brand || ' ' || p_size || 'GB'")} keyword from part"""),
+    "keyword_tokens_han": ((), f"""
+        with t as (
+            select p_partkey sku_id, p_name || ' ' || {_PHRASES}[p_partkey % 4 + 1] || {_PHRASES}[p_partkey % 3 + 1] title
+            from part),
+        r as (
+            select row_number() over () rid, * from (
+                select sku_id, unnest(regexp_extract_all(title, '[\\p{{Han}}]+')) run from t)),
+        s as (select *, unnest(range(1, length(run) + 1)) pos from r),
+        m as (
+            select s.*, word from s join (select unnest({bind.HAN_WORDS}) word) w
+            on substr(run, pos, length(word)) = word),
+        covered as (select distinct rid, unnest(range(pos, pos + length(word))) pos from m)
+        select sku_id, word keyword from m
+        union all select sku_id, substr(run, pos, 1) from s anti join covered using (rid, pos)
+        union all select sku_id, {_tokens('title')} from t"""),
     "keyword_token_counts": ((), f"""
         select keyword, count(*) ct from (select {_tokens('text')} keyword from documents)
         group by keyword"""),
@@ -626,6 +649,10 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
         select {_PAIR} from views l left join clicks r on {_NEAR}
         where r.id is not null or l.ts + {HOUR} < (
             select least((select max(ts) from views), (select max(ts) from clicks)))"""),
+    "stream_ttl_join_right": (("views", "clicks"), f"""
+        select {_PAIR} from views l right join clicks r on {_NEAR}
+        where l.id is not null or r.ts + {HOUR} < (
+            select least((select max(ts) from views), (select max(ts) from clicks)))"""),
     "stream_ttl_join_full": (("views", "clicks"), f"""
         select {_PAIR} from views l full join clicks r on {_NEAR}
         where (l.id is not null and r.id is not null) or coalesce(l.ts, r.ts) + {HOUR} < (

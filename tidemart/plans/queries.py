@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructType
 
 from tidemart import bind, schemas
 from tidemart.functions.names import camel_columns
-from tidemart.functions.text import keyword_rows, register_keyword_function
+from tidemart.functions.text import keyword_rows, register_keyword_function, word_list
 from tidemart.functions.times import millis_time, seconds_time, time_text
 from tidemart.operators import changes, joins, logs, orders, stats, visits
 from tidemart.plans import flows, reports
@@ -23,6 +24,7 @@ from tidemart.streaming import joins as stream_joins
 from tidemart.streaming import run
 from tidemart.streaming import visits as stream_visits
 from tidemart.streaming.dims import fresh_lookup
+from tidemart.streaming.rules import routed_batches
 
 # Only the fields the keyword job reads, the page as a map.
 _PAGE_MAP = schemas.struct_of(page=schemas.TEXT_MAP, ts=LongType())
@@ -39,8 +41,6 @@ TOPICS = {
     "page": "dwd_page_log", "start": "dwd_start_log",
     "display": "dwd_display_log", "dirty": "dirty_log",
 }
-# The input files are not sorted by time, so a stream over them has to wait this long.
-UNSORTED = "4000 days"
 
 
 def query(function: Query) -> Query:
@@ -98,7 +98,7 @@ def src_sql_table(spark, d):
     own = stream_session(spark)
     stream = topic_sources.read_topic(own, "dwd_page_log", format="text", path=path)
     shape = _PAGE_MAP
-    topic_sources.topic_table(stream, "page_log", shape, seconds_time("ts"), UNSORTED)
+    topic_sources.topic_table(stream, "page_log", shape, seconds_time("ts"))
     found = own.sql(
         "select page['item'] key_word, date_format(rt, 'yyyy-MM-dd HH:mm:ss') rt from page_log "
         "where page['last_page_id'] = 'search' and page['item'] is not null"
@@ -106,15 +106,26 @@ def src_sql_table(spark, d):
     return run.drained(spark, found, "src-sql-table")
 
 
-@query
-def src_changes(spark, d):
-    tail = run.stored(spark, bind.raw_changes(spark, d), "changes")
+def _user_capture(spark: SparkSession, d: str, initial: bool) -> DataFrame:
+    """Snapshot of one table and its later changes in one topic, read as a stream."""
+    snapshot = change_sources.snapshot_envelopes(bind.user_table(spark, d), bind.TOPIC_PREFIX + bind.USERS)
+    path = run.stored(spark, snapshot, "changes")
+    tail = bind.user_changes(spark, d).where(F.col("offset") % 3 > 0)
+    tail.write.mode("append").parquet(path)
     captured = change_sources.read_changes(
-        spark, topics="capture[.]shop[.]user_info", format="parquet", path=tail, stream=False
+        spark, topics="capture[.]shop[.]user_info", format="parquet", path=path, initial=initial
     )
-    nations = bind.table(spark, d, "nation")
-    first = change_sources.snapshot_envelopes(nations, bind.TOPIC_PREFIX + "nation")
-    return first.unionByName(captured)
+    return run.drained(spark, captured, "src-changes")
+
+
+@query
+def src_changes(spark, d):
+    return _user_capture(spark, d, initial=True)
+
+
+@query
+def src_changes_tail(spark, d):
+    return _user_capture(spark, d, initial=False)
 
 
 @query
@@ -218,20 +229,27 @@ def route_to_topics(spark, d):
     return spark.read.schema(shape).parquet(f"{out}/out")
 
 
-def _visitor_row_stream(spark: SparkSession, own: SparkSession, d: str) -> DataFrame:
-    rows = flows.visit_flow(flows.repaired_pages(spark, d), DURATIONS).rows()
-    path = run.stored(spark, rows, "visitor-rows")
-    return topic_sources.read_topic(
-        own, "visitor-rows", format="parquet", path=path, schema=rows.schema
-    )
+def _visitor_sums(spark: SparkSession, own: SparkSession, d: str) -> tuple[dict, Callable]:
+    """The three streams of the visitor flow, and their statistics over the union of all."""
+    flow = flows.visit_flow(flows.repaired_pages(spark, d), DURATIONS)
+    frames = {"pages": flow.pages, "visits": flow.visits, "bounces": flow.bounces}
+
+    def plan(streams: dict[str, DataFrame]) -> DataFrame:
+        rows = stats.visitor_rows(streams["pages"], streams["visits"], streams["bounces"])
+        return stats.visitor_stats(rows, DURATIONS.visitor_window, "7 hours")
+
+    return frames, plan
 
 
 @query
 def sink_stats(spark, d):
     own = stream_session(spark)
-    sums = stats.visitor_stats(
-        _visitor_row_stream(spark, own, d), DURATIONS.visitor_window, "7 hours"
-    )
+    frames, plan = _visitor_sums(spark, own, d)
+    streams = {}
+    for name, frame in frames.items():
+        path = run.stored(spark, frame, name)
+        streams[name] = topic_sources.read_topic(own, name, format="parquet", path=path, schema=frame.schema)
+    sums = plan(streams)
     out = fresh_dir(spark, "visitor-stats")
     write = table_sinks.stats_writer(f"{out}/table", schemas.VISITOR_STATS_COLUMNS)
     run.drain_to_batches(sums, write, f"{out}/checkpoint")
@@ -271,8 +289,9 @@ def dim_upsert(spark, d):
 
 @query
 def dim_schema_from_rule(spark, d):
-    routed = changes.routed_dimensions(_routed(spark, d))
-    return changes.dimension_rows(routed, "dim_user_info", "id,name,segment", None)
+    """Columns, key and rows of a dimension as its rule gives them."""
+    shape, key = changes.rule_shape(bind.rules(spark), "dim_user_info")
+    return changes.dimension_of(changes.routed_dimensions(_routed(spark, d)), "dim_user_info", shape, key)
 
 
 # Changes and rules
@@ -303,6 +322,33 @@ def rules_latest(spark, d):
     return changes.rules_from_changes(normal).drop("sink_pk", "sink_extend")
 
 
+@query
+def stream_route_rule_change(spark, d):
+    """Orders in two batches; between them a change of the rule table sends them elsewhere."""
+    base = fresh_dir(spark, "live-rules")
+    history = changes.normalize(bind.order_rule_changes(spark), keep=("offset",))
+    orders_in = bind.order_changes(spark, d)
+
+    def rules_now(own: SparkSession) -> DataFrame:
+        known = own.read.schema(history.schema).parquet(f"{base}/rules")
+        return changes.rules_from_changes(known)
+
+    def facts(batch: DataFrame, batch_id: int) -> None:
+        rows = changes.routed_facts(batch).select(
+            F.col("sinkTable").alias("topic"), F.to_json("after").alias("value"))
+        rows.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+
+    for number in range(2):
+        history.where(F.col("offset") == number).write.mode("append").parquet(f"{base}/rules")
+        orders_in.where(F.col("offset") % 2 == number).write.mode("append").parquet(f"{base}/in")
+        stream = change_sources.read_changes(spark, topics=".*", format="parquet", path=f"{base}/in")
+        run.drain_to_batches(
+            changes.normalize(stream, keep=("offset",)), routed_batches(rules_now, facts),
+            f"{base}/checkpoint",
+        )
+    return spark.read.schema("topic string, value string").parquet(f"{base}/out").drop("batch_id")
+
+
 @query
 def cdc_route_fact(spark, d):
     facts = changes.routed_facts(_routed(spark, d))
@@ -602,6 +648,12 @@ def keyword_tokens(spark, d):
     )
 
 
+@query
+def keyword_tokens_han(spark, d):
+    words = word_list(spark, bind.HAN_WORDS)
+    return keyword_rows(bind.han_titles(spark, d), "title", words=words).select("sku_id", "keyword")
+
+
 @query
 def keyword_token_counts(spark, d):
     """Tokens of every document, counted."""
@@ -739,102 +791,97 @@ def report_keyword(spark, d):
 # Streaming forms
 
 
-def _page_stream(spark: SparkSession, own: SparkSession, d: str) -> DataFrame:
-    pages = bind.page_log(spark, d)
-    path = run.stored(spark, pages, "pages")
-    return topic_sources.read_topic(
-        own, "dwd_page_log", format="parquet", path=path, schema=pages.schema
+def _from_pages(
+    spark: SparkSession, d: str, name: str, plan: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """A plan over the page log as it comes in several runs, in order of time."""
+    pages = {"pages": bind.page_log(spark, d)}
+    return run.drained_in_order(
+        spark, stream_session(spark), pages, {"pages": "ts"}, lambda s: plan(s["pages"]), name, parts=4
     )
 
 
 @query
 def stream_new_visitor_fix(spark, d):
-    own = stream_session(spark)
-    fixed = stream_visits.repair_new_flag(_page_stream(spark, own, d))
-    out = fixed.select("event_id", "common.mid", "common.is_new")
-    return run.drained(spark, out, "new-visitors")
+    return _from_pages(spark, d, "new-visitors", lambda pages: stream_visits.repair_new_flag(
+        pages).select("event_id", "common.mid", "common.is_new"))
 
 
 @query
 def stream_unique_visit(spark, d):
-    own = stream_session(spark)
-    found = stream_visits.unique_visits(_page_stream(spark, own, d))
     day = time_text(millis_time("ts")).substr(1, 10).alias("day")
-    return run.drained(spark, found.select("common.mid", day), "unique-visits")
+    return _from_pages(spark, d, "unique-visits", lambda pages: stream_visits.unique_visits(
+        pages).select("common.mid", day))
 
 
 @query
 def stream_bounce_detail(spark, d):
-    own = stream_session(spark)
-    found = stream_visits.bounce_details(
-        _page_stream(spark, own, d), DURATIONS.bounce_timeout
-    )
-    return run.drained(spark, flat(found, "bounce_kind"), "bounces")
+    return _from_pages(spark, d, "bounces", lambda pages: flat(
+        stream_visits.bounce_details(pages, DURATIONS.bounce_timeout), "bounce_kind"))
 
 
 @query
 def stream_visitor_stats(spark, d):
     own = stream_session(spark)
-    rows = _visitor_row_stream(spark, own, d)
-    return run.drained(
-        spark, stats.visitor_stats(rows, DURATIONS.visitor_window, "7 hours"), "visitor-stats"
-    )
+    frames, plan = _visitor_sums(spark, own, d)
+    return run.drained_in_order(spark, own, frames, dict.fromkeys(frames, "ts"), plan, "visitor-stats")
 
 
 @query
 def stream_product_stats(spark, d):
+    """Statistics over a union of streams, one per kind of input, with the watermark after it."""
     rows = flows.product_measures(spark, d)
-    path = run.stored(spark, rows, "product-rows")
+    kinds = F.when(F.col("id_kind").isNotNull(), F.col("id_kind")).when(
+        F.col("click_ct") + F.col("display_ct") > 0, "page").otherwise("other")
+    layer = run.stored(spark, rows.withColumn("kind", kinds), "product-rows")
+    stored = spark.read.schema(rows.schema.add("kind", "string")).parquet(layer)
+    frames = {k: stored.where(F.col("kind") == k).drop("kind") for k in ("page", "other", "order", "paid", "refund")}
     own = stream_session(spark)
-    stream = topic_sources.read_topic(
-        own, "product-rows", format="parquet", path=path, schema=rows.schema
-    )
     dims = flows.snowflake(own, d)
-    return run.drained(
-        spark, stats.product_stats(stream, dims, DURATIONS.product_window), "product-stats"
-    )
+
+    def plan(streams: dict[str, DataFrame]) -> DataFrame:
+        union = reduce(DataFrame.unionByName, streams.values())
+        return stats.product_stats(union, dims, DURATIONS.product_window)
+
+    return run.drained_in_order(spark, own, frames, dict.fromkeys(frames, "ts"), plan, "product-stats")
 
 
 @query
 def stream_order_wide(spark, d):
-    own = stream_session(spark)
-    parts = []
-    for name, frame in [
-        ("orders", orders.parse_orders(bind.order_info(spark, d))),
-        ("details", orders.parse_created(bind.order_detail(spark, d))),
-    ]:
-        path = run.stored(spark, frame, name)
-        parts.append(topic_sources.read_topic(
-            own, name, format="parquet", path=path, schema=frame.schema
-        ))
+    frames = {
+        "orders": orders.parse_orders(bind.order_info(spark, d)),
+        "details": orders.parse_created(bind.order_detail(spark, d)),
+    }
     bound = DURATIONS.order_bound
-    pairs = stream_joins.interval_join(
-        parts[0], parts[1], {"id": "order_id"}, ("create_ts", "create_ts"), -bound, bound,
-        delays=(UNSORTED, UNSORTED),
-    )
-    wide = orders.merge_order_detail(pairs)
-    return run.drained(
-        spark, wide.drop("split_feight_fee", "expire_time", "operate_time"), "order-wide"
-    )
+
+    def plan(streams: dict[str, DataFrame]) -> DataFrame:
+        pairs = stream_joins.interval_join(
+            streams["orders"], streams["details"], {"id": "order_id"}, ("create_ts", "create_ts"),
+            -bound, bound,
+        )
+        wide = orders.merge_order_detail(pairs)
+        return wide.drop("split_feight_fee", "expire_time", "operate_time")
+
+    own = stream_session(spark)
+    return run.drained_in_order(spark, own, frames, dict.fromkeys(frames, "create_ts"), plan, "order-wide")
 
 
 @query
 def stream_payment_wide(spark, d):
+    frames = {
+        "payments": orders.parse_created(bind.payment_info(spark, d)),
+        "orders": orders.parse_created(flows.wide_orders(spark, d)),
+    }
+
+    def plan(streams: dict[str, DataFrame]) -> DataFrame:
+        pairs = stream_joins.interval_join(
+            streams["payments"], streams["orders"], {"order_id": "order_id"},
+            ("create_ts", "create_ts"), DURATIONS.payment_lower, DURATIONS.payment_upper,
+        )
+        return orders.merge_payment(pairs)
+
     own = stream_session(spark)
-    parts = []
-    for name, frame in [
-        ("payments", orders.parse_created(bind.payment_info(spark, d))),
-        ("order-wide", orders.parse_created(flows.wide_orders(spark, d))),
-    ]:
-        path = run.stored(spark, frame, name)
-        parts.append(topic_sources.read_topic(
-            own, name, format="parquet", path=path, schema=frame.schema
-        ))
-    pairs = stream_joins.interval_join(
-        parts[0], parts[1], {"order_id": "order_id"}, ("create_ts", "create_ts"),
-        DURATIONS.payment_lower, DURATIONS.payment_upper, delays=(UNSORTED, UNSORTED),
-    )
-    return run.drained(spark, orders.merge_payment(pairs), "payment-wide")
+    return run.drained_in_order(spark, own, frames, dict.fromkeys(frames, "create_ts"), plan, "payment-wide")
 
 
 @query
@@ -881,18 +928,15 @@ def stream_keyword_stats(spark, d):
 
 
 def _stream_ttl(spark: SparkSession, d: str, how: str) -> DataFrame:
+    frames = {kind: bind.sensors(spark, d, kind) for kind in ("view", "click")}
+
+    def plan(streams: dict[str, DataFrame]) -> DataFrame:
+        return stream_joins.ttl_join(
+            streams["view"], streams["click"], _SENSOR_KEY, _SENSOR_TIME, SENSOR_BOUND, how
+        )
+
     own = stream_session(spark)
-    parts = []
-    for kind in ("view", "click"):
-        frame = bind.sensors(spark, d, kind)
-        path = run.stored(spark, frame, kind)
-        parts.append(topic_sources.read_topic(
-            own, kind, format="parquet", path=path, schema=frame.schema
-        ))
-    joined = stream_joins.ttl_join(
-        parts[0], parts[1], _SENSOR_KEY, _SENSOR_TIME, SENSOR_BOUND, how
-    )
-    return run.drained(spark, joined, f"ttl-{how}")
+    return run.drained_in_order(spark, own, frames, dict.fromkeys(frames, "ts"), plan, f"ttl-{how}")
 
 
 @query
@@ -905,6 +949,11 @@ def stream_ttl_join_left(spark, d):
     return _stream_ttl(spark, d, "left")
 
 
+@query
+def stream_ttl_join_right(spark, d):
+    return _stream_ttl(spark, d, "right")
+
+
 @query
 def stream_ttl_join_full(spark, d):
     return _stream_ttl(spark, d, "full")

@@ -24,11 +24,10 @@ PAGE_LOG = struct_of(common=COMMON, page=PAGE, displays=T.ArrayType(DISPLAY), ts
 
 TEXT_MAP = T.MapType(_S, _S)
 
-# The change envelope as the capture tool writes it, and the form used downstream.
+# The change envelope as the capture tool writes it.
 RAW_CHANGE = struct_of(
     before=TEXT_MAP, after=TEXT_MAP, source=struct_of(db=_S, table=_S), op=_S, ts_ms=_L
 )
-CHANGE = struct_of(database=_S, tableName=_S, type=_S, before=TEXT_MAP, after=TEXT_MAP)
 
 RULE = struct_of(
     source_table=_S, operate_type=_S, sink_type=_S, sink_table=_S,
@@ -50,12 +49,6 @@ PAYMENT_INFO = struct_of(
     id=_L, order_id=_L, user_id=_L, total_amount=MONEY, subject=_S,
     payment_type=_S, create_time=_S, callback_time=_S,
 )
-FAVOR_INFO = struct_of(sku_id=_L, create_time=_S)
-CART_INFO = struct_of(sku_id=_L, create_time=_S)
-REFUND_INFO = struct_of(order_id=_L, sku_id=_L, refund_amount=MONEY, create_time=_S)
-COMMENT_INFO = struct_of(sku_id=_L, appraise=_S, create_time=_S)
-
-SENSOR = struct_of(id=_S, ts=_L, vc=T.DoubleType())
 
 # Column order of the wide records and of the statistics tables.
 ORDER_WIDE_COLUMNS = [

@@ -17,7 +17,7 @@ def read_changes(
     """Raw envelopes of the topics that match the pattern ``topics``.
 
     ``initial`` reads the captured snapshot and then the tail, otherwise the tail alone.
-    Files hold the columns topic, offset and value.
+    Files hold the columns topic, offset and value; a snapshot's rows have offsets below zero.
     """
     reader = (spark.readStream if stream else spark.read).format(format)
     if format == "kafka":
@@ -28,6 +28,8 @@ def read_changes(
         )
         return reader.load().selectExpr("topic", "offset", "cast(value as string) value")
     envelopes = reader.schema(CHANGE_COLUMNS).load(path)
+    if not initial:
+        envelopes = envelopes.where("offset >= 0")
     return envelopes.where(F.col("topic").rlike(f"^({topics})$"))
 
 

@@ -32,7 +32,8 @@ def with_event_time(pages: DataFrame, delay: str) -> DataFrame:
 def unique_visits(pages: DataFrame, keep: str = "24 hours", salts: int = 8) -> DataFrame:
     """The first entry page of each visitor and day, by arrival.
 
-    State is kept for ``keep`` of event time. Repeats are first dropped within ``salts``
+    State is kept for ``keep`` of event time, which is also how late an entry may come: one
+    that lies further behind is dropped, so ``keep`` must exceed the log's disorder. Repeats are first dropped within ``salts``
     parts of each visitor, so that at most that many rows of a busy visitor reach one task
     in the second step; one part skips this.
     """
@@ -150,11 +151,17 @@ class BounceFinder(StatefulProcessor):
 
     A timer stands at the timeout of the earliest open entry. When it fires, every record
     up to the watermark has come, in whatever order: they are sorted, all entries that have
-    timed out by then are decided together, and the next timer is set.
+    timed out by then are decided together, and the next timer is set. A last timer at the
+    end of the slice plus the timeout, when nothing there is open, frees all state of the key,
+    of slices without an entry too.
     """
 
-    def __init__(self, timeout: int) -> None:
+    def __init__(self, timeout: int, width: int) -> None:
         self._timeout = timeout
+        self._width = width
+
+    def _end(self, key) -> int:
+        return (key[1] + 1) * self._width + self._timeout
 
     def init(self, handle) -> None:
         self._handle = handle
@@ -171,6 +178,7 @@ class BounceFinder(StatefulProcessor):
                 chunk = []
         if chunk:
             self._pending.appendList(chunk)
+        self._handle.registerTimer(self._end(key))
         if earliest is not None:
             self._handle.registerTimer(earliest + self._timeout)
         return iter([])
@@ -198,12 +206,12 @@ class BounceFinder(StatefulProcessor):
             # still come.
             if open_entry is not None or ts >= seen:
                 kept.append(row)
-        if kept:
+        if kept and seen < self._end(key):
             self._pending.put(kept)
+            if open_entry is not None:
+                self._handle.registerTimer(open_entry + self._timeout)
         else:
             self._pending.clear()
-        if open_entry is not None:
-            self._handle.registerTimer(open_entry + self._timeout)
         return iter(found)
 
     def close(self) -> None:
@@ -220,8 +228,9 @@ def bounce_details(
     """
     body = [name for name in pages.columns if name not in ("event_id", "ts")]
     entry = F.col("page.last_page_id").isNull()
-    own = slice_of(F.col("ts"), width or SLICES_PER_TIMEOUT * timeout)
-    spots = look_ahead_slices(F.col("ts"), timeout, width or SLICES_PER_TIMEOUT * timeout)
+    width = width or SLICES_PER_TIMEOUT * timeout
+    own = slice_of(F.col("ts"), width)
+    spots = look_ahead_slices(F.col("ts"), timeout, width)
     mine = entry & (F.col("_slice") == own)
     rows = with_event_time(pages, delay).select("*", F.explode(spots).alias("_slice")).select(
         F.col("common.mid").alias("mid"), "_slice", "event_id", "ts", "rt",
@@ -230,7 +239,7 @@ def bounce_details(
     )
     shape = StructType([pages.schema[name] for name in body])
     found = rows.groupBy("mid", "_slice").transformWithState(
-        BounceFinder(timeout), BOUNCE, outputMode="append", timeMode="eventTime"
+        BounceFinder(timeout, width), BOUNCE, outputMode="append", timeMode="eventTime"
     )
     return found.withColumn("_b", F.from_json("value", shape)).select(
         "event_id", "ts", "_b.*", "bounce_kind"
