@@ -35,7 +35,8 @@ def database_writer(
 ) -> BatchWriter:
     """Writer for ``foreachBatch`` into a database table, columns in declared order.
 
-    The batch number is written along, so a repeated batch can be told from a new one.
+    At least once: a batch that is repeated after a failure is appended again. Its number is
+    written along, by which the database can drop the earlier copy.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
