@@ -24,6 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+import pyarrow.ipc  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -84,6 +86,14 @@ def _pairs(found: list[tuple[int, int]]) -> bytes:
     return np.array([d for d, _ in found], "<u2").tobytes() + bytes([k for _, k in found])
 
 
+def _packed(documents: pa.RecordBatch) -> bytes:
+    """The documents of a block as bytes: rows with array columns are costly to hand to Python."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, documents.schema) as writer:
+        writer.write_batch(documents)
+    return sink.getvalue().to_pybytes()
+
+
 def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens) per document."""
     key = docs.schema[doc_id].dataType.simpleString()
@@ -91,7 +101,6 @@ def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
         F.col(doc_id).alias("doc_id"), text_of(text).alias("text"),
         F.octet_length(text_of(text)).cast("long").alias("n_bytes"),
     )
-    wide = f"block long, piece string, pairs binary, ids array<{key}>, n_bytes array<long>"
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, part = PreTokens(tokenizer), TaskContext.get().partitionId()
@@ -108,17 +117,14 @@ def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
                 yield pa.RecordBatch.from_arrays([
                     pa.array([block] * n, pa.int64()), pa.array(some, pa.string()),
                     pa.array([_pairs(p) for p in lists[at : at + 50_000]], pa.binary()),
-                    pa.nulls(n, id_type), pa.nulls(n, pa.list_(pa.int64())),
-                ], names=["block", "piece", "pairs", "ids", "n_bytes"])
-            whole = pa.concat_arrays(ids)
+                ], names=["block", "piece", "pairs"])
+            documents = pa.RecordBatch.from_arrays(
+                [pa.concat_arrays(ids), pa.concat_arrays(sizes)], ["doc_id", "n_bytes"])
             yield pa.RecordBatch.from_arrays([
-                pa.array([block], pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.binary()),
-                pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole),
-                pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), pa.concat_arrays(sizes)),
-            ], names=["block", "piece", "pairs", "ids", "n_bytes"])
+                pa.array([block], pa.int64()), pa.nulls(1, pa.string()), pa.array([_packed(documents)], pa.binary()),
+            ], names=["block", "piece", "pairs"])
 
         for batch in batches:
-            id_type = pa.list_(batch.column(0).type)
             first = 0
             for place, body in enumerate(batch.column(1).to_pylist()):
                 counts = cut(body)
@@ -148,17 +154,16 @@ def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
             yield pa.RecordBatch.from_arrays([
                 pa.array(numbers, pa.int64()),
                 pa.array([p.astype("<u2").tobytes() + totals[b][p].astype("<i8").tobytes() for b, p in zip(numbers, places)], pa.binary()),
-                pa.nulls(len(numbers), id_type), pa.nulls(len(numbers), pa.list_(pa.int64())),
-            ], names=["block", "sums", "ids", "n_bytes"])
+                pa.array([False] * len(numbers)),
+            ], names=["block", "data", "head"])
             totals.clear()
 
         for batch in batches:
-            id_type = batch.column(3).type
             headers = batch.filter(pa.compute.is_null(batch.column(1)))
             if headers.num_rows:
                 yield pa.RecordBatch.from_arrays(
-                    [headers.column(0), pa.nulls(headers.num_rows, pa.binary()), headers.column(3), headers.column(4)],
-                    names=["block", "sums", "ids", "n_bytes"])
+                    [headers.column(0), headers.column(2), pa.array([True] * headers.num_rows)],
+                    names=["block", "data", "head"])
             batch = batch.filter(pa.compute.is_valid(batch.column(1)))
             names = batch.column(1).to_pylist()
             new = list(set(names) - known.keys())
@@ -181,21 +186,20 @@ def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
             yield from out()
 
     def whole(group: pa.Table) -> pa.Table:
-        header = group.filter(pa.compute.is_valid(group["ids"]))
-        ids = header["ids"].combine_chunks().flatten()
-        total = np.zeros(max(len(ids), 1), np.int64)
-        for raw in group["sums"].drop_null().to_pylist():
+        head = group["head"].to_numpy()
+        data = group["data"].to_pylist()
+        documents = pa.ipc.open_stream(data[int(np.flatnonzero(head)[0])]).read_all()
+        total = np.zeros(1 << 16, np.int64)
+        for place in np.flatnonzero(~head).tolist():
+            raw = data[place]
             n = len(raw) // 10
             total[np.frombuffer(raw[: 2 * n], "<u2")] += np.frombuffer(raw[2 * n :], "<i8")
-        return pa.table({
-            "doc_id": ids, "n_bytes": header["n_bytes"].combine_chunks().flatten(),
-            "n_tokens": pa.array(total[: len(ids)], pa.int64()),
-        })
+        return documents.append_column("n_tokens", pa.array(total[: documents.num_rows], pa.int64()))
 
-    dealt = rows.mapInArrow(blocks, wide)
+    dealt = rows.mapInArrow(blocks, "block long, piece string, pairs binary")
     # Each block's own row lists its documents; it is dealt by block.
     by = F.when(F.col("piece").isNull(), F.xxhash64("block")).when(
         F.octet_length("pairs") > 3 * _COMMON, F.xxhash64("piece", F.col("block") % _SALTS)
     ).otherwise(F.xxhash64("piece"))
-    joined = dealt.repartition(by).mapInArrow(sums, f"block long, sums binary, ids array<{key}>, n_bytes array<long>")
+    joined = dealt.repartition(by).mapInArrow(sums, "block long, data binary, head boolean")
     return joined.groupBy("block").applyInArrow(whole, f"doc_id {key}, n_bytes long, n_tokens long")
