@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemart.llm.common import left_join, text_of
+from tidemart.llm.common import left_join, stored, text_of
 
 REACH = 400
 
@@ -140,7 +140,9 @@ def spans_by_document(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     place = F.create_map(*[F.lit(x) for kind, at in _ORDER.items() for x in (kind, at)])
     order = Window.partitionBy(*_KEY).orderBy("start", "place").rowsBetween(Window.unboundedPreceding, -1)
-    rows = linked(parts(docs, doc_id, text), reach).withColumn("place", place[F.col("kind")])
+    # The parts are few and read several times; the texts are matched once.
+    found = stored(parts(docs, doc_id, text), "secret-parts")
+    rows = linked(found, reach).withColumn("place", place[F.col("kind")])
     return rows.withColumn("seen", F.coalesce(F.max("end").over(order), F.lit(0).cast("long"))).groupBy(*_KEY).agg(
         F.sort_array(F.collect_list(F.struct("start", "place", "kind", "end", "seen"))).alias("spans")
     )
