@@ -140,6 +140,25 @@ def test_hard_pages(spark):
     assert pages.extracted(table.limit(0)).count() == 0
 
 
+def test_pages_without_end_tags_keep_their_text(spark):
+    text = "<article><p>A morning at the harbour.<p>The boats came in.</article>"
+    heads = [
+        "<html><head><meta charset=utf-8><title>T</title><body>", "<head><title>T</title><style>p{}</style>", "<head><head><link rel=x>",
+        "<head><noscript><div>Turn it on</div></noscript><body>", "<head><noscript><link rel=x><body>", "<head><noscript><a href=x></a>",
+        "<body><div><button>Menu", "<body><button>One<button>Two</button>", "<body><select><option>One", "<body><noscript>Off",
+        "<body><svg viewBox='0 0 1 1'/>", "<body><svg><path d='M0'>", "<body><svg><svg><g></g></svg><text>Drawn</text></svg>",
+        "<body><button><div>Subscribe</div></button>", "<body><select><div>One</div></select>", "<body><button>Menu<!-- </button> -->",
+    ]
+    table = spark.createDataFrame([(i, "u", h + text, "x", "y") for i, h in enumerate(heads)], PAGES)
+    got = {r.page_id: r._text for r in pages.extracted(table).collect()}
+    assert set(got.values()) == {"A morning at the harbour.\nThe boats came in."} and len(got) == len(heads)
+
+    said = lambda source: [t for _, t in pages.parse(source).runs]
+    assert said("<head><title>T</title>Bare text<p>More") == ["Bare text", "More"]
+    assert said("<button><div>Subscribe</div></button><p>One") == ["One"]
+    assert said("<head><template><p>Kept back</p></template><body><p>One") == ["One"]
+
+
 def test_examples_are_learnt():
     from collections import Counter
     counts = Counter()

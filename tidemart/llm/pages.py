@@ -11,7 +11,9 @@ plain, so that other clues get weight), and the labelled examples below, which s
 corpus may lack. Only the counts, of a fixed set of features, leave the workers.
 
 Null and empty pages give empty texts. Unclosed, stray and nested tags are closed as browsers
-do for blocks. Pages may be of any length; trees of any depth are walked without recursion.
+do for blocks; a head ends at the first tag or text that may not stand in it. Of the other hidden
+elements one with an end tag hides all up to it, one without hides no more than the text up to
+the next block; only an open template hides the rest, as in browsers. Pages may be of any length; trees of any depth are walked without recursion.
 Repeated rows get equal rows.
 """
 
@@ -42,6 +44,8 @@ _HINT_WORD = re.compile(r"[a-z]+")
 # Elements whose content is no text, blocks, and void elements.
 _RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 _HIDDEN = {"head", "template", "noscript", "svg", "math", "select", "button", "object", "canvas", "datalist"}
+# What may stand in a head; all else ends it.
+_IN_HEAD = set("html head base basefont bgsound link meta title noframes style script template noscript".split())
 _BLOCKS = set(
     "html body div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption section article "
     "main nav header footer aside form fieldset blockquote pre figure figcaption address hgroup details summary "
@@ -111,11 +115,45 @@ class Page:
     runs: list[tuple[int, str]] = field(default_factory=list)
 
 
+def _tags(source: str) -> Iterator[tuple[int, int, bool, str | None, str]]:
+    """(start, end, whether it is an end tag, name, attributes); the name of a comment is None.
+
+    What an element of ``_RAW`` holds belongs to its tag.
+    """
+    at = 0
+    while (m := _TOKEN.search(source, at)) is not None:
+        at = m.end()
+        name = m[2] or m[5]
+        tag = name.lower() if name else None
+        ending = bool(m[1] or m[4])
+        if tag in _RAW and not ending:
+            end = re.compile(f"</{tag}[\\s/>]", re.I).search(source, at)
+            stop = source.find(">", end.start()) if end else -1
+            at = stop + 1 if stop >= 0 else len(source)
+        yield m.start(), at, ending, tag, m[3] or ""
+
+
+def _ended(source: str) -> set[int]:
+    """Starts of the hidden elements that have an end tag of their own."""
+    found: set[int] = set()
+    begun: dict[str, list[int]] = {}
+    for start, _, ending, tag, attributes in _tags(source):
+        if tag in _HIDDEN and not (tag in ("svg", "math") and attributes.endswith("/")):
+            places = begun.setdefault(tag, [])
+            if not ending:
+                places.append(start)
+            elif places:
+                found.add(places.pop())
+    return found
+
+
 def parse(source: str) -> Page:
     page = Page([Block("html", -1)])
     open_tags: list[tuple[str, int]] = [("html", 0)]  # open elements and their blocks
     pieces: list[str] = []
-    hidden = links = 0
+    veils: list[tuple[int, bool]] = []  # open hidden elements: their depths, and whether an end tag is to come
+    ended: set[int] | None = None
+    links = 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
@@ -128,30 +166,47 @@ def parse(source: str) -> Page:
             page.runs.append((place, text))
 
     def close(depth: int) -> None:
-        nonlocal hidden, links
+        nonlocal links
         while len(open_tags) > depth:
             tag, _ = open_tags[-1]
             if tag in _BLOCKS:
                 flush()
             open_tags.pop()
-            hidden -= tag in _HIDDEN
+            if veils and veils[-1][0] == len(open_tags):
+                veils.pop()
             links -= tag == "a"
 
+    def unveil(tag: str | None) -> None:
+        """Close the hidden elements that end at an opening tag, or at text (None)."""
+        while veils:
+            depth, closed = veils[-1]
+            own = open_tags[depth][0]
+            if own == "head":
+                ends = tag not in _IN_HEAD
+            elif closed or tag is None:
+                ends = False
+            else:
+                in_head = len(veils) > 1 and open_tags[veils[-2][0]][0] == "head"
+                ends = tag in _BLOCKS or tag == own or in_head and tag not in _IN_HEAD
+            if not ends:
+                break
+            close(depth)
+
     def say(text: str) -> None:
-        if text and not hidden:
+        if veils and text and not text.isspace():
+            unveil(None)
+        if text and not veils:
             pieces.append(text)
             if links:
                 page.blocks[open_tags[-1][1]].linked += len(text.split())
 
     at = 0
-    while (m := _TOKEN.search(source, at)) is not None:
-        say(source[at : m.start()])
-        at = m.end()
-        name = m[2] or m[5]
-        if name is None:
+    for start, end, ending, tag, attributes in _tags(source):
+        say(source[at:start])
+        at = end
+        if tag is None:
             continue
-        tag = name.lower()
-        if m[1] or m[4]:
+        if ending:
             if tag == "br" or tag == "p" and not any(t == "p" for t, _ in open_tags):
                 say(" ")
                 continue
@@ -162,11 +217,9 @@ def parse(source: str) -> Page:
                 if open_tags[depth][0] in _BLOCKS and tag not in _BLOCKS:
                     break  # an inline end tag does not close blocks
             continue
-        attributes = m[3] or ""
+        if veils:
+            unveil(tag)
         if tag in _RAW:
-            end = re.compile(f"</{tag}[\\s/>]", re.I).search(source, at)
-            stop = source.find(">", end.start()) if end else -1
-            at = stop + 1 if stop >= 0 else len(source)
             continue
         if tag in _VOID and tag != "hr":
             say(" ")
@@ -199,9 +252,14 @@ def parse(source: str) -> Page:
             within = above.within if own <= above.within else above.within | own
             page.blocks.append(Block(tag, parent, hints, label, within))
             open_tags.append((tag, len(page.blocks) - 1))
+        elif tag in ("svg", "math") and attributes.endswith("/"):
+            continue
         else:
             open_tags.append((tag, open_tags[-1][1]))
-            hidden += tag in _HIDDEN
+            if tag in _HIDDEN:
+                if ended is None and tag not in ("head", "template"):
+                    ended = _ended(source)
+                veils.append((len(open_tags) - 1, tag == "template" or tag != "head" and start in ended))
             links += tag == "a"
     say(source[at:])
     close(0)
