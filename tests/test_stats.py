@@ -176,3 +176,31 @@ def test_good_and_dirty_times_are_all_rows(spark, sf_dir):
         assert good + bad == rows.count() and good and bad
     measures = spark.createDataFrame([(1, 5), (None, 5), (1, None)], "sku_id long, ts long")
     assert (stats.complete(measures).count(), stats.incomplete(measures).count()) == (1, 2)
+
+
+def test_measures_and_dirty_rows_are_all_of_the_seven_inputs(spark):
+    at, bad, amount = "1970-01-01 00:00:02", "on 1970", Decimal("1.50")
+    touched = [(i, t) for i in ("1", None, "x9") for t in (at, bad)]
+    tables = {
+        "favors": touched, "carts": touched, "orders": [(7, i, 1, amount, t) for i, t in touched],
+        "payments": [(7, i, amount, t) for i, t in touched], "refunds": [(7, i, amount, t) for i, t in touched],
+        "comments": [(i, "1201", t) for i, t in touched],
+    }
+    inputs = {n: spark.createDataFrame(rows, EMPTY[n].replace("sku_id long", "sku_id string")) for n, rows in tables.items()}
+    inputs["pages"] = frame(spark, [
+        page(n, "m", t, item=i, page_id=p, shown=2)
+        for n, (i, t, p) in enumerate((i, t, p) for i in ("1", None, "x9") for t in (1_000, None) for p in ("good_detail", "home"))
+    ] + [page(20, "m", None, item="5"), page(21, "m", 1_000, item="5")])
+    clean = stats.complete(stats.product_rows(**inputs))
+    dirty = [tuple(r) for r in stats.product_dirty(**inputs).collect()]
+    assert clean.columns[:2] == ["sku_id", "ts"] and clean.columns[-1] == "id"
+    left = [(i, t) for i, t in touched if (i, t) != ("1", at)]
+    for name in tables:
+        assert sorted(map(str, (d[1:] for d in dirty if d[0] == name[:-1]))) == sorted(map(str, left)), name
+    # Six pages with an article click it, twelve display two: one click and twelve displays are whole.
+    seen = {kind: [d[1:] for d in dirty if d[0] == kind] for kind in ("click", "display", "page")}
+    assert sorted(map(str, seen["click"])) == sorted(map(str, [
+        ("1", None), (None, None), (None, "1000"), ("x9", None), ("x9", "1000")]))
+    assert len(seen["display"]) == 12 and all(time is None for _, time in seen["display"])
+    assert seen["page"] == [("5", None)]
+    assert clean.count() + len(dirty) == 6 * len(touched) + 6 + 24 + 1

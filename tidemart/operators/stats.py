@@ -73,9 +73,13 @@ _COUNTS = [
     "comment_ct", "good_comment_ct",
 ]
 _AMOUNTS = ["order_amount", "payment_amount", "refund_amount"]
+# What a measure row came from: the input's name, and its article and time as they were written.
+_RAW = ["input", "raw_sku_id", "raw_time"]
 
 
-def _product(df: DataFrame, ts: Column, kind: str | None = None, **values: Column) -> DataFrame:
+def _product(
+    df: DataFrame, source: Column | str, raw_time: str, ts: Column, kind: str | None = None, **values: Column
+) -> DataFrame:
     zero = F.lit(0).cast("long")
     no_money = F.lit(0).cast(schemas.MONEY)
     return df.select(
@@ -86,25 +90,29 @@ def _product(df: DataFrame, ts: Column, kind: str | None = None, **values: Colum
           for n in _AMOUNTS],
         F.lit(kind).cast("string").alias("id_kind"),
         (F.col("order_id") if kind else F.lit(None)).cast("long").alias("id"),
+        (F.lit(source) if isinstance(source, str) else source).alias("input"),
+        F.col("sku_id").cast("string").alias("raw_sku_id"),
+        F.col(raw_time).cast("string").alias("raw_time"),
     )
 
 
 def click_rows(pages: DataFrame) -> DataFrame:
     hit = (F.col("page.item_type") == "sku_id") & (F.col("page.page_id") == "good_detail")
     found = pages.where(hit).select(F.col("page.item").alias("sku_id"), "ts")
-    return _product(found, F.col("ts"), click_ct=F.lit(1))
+    return _product(found, "click", "ts", F.col("ts"), click_ct=F.lit(1))
 
 
 def display_rows(pages: DataFrame) -> DataFrame:
     shown = pages.select(F.explode("displays").alias("_d"), "ts")
     shown = shown.where(F.col("_d.item_type") == "sku_id")
     return _product(
-        shown.select(F.col("_d.item").alias("sku_id"), "ts"), F.col("ts"), display_ct=F.lit(1)
+        shown.select(F.col("_d.item").alias("sku_id"), "ts"), "display", "ts", F.col("ts"),
+        display_ct=F.lit(1),
     )
 
 
-def click_and_display_rows(pages: DataFrame) -> DataFrame:
-    """Both kinds from one scan of the page log."""
+def _seen() -> Column:
+    """The articles a page record clicked or displayed."""
     page = F.col("page")
     hit = (page["item_type"] == "sku_id") & (page["page_id"] == "good_detail")
 
@@ -120,9 +128,15 @@ def click_and_display_rows(pages: DataFrame) -> DataFrame:
         ),
         lambda d: seen(d["item"], 0),
     )
-    rows = pages.select(F.explode(F.concat(clicked, shown)).alias("_s"), "ts").select("_s.*", "ts")
+    return F.concat(clicked, shown)
+
+
+def click_and_display_rows(pages: DataFrame) -> DataFrame:
+    """Both kinds from one scan of the page log."""
+    rows = pages.select(F.explode(_seen()).alias("_s"), "ts").select("_s.*", "ts")
     return _product(
-        rows, F.col("ts"), click_ct=F.col("click"), display_ct=1 - F.col("click")
+        rows, F.when(F.col("click") == 1, "click").otherwise("display"), "ts", F.col("ts"),
+        click_ct=F.col("click"), display_ct=1 - F.col("click"),
     )
 
 
@@ -134,18 +148,22 @@ def product_rows(
     created = parse_millis("create_time")
     good = F.when(F.col("appraise") == APPRAISE["good"], 1).otherwise(0)
     parts = [
-        _product(favors, created, favor_ct=F.lit(1)),
-        _product(carts, created, cart_ct=F.lit(1)),
+        _product(favors, "favor", "create_time", created, favor_ct=F.lit(1)),
+        _product(carts, "cart", "create_time", created, cart_ct=F.lit(1)),
         _product(
-            orders, created, ORDERED,
+            orders, "order", "create_time", created, ORDERED,
             order_amount=F.col("split_total_amount"), order_sku_num=F.col("sku_num"),
         ),
         _product(
-            payments, parse_millis("payment_create_time"), PAID,
+            payments, "payment", "payment_create_time", parse_millis("payment_create_time"), PAID,
             payment_amount=F.col("split_total_amount"),
         ),
-        _product(refunds, created, REFUNDED, refund_amount=F.col("refund_amount")),
-        _product(comments, created, comment_ct=F.lit(1), good_comment_ct=good),
+        _product(
+            refunds, "refund", "create_time", created, REFUNDED, refund_amount=F.col("refund_amount")
+        ),
+        _product(
+            comments, "comment", "create_time", created, comment_ct=F.lit(1), good_comment_ct=good
+        ),
     ]
     rows = click_and_display_rows(pages)
     for part in parts:
@@ -155,7 +173,7 @@ def product_rows(
 
 def complete(rows: DataFrame) -> DataFrame:
     """Measure rows with a time and, where they have an article, a readable one."""
-    return rows.where(_usable(rows))
+    return rows.where(_usable(rows)).drop(*_RAW)
 
 
 def incomplete(rows: DataFrame) -> DataFrame:
@@ -163,6 +181,24 @@ def incomplete(rows: DataFrame) -> DataFrame:
     return rows.where(~_usable(rows))
 
 
+def product_dirty(
+    pages: DataFrame, favors: DataFrame, carts: DataFrame, orders: DataFrame,
+    payments: DataFrame, refunds: DataFrame, comments: DataFrame,
+) -> DataFrame:
+    """(input, sku_id, create_time) as written, of what the seven inputs leave out of the measures.
+
+    These are the incomplete measure rows, and page records without a time that have none.
+    """
+    rows = incomplete(product_rows(pages, favors, carts, orders, payments, refunds, comments))
+    silent = pages.where(F.col("ts").isNull() & (F.size(_seen()) == 0))
+    return rows.select(
+        "input", F.col("raw_sku_id").alias("sku_id"), F.col("raw_time").alias("create_time")
+    ).unionByName(silent.select(
+        F.lit("page").alias("input"), F.col("page.item").alias("sku_id"),
+        F.col("ts").cast("string").alias("create_time"),
+    ))
+
+
 def _usable(rows: DataFrame) -> Column:
     usable = F.col("ts").isNotNull()
     return usable & F.col("sku_id").isNotNull() if "sku_id" in rows.columns else usable

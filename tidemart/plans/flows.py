@@ -96,8 +96,10 @@ def wide_payments(spark: SparkSession, sf_dir: str, durations: Durations = SPARS
     )
 
 
-def product_measures(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
-    """Measure rows of all seven inputs.
+def product_inputs(
+    spark: SparkSession, sf_dir: str, durations: Durations = SPARSE
+) -> dict[str, DataFrame]:
+    """The seven inputs of the product statistics.
 
     The joined orders are stored first, as the layer between the jobs, since both the
     order rows and the payment join read them. They carry no dimensions: the statistics
@@ -113,11 +115,16 @@ def product_measures(spark: SparkSession, sf_dir: str, durations: Durations = SP
         orders.good_times(orders.parse_created(bind.payment_info(spark, sf_dir))), layer,
         durations.payment_lower, durations.payment_upper,
     )
-    return stats.complete(stats.product_rows(
-        bind.page_log(spark, sf_dir), bind.favor_info(spark, sf_dir),
-        bind.cart_info(spark, sf_dir), layer, paid,
-        bind.refund_info(spark, sf_dir), bind.comment_info(spark, sf_dir),
-    ))
+    return {
+        "pages": bind.page_log(spark, sf_dir), "favors": bind.favor_info(spark, sf_dir),
+        "carts": bind.cart_info(spark, sf_dir), "orders": layer, "payments": paid,
+        "refunds": bind.refund_info(spark, sf_dir), "comments": bind.comment_info(spark, sf_dir),
+    }
+
+
+def product_measures(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
+    """Measure rows of all seven inputs that have a time and a readable article."""
+    return stats.complete(stats.product_rows(**product_inputs(spark, sf_dir, durations)))
 
 
 def dirty_times(inputs: dict[str, DataFrame], key: str) -> DataFrame:
@@ -133,11 +140,9 @@ def dirty_times(inputs: dict[str, DataFrame], key: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def product_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dirty_times({
-        "favor": bind.favor_info(spark, sf_dir), "cart": bind.cart_info(spark, sf_dir),
-        "refund": bind.refund_info(spark, sf_dir), "comment": bind.comment_info(spark, sf_dir),
-    }, "sku_id")
+def product_dirty(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
+    """What the measures leave behind of all seven inputs."""
+    return stats.product_dirty(**product_inputs(spark, sf_dir, durations))
 
 
 def product_stats(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
