@@ -26,14 +26,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of each component of near copies, once if it is repeated.
+    """Keep one document of each component of near copies, once if it is repeated.
 
-    Documents without an id cannot be told apart and stay.
+    It is the one with the least id, missing ids last, and of equal ids the least hash of the text.
     """
-    found = simhash.near_duplicates(docs)
-    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.join(first, docs["doc_id"] == first["_id"], "left_semi").dropDuplicates(["doc_id"])
-    return named.union(docs.where(F.col("doc_id").isNull()))
+    number = F.col("doc_id")
+    key = F.struct(number.isNull().alias("none"), number.alias("id"), F.xxhash64(text_of("text")).alias("hash"))
+    keyed = docs.withColumn("__key", key)
+    found = simhash.near_duplicates(keyed, "__key")
+    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__key")).distinct()
+    return keyed.join(first, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

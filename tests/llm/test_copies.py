@@ -236,6 +236,20 @@ def test_pipeline_decides_stage_by_stage(spark, sf_dir):
     assert all(brute.secrets(r.text)[:3] == (0, 0, 0) for r in secret.collect())
 
 
+def test_near_copies_with_shared_or_missing_ids_leave_one_each(spark, sf_dir):
+    one, two, three = prose(41, 120), prose(42, 120), prose(43, 120)
+    given = [
+        (1, one), (1, two), (2, one), (1, one), (3, three), (3, three + " "), (None, three), (None, prose(44, 120)),
+        (None, prose(44, 120)), (5, prose(45, 120)), (6, prose(45, 120)), (6, prose(46, 120)), (None, None), (None, ""),
+    ]
+    docs = documents(spark, []).unionByName(spark.createDataFrame(given, "doc_id long, text string"), allowMissingColumns=True)
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    kept = stage(spark, docs.repartition(5), sf_dir)
+    rows = [(r.doc_id, (r.text or "").strip()) for r in kept.collect()]
+    want = [(1, one), (1, two), (3, three), (None, prose(44, 120)), (5, prose(45, 120)), (6, prose(46, 120)), (None, "")]
+    assert sorted(rows, key=repr) == sorted(want, key=repr) and kept.columns == docs.columns
+
+
 def test_pipeline_survives_hard_rows(spark, sf_dir):
     docs = documents(spark, hard_texts())
     for _, stage in corpus_pipeline.STAGES:
