@@ -236,6 +236,17 @@ def test_pipeline_decides_stage_by_stage(spark, sf_dir):
     assert all(brute.secrets(r.text)[:3] == (0, 0, 0) for r in secret.collect())
 
 
+def test_special_strings_in_other_case_are_ordinary_text():
+    library = encoder()("word_bpe_49k.json")
+    own = packing.WordEncoder(queries.vocabulary("word_bpe_49k.json"))
+    texts = [
+        "One <|EndOfText|> two", "<|ENDOFTEXT|>", "a<|StartOfText|>b <|endoftext|> C", "<|endoftext|> It's <|ENDOFTEXT|>É", "A <|endoftext|> B",
+        "Plain TEXT, é!",
+    ]
+    for text, ids in zip(texts, own.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_near_copies_with_shared_or_missing_ids_leave_one_each(spark, sf_dir):
     one, two, three = prose(41, 120), prose(42, 120), prose(43, 120)
     given = [

@@ -43,7 +43,8 @@ class WordEncoder:
     """Ids of texts whose tokenizer drops white space and never looks across it.
 
     Words are encoded once and kept as bytes of 32-bit ids; texts in Latin-1 are lower-cased and
-    cut to pre-tokens first, of which there are fewer. New pre-tokens are encoded together:
+    cut to pre-tokens first, of which there are fewer, unless lower case makes or hides one of the
+    special strings that the tokenizer finds in the raw text. New pre-tokens are encoded together:
     each ends with one token that carries the word-end mark, where the ids are cut.
     """
 
@@ -58,18 +59,29 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not t.normalized]
+        self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
+        self.lowered = sorted({s.lower() for s in special})
         self.known: dict[str, bytes] = {}
 
     def _single(self, words: list[str]) -> None:
         for word, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
             self.known[word] = np.array(e.ids, "<u4").tobytes()
 
-    @staticmethod
-    def _words(text: str) -> list[str]:
+    def _specials(self, text: str) -> list[tuple[int, str]]:
+        return [(m.start(), m[0]) for m in self.special.finditer(text)]
+
+    def _words(self, text: str) -> list[str]:
         if _ODD_SPACE.search(text):
             return _ASCII_SPACE.split(text)
         # Beyond Latin-1, lower case and composed letters depend on their neighbours.
-        return text.split() if _BEYOND.search(text) else _CUT(text.lower())
+        if _BEYOND.search(text):
+            return text.split()
+        low = text.lower()
+        for special in self.lowered:
+            if special in low:
+                return _CUT(low) if self._specials(text) == self._specials(low) else text.split()
+        return _CUT(low)
 
     def _learn(self, words: set[str]) -> None:
         plain = list(filter(_ONE, words))
