@@ -204,6 +204,25 @@ def test_url_rules(spark):
     assert urls.judged(table.limit(0)).count() == 0
 
 
+def test_unwanted_labels_are_keys_of_the_cascade(spark, monkeypatch):
+    asked = []
+    build = urls.Cascade.build.__func__
+
+    def seen(cls, universe, listed, salt):
+        asked.append({r.key for r in listed.collect()} & {r.key for r in universe.collect()})
+        return build(cls, universe, listed, salt)
+
+    monkeypatch.setattr(urls.Cascade, "build", classmethod(seen))
+    given = ["http://www.bad-one.org/x", "http://bad-one.org/fr/", "http://org-bad-one.org/", "http://good.org/bad-one", "http://adult-x.org/", "http://a.bad-one.net/"]
+    table = spark.createDataFrame([(i, u, "h", "k", "r") for i, u in enumerate(given)], PAGES)
+    for size in (64 << 20, 0):  # by the cascade, and by the join
+        rows = urls.judged(table, spam_hosts=("bad-one",), max_bytes=size).collect()
+        assert [(r.rule, r.verdict) for r in sorted(rows, key=lambda r: r.page_id)] == [
+            (None, "block"), ("org/fr/", "allow"), (None, "allow"), (None, "allow"), (None, "allow"), ("net/", "block")]
+    assert asked[0] == {"net/", urls._LABEL + "bad-one"}
+    assert {r.verdict for r in urls.judged(table.where("page_id = 0"), spam_hosts=()).collect()} == {"allow"}
+
+
 def test_cascade_is_exact_and_the_join_beyond_its_size_agrees(spark):
     keys = [f"h{i}.org/" for i in range(3000)]
     universe = spark.createDataFrame([(k,) for k in keys], "key string")

@@ -6,7 +6,8 @@ are the universe. For each list (block, allow) a cascade is built: the first fil
 listed keys, the second those keys of the universe that the first lets through wrongly, the
 third the listed keys that the second lets through, and so on until nothing passes wrongly.
 Membership of every key of the universe is then exact, without a join: the first level that
-lacks a key decides. The longest listed key of a URL gives its rule.
+lacks a key decides. The longest listed key of a URL gives its rule. The labels of its host are
+keys too: one that is on the list of unwanted labels blocks a URL without a rule.
 
 The first level's rate of false positives falls with the universe, so that each level holds
 fewer keys than the list; the filters' size follows the list, not the corpus. Filters are
@@ -29,10 +30,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.llm.common import stored
 
-#: Hosts that are blocked if no rule fits: names that only unwanted pages carry.
+#: Labels of hosts that are blocked if no rule fits. These are the unwanted ones of the given test
+#: pages and no more; for other pages give a list of their own as ``spam_hosts``.
 SPAM_HOSTS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
+_LABEL = "?"
+
+
 @dataclass(frozen=True)
 class Rule:
     action: str
@@ -79,6 +84,13 @@ def url_keys(host: Column, path: Column, lengths: Column) -> Column:
     )))
 
 
+def label_keys(host: Column) -> Column:
+    """Keys of a host's labels: no host or path holds the mark, and any rule is longer."""
+    labels = F.filter(F.split(host, r"\.", -1), lambda label: label != "")
+    return F.transform(labels, lambda label: F.struct(
+        F.concat(F.lit(_LABEL), label).alias("key"), F.lit(-1).alias("size")))
+
+
 class Level:
     """A Bloom filter: ``bits`` places, ``hashes`` of them set per key."""
 
@@ -177,20 +189,24 @@ def judged(
     pages: DataFrame, rules: tuple[Rule, ...] = RULES, spam_hosts: tuple[str, ...] = SPAM_HOSTS,
     page_id: str = "page_id", url: str = "url", max_bytes: int = 64 << 20,
 ) -> DataFrame:
-    """(page_id, host, path, rule, verdict) per page row."""
+    """(page_id, host, path, rule, verdict) per page row; ``spam_hosts`` are labels in lower case."""
     spark = pages.sparkSession
     rows = pages.select(
         F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")
     ).withColumns({"host": F.coalesce("host", F.lit("")), "path": F.coalesce("path", F.lit(""))})
-    rules = tuple(r for r in rules if r.host)
+    rules = tuple(r for r in rules if r.host and _LABEL not in r.key)  # no URL has such a host or path
     lengths = F.array(*[F.lit(n) for n in sorted({len(r.path) for r in rules})]).cast("array<int>")
+    keys = url_keys(F.col("host"), F.col("path"), lengths)
+    unwanted = {_LABEL + label for label in spam_hosts if label}
+    if unwanted:
+        keys = F.concat(keys, label_keys(F.col("host")))
     keyed = rows.select("host", "path").distinct().select(
-        "host", "path", F.explode_outer(url_keys(F.col("host"), F.col("path"), lengths)).alias("k")
+        "host", "path", F.explode_outer(keys).alias("k")
     ).select("host", "path", "k.key", "k.size").where(F.col("key").isNotNull())
     keyed = stored(keyed, "url-keys")
     universe = keyed.select("key").distinct()
     block = {r.key for r in rules if r.action == "block"}
-    lists = {"block": block, "allow": {r.key for r in rules if r.action == "allow"} - block}
+    lists = {"block": block | unwanted, "allow": {r.key for r in rules if r.action == "allow"} - block}
     marked = keyed
     for salt, (action, keys) in enumerate(lists.items()):
         listed = _list(spark, keys)
@@ -200,9 +216,10 @@ def judged(
             marked = Cascade.build(universe, listed, 100 * salt).member(marked, action)
     best = marked.where("block OR allow").groupBy("host", "path").agg(
         F.max(F.struct("size", "key", F.when(F.col("block"), "block").otherwise("allow").alias("action"))).alias("best")
-    ).select("host", "path", F.col("best.key").alias("rule"), F.col("best.action").alias("action"))
-    spam = F.arrays_overlap(F.split("host", r"\.", -1), F.array(*[F.lit(h) for h in spam_hosts]).cast("array<string>"))
+    ).select(
+        "host", "path", F.when(F.col("best.size") >= 0, F.col("best.key")).alias("rule"), F.col("best.action").alias("action")
+    )
     return rows.join(best, ["host", "path"], "left").select(
         "page_id", "host", "path", "rule",
-        F.coalesce("action", F.when(spam, "block").otherwise("allow")).alias("verdict"),
+        F.coalesce("action", F.lit("allow")).alias("verdict"),
     )
