@@ -168,6 +168,29 @@ def test_reports_read_their_partitions_alone(spark, sf_dir):
     assert all("dt=1997-03" in path for path in one.select("stt", F.input_file_name().alias("f")).select("f").toPandas().f)
 
 
+def test_layers_follow_their_files_and_split_a_busy_period(spark, tmp_path):
+    from tidemart.plans.layers import layer
+    source, when = str(tmp_path / "t.parquet"), "2024-01-15 00:00:00"
+
+    def write(n):
+        spark.range(n).select(F.lit(when).alias("stt"), "id").write.mode("overwrite").parquet(source)
+
+    def asked():
+        return layer(spark, str(tmp_path), "busy", lambda: spark.read.parquet(source), 10)
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write(4_000)
+        first = asked()
+        assert first.count() == 4_000 and first.columns == ["stt", "id", "dt"]
+        assert first.select(F.input_file_name()).distinct().count() > 1
+        assert asked().inputFiles() == first.inputFiles()
+        write(7)
+        assert asked().count() == 7
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_good_and_dirty_times_are_all_rows(spark, sf_dir):
     from tidemart import bind
     for rows in (bind.favor_info(spark, sf_dir), bind.cart_info(spark, sf_dir)):

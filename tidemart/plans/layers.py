@@ -1,9 +1,9 @@
 """Layers that are written once and read by many: the article dimension and the statistics.
 
 A layer belongs to one application and one folder of tables. It is built when first asked
-for, by ``layer`` or ahead of time by ``build_statistics``, and again by ``rebuild=True``
-after its inputs have changed. Statistics are partitioned by the leading part of their
-window start and sorted within, so a report of a period reads its partitions alone.
+asked for, by ``layer`` or ahead of time by ``build_statistics``, and again when a file of the
+folder has changed or with ``rebuild=True``. Statistics are partitioned by the leading part of
+their window start and sorted within, so a report of a period reads its partitions alone.
 """
 
 from __future__ import annotations
@@ -17,7 +17,19 @@ from tidemart.session import fresh_dir
 
 PERIOD = "dt"
 
-_built: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_built: dict[tuple[str, str, str], tuple[frozenset, str, StructType]] = {}
+
+
+def files_of(spark: SparkSession, folder: str) -> frozenset[tuple[str, int, int]]:
+    """(path, size, time of change) of the data files in a folder, on any storage Spark reads."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listFiles(root, True)
+    found = set()
+    while listed.hasNext():
+        file = listed.next()
+        if not file.getPath().getName().startswith(("_", ".")):
+            found.add((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return frozenset(found)
 
 
 def layer(
@@ -28,18 +40,21 @@ def layer(
     characters of ``stt``: 10 for days, 7 for months.
 
     Being stored, a layer's size is known when a job is planned, and so is whether it may be
-    broadcast.
+    broadcast. Rows are dealt by ranges of window start, and within one by hash, so a busy period
+    or window is written by several tasks and a sparse one shares a task with others.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if rebuild or key not in _built:
+    files = files_of(spark, sf_dir)
+    if rebuild or key not in _built or _built[key][0] != files:
         path, rows = fresh_dir(spark, name), build()
         if period_width:
             rows = rows.withColumn(PERIOD, F.substring("stt", 1, period_width))
-            rows.repartition(PERIOD).sortWithinPartitions(PERIOD, "stt").write.partitionBy(PERIOD).parquet(path)
+            dealt = rows.repartitionByRange(PERIOD, "stt", F.xxhash64(*rows.columns))
+            dealt.sortWithinPartitions(PERIOD, "stt").write.partitionBy(PERIOD).parquet(path)
         else:
             rows.write.parquet(path)
-        _built[key] = path, rows.schema
-    path, schema = _built[key]
+        _built[key] = files, path, rows.schema
+    _, path, schema = _built[key]
     if period_width:
         others = [f for f in schema.fields if f.name != PERIOD]
         schema = StructType(others).add(PERIOD, StringType())
