@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontaminate, langid, packing, pages, quality, repeats, secrets, simhash, tokens, urls
+from tidemart.llm import covers, decontaminate, langid, packing, pages, quality, repeats, secrets, simhash, tokens, turns, urls, vantage
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,9 +78,23 @@ def op10_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vantage_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage.digest(*vantage.clustered(table(spark, sf_dir, "embeddings")))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = turns.damaged(table(spark, sf_dir, "conversations"))
+    return turns.digest(rows, turns.faults(rows))
+
+
+def op13_cover_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covers.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_language_centroids, op2_quality_ledger, op3_secret_links, op4_page_text, op5_simhash_variants, op6_token_counts,
         op7_url_cascade, op8_repeated_strings, op9_packed_groups, op10_benchmark_winnowing,
+        op11_vantage_centroids, op12_turn_repair, op13_cover_passages,
     )
 }
