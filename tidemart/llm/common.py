@@ -31,6 +31,18 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def unused(columns: list[str], *names: str) -> tuple[str, ...]:
+    """The names, lengthened until none is one of the columns, whose case does not count."""
+    taken = {c.lower() for c in columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return tuple(found)
+
+
 def left_join(left: DataFrame, right: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """Left join on columns that may be null; ``right`` has at most one row per key."""
     other = right.select(*[F.col(n).alias(f"_r_{n}") for n in names],

@@ -95,6 +95,12 @@ def _whole_hash(span: int) -> Column:
     return choice
 
 
+def marked(indexed: DataFrame, lengths: list[int]) -> DataFrame:
+    """(doc_id, h, n, mark): the different marks of all window lengths, from one reading of the rows."""
+    each = ", ".join(f"transform(array_distinct(marks_{n}), m -> struct({n} AS n, m AS mark))" for n in lengths)
+    return indexed.select("doc_id", "h", F.expr(f"explode_outer(concat({each}))").alias("m")).select("doc_id", "h", "m.*")
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
     item_id: str = "item_id", item_text: str = "text", span: int = 10, gram: int = 5,
@@ -112,13 +118,7 @@ def contamination(
     indexed = _indexed(
         rows.select("doc_id", "h", words_of(F.col("body")).alias("words")), span, gram, short
     )
-    found = None
-    for n in [*short, span]:
-        part = indexed.select(
-            "doc_id", "h", F.lit(n).alias("n"), F.explode_outer(F.array_distinct(f"marks_{n}")).alias("mark")
-        )
-        found = part if found is None else found.unionByName(part)
-    hits = found.join(marks, ["n", "mark"]).groupBy("doc_id", "h").agg(
+    hits = marked(indexed, [*short, span]).join(marks, ["n", "mark"]).groupBy("doc_id", "h").agg(
         *[F.collect_set(F.when(F.col("n") == n, F.col("mark"))).alias(f"hit_{n}") for n in [*short, span]]
     )
     hits = stored(hits, "mark-hits")
@@ -128,15 +128,12 @@ def contamination(
         keys, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h"))
     ).drop("_d", "_h").withColumn("words", words_of(F.col("body"))).drop("body")
     again = _indexed(again, span, gram, short)
-    starts = None
-    for n in [*short, span]:
-        part = again.select("doc_id", "h", F.lit(n).alias("n"), "words", F.expr(
-            f"explode_outer(filter(transform(marks_{n}, (m, i) -> struct(i AS at, m AS mark)), "
-            f"x -> array_contains(hit_{n}, x.mark)))"
-        ).alias("w"))
-        starts = part if starts is None else starts.unionByName(part)
+    starts = again.select("doc_id", "h", "words", F.expr("explode_outer(concat(" + ", ".join(
+        f"filter(transform(marks_{n}, (m, i) -> struct({n} AS n, i AS at, m AS mark)), "
+        f"x -> array_contains(hit_{n}, x.mark))" for n in [*short, span]
+    ) + "))").alias("w"))
     candidates = starts.select(
-        "doc_id", "h", "n", "w.at", "w.mark", F.expr("array_join(slice(words, w.at + 1, n), ' ')").alias("phrase")
+        "doc_id", "h", "w.n", "w.at", "w.mark", F.expr("array_join(slice(words, w.at + 1, w.n), ' ')").alias("phrase")
     ).distinct()
     occurring = stored(candidates.join(phrases, ["n", "mark", "phrase"]), "window-hits")
 

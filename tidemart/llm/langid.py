@@ -6,7 +6,7 @@ texts; a text gets the language of the centroid with the greatest cosine. Texts
 farther from every centroid than learnt for their length are rejected.
 
 The classifier is fitted on at most ``PER_LANGUAGE`` labelled texts per language, those with
-the least hash of their id; prediction reads every text whole. Vectors of long texts are
+the least hash of their id and, of the same id, of the text; prediction reads every text whole. Vectors of long texts are
 summed over slices, so memory does not grow with the text.
 
 Texts that are null or hold no letter are ``und`` with score 0, and rejected. Without
@@ -44,24 +44,30 @@ _letters: list[np.ndarray] = []
 
 
 def gram_counts(text: str) -> np.ndarray:
-    """Counts of the text's letter n-grams by hash; runs of other characters count as a space."""
+    """Counts of the text's letter n-grams by hash; runs of other characters count as a space.
+
+    A long text is counted in slices: a slice counts the n-grams that end in it.
+    """
     total = np.zeros(BUCKETS, np.int64)
     letters = _letter_table()
+    text = text.lower()
+    shift = np.uint32(32 - BUCKETS.bit_length() + 1)
+    carry, after_letter = np.zeros(0, np.uint32), False
     for at in range(0, len(text), _SLICE):
-        # Two characters of the slice before, so that no n-gram is lost at the cut.
-        part = text[max(0, at - 2) : at + _SLICE].lower()
-        codes = np.frombuffer(part.encode("utf-32-le", "replace"), np.uint32)
+        codes = np.frombuffer(text[at : at + _SLICE].encode("utf-32-le", "replace"), np.uint32)
         is_letter = letters[codes]
-        codes = np.where(is_letter, codes, np.uint32(32))
         keep = is_letter.copy()
         keep[1:] |= is_letter[:-1]
-        codes = codes[keep]
-        shift = 32 - BUCKETS.bit_length() + 1
+        keep[0] |= after_letter
+        after_letter = bool(is_letter[-1])
+        codes = np.concatenate([carry, np.where(is_letter, codes, np.uint32(32))[keep]])
+        old = len(carry)
         one = codes * _MIX[0]
         two = (one[:-1] ^ (codes[1:] * _MIX[1])) * _MIX[2]
         three = (two[:-1] ^ (codes[2:] * _MIX[0])) * _MIX[1]
-        for grams in (one, two, three):
-            total += np.bincount(grams >> np.uint32(shift), minlength=BUCKETS)
+        for length, grams in enumerate((one, two, three), 1):
+            total += np.bincount(grams[max(old - length + 1, 0) :] >> shift, minlength=BUCKETS)
+        carry = codes[-2:]
     return total
 
 
@@ -122,24 +128,31 @@ def fit(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang",
     per_language: int = PER_LANGUAGE, k: int = CENTROIDS,
 ) -> Model:
-    """Learn from a bounded sample: ``per_language`` texts of each label, by hash of their id."""
-    labelled = docs.where(
+    """Learn from a bounded sample: ``per_language`` texts of each label, by hash of their id.
+
+    A text is learnt under the labels of its own rows, once each, however often its row or its id
+    repeats; what comes to the driver is at most ``per_language`` texts' counts per label.
+    """
+    usable = docs.where(
         F.col(label).isNotNull() & F.col(doc_id).isNotNull() & F.col(text).isNotNull() & ~held_out(doc_id)
-    ).select(F.col(doc_id).alias("id"), F.col(label).alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    some = labelled.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
-        F.broadcast(some.select("id", "label").distinct()), "id"  # bounded by per_language and the labels
-    )
+    ).select(F.col(doc_id).alias("id"), F.col(label).alias("label"), F.col(text).alias("text"))
+    hashed = F.xxhash64("text").alias("h")
+    keys = usable.select("id", "label", hashed).dropDuplicates()
+    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id", "h")
+    some = keys.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).drop("n")
+    # Bounded by per_language and the labels; rows that are alike in all three come once.
+    texts = usable.select("*", hashed).join(F.broadcast(some), ["id", "label", "h"]).groupBy("id", "label", "h").agg(
+        F.first("text").alias("text"))
 
     def grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             counts = [gram_counts(t) if has_letter(t) else None for t in frame["text"]]
-            rows = [(i, label, np.flatnonzero(c), c[c > 0]) for i, label, c in zip(frame["id"].astype(str), frame["label"], counts) if c is not None]
-            yield pd.DataFrame(rows, columns=["id", "label", "places", "counts"])
+            keys = zip(frame["id"].astype(str), frame["label"], frame["h"])
+            rows = [(*key, np.flatnonzero(c), c[c > 0]) for key, c in zip(keys, counts) if c is not None]
+            yield pd.DataFrame(rows, columns=["id", "label", "h", "places", "counts"])
 
-    sample = texts.mapInPandas(grams, "id string, label string, places array<long>, counts array<long>")
-    rows = sample.toPandas().sort_values(["label", "id"], kind="stable").reset_index(drop=True)
+    sample = texts.mapInPandas(grams, "id string, label string, h long, places array<long>, counts array<long>")
+    rows = sample.toPandas().sort_values(["label", "id", "h"], kind="stable").reset_index(drop=True)
     return _fitted(rows, k)
 
 
@@ -198,8 +211,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> Column:
 
 def identified(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang",
-    per_language: int = PER_LANGUAGE, k: int = CENTROIDS,
+    per_language: int = PER_LANGUAGE, k: int = CENTROIDS, into: str = "_lang",
 ) -> DataFrame:
-    """All columns of ``docs`` and ``_lang``, the prediction of a model fitted on their labels."""
+    """All columns of ``docs`` and ``into``, the prediction of a model fitted on their labels.
+
+    ``into`` must not be a column of ``docs``; ``common.unused`` finds a name that is not.
+    """
     model = fit(docs, doc_id, text, label, per_language, k)
-    return docs.withColumn("_lang", predict(docs, model, text))
+    return docs.withColumn(into, predict(docs, model, text))

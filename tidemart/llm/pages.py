@@ -57,6 +57,7 @@ _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
     "th": {"td", "th", "tr"}, "p": _BLOCKS,
 }
+_CLOSED_BY = {tag: [own for own, tags in _CLOSES.items() if tag in tags] for tag in _BLOCKS}
 _SCOPES = {"li": {"ul", "ol", "menu"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}, "dt": {"dl"}, "dd": {"dl"}}
 _PLAIN = {"article": "div", "main": "div", "nav": "div", "header": "div", "footer": "div", "aside": "div"}
 _TELLING = {"article", "main", "nav", "header", "footer", "aside", "form"}
@@ -150,6 +151,11 @@ def _ended(source: str) -> set[int]:
 def parse(source: str) -> Page:
     page = Page([Block("html", -1)])
     open_tags: list[tuple[str, int]] = [("html", 0)]  # open elements and their blocks
+    # What is open, so that a tag that meets nothing is not looked for: blocks by name, their depths,
+    # and of each the other elements in it by name.
+    opened: Counter = Counter()
+    solid: list[int] = [0]
+    loose: list[Counter] = [Counter(), Counter()]
     pieces: list[str] = []
     veils: list[tuple[int, bool]] = []  # open hidden elements: their depths, and whether an end tag is to come
     ended: set[int] | None = None
@@ -172,6 +178,12 @@ def parse(source: str) -> Page:
             if tag in _BLOCKS:
                 flush()
             open_tags.pop()
+            if tag in _BLOCKS:
+                opened[tag] -= 1
+                solid.pop()
+                loose.pop()
+            else:
+                loose[-1][tag] -= 1
             if veils and veils[-1][0] == len(open_tags):
                 veils.pop()
             links -= tag == "a"
@@ -207,15 +219,13 @@ def parse(source: str) -> Page:
         if tag is None:
             continue
         if ending:
-            if tag == "br" or tag == "p" and not any(t == "p" for t, _ in open_tags):
+            if tag == "br" or tag == "p" and not opened["p"]:
                 say(" ")
-                continue
-            for depth in range(len(open_tags) - 1, 0, -1):
-                if open_tags[depth][0] == tag:
-                    close(depth)
-                    break
-                if open_tags[depth][0] in _BLOCKS and tag not in _BLOCKS:
-                    break  # an inline end tag does not close blocks
+            elif tag in _BLOCKS:
+                if opened[tag]:
+                    close(next(depth for depth in reversed(solid) if open_tags[depth][0] == tag))
+            elif loose[-1][tag]:  # an inline end tag does not close blocks
+                close(next(d for d in range(len(open_tags) - 1, 0, -1) if open_tags[d][0] == tag))
             continue
         if veils:
             unveil(tag)
@@ -224,14 +234,14 @@ def parse(source: str) -> Page:
         if tag in _VOID and tag != "hr":
             say(" ")
             continue
-        if tag in _BLOCKS or tag in _CLOSES:
-            for depth in range(len(open_tags) - 1, 0, -1):
+        if tag in _BLOCKS and any(opened[own] for own in _CLOSED_BY[tag]):
+            for depth in solid[::-1]:
                 own = open_tags[depth][0]
                 if own in _CLOSES and tag in _CLOSES[own]:
                     close(depth)
                     if own == tag or own == "p":
                         break
-                elif own in _SCOPES.get(tag, ()) or tag not in _CLOSES and own in _BLOCKS:
+                elif own in _SCOPES.get(tag, ()) or tag not in _CLOSES:
                     break
         if tag in ("html", "hr"):
             flush()
@@ -251,10 +261,14 @@ def parse(source: str) -> Page:
             own = {above.tag} & _TELLING | set(above.hints)
             within = above.within if own <= above.within else above.within | own
             page.blocks.append(Block(tag, parent, hints, label, within))
+            opened[tag] += 1
+            solid.append(len(open_tags))
+            loose.append(Counter())
             open_tags.append((tag, len(page.blocks) - 1))
         elif tag in ("svg", "math") and attributes.endswith("/"):
             continue
         else:
+            loose[-1][tag] += 1
             open_tags.append((tag, open_tags[-1][1]))
             if tag in _HIDDEN:
                 if ended is None and tag not in ("head", "template"):
@@ -400,12 +414,14 @@ def fit(pages: DataFrame, page_id: str = "page_id", source: str = "html", sample
     return Model.of(counts)
 
 
-def extracted(pages: DataFrame, page_id: str = "page_id", source: str = "html", sample: int = SAMPLE) -> DataFrame:
-    """All columns of ``pages`` and ``_text``, the main text."""
+def extracted(
+    pages: DataFrame, page_id: str = "page_id", source: str = "html", sample: int = SAMPLE, into: str = "_text",
+) -> DataFrame:
+    """All columns of ``pages`` and ``into``, the main text; no column of ``pages`` may have that name."""
     model = fit(pages, page_id, source, sample)
 
     @F.pandas_udf("string")
     def text(sources: pd.Series) -> pd.Series:
         return pd.Series([main_text(s, model) for s in sources], dtype=object)
 
-    return pages.withColumn("_text", text(F.coalesce(F.col(source), F.lit(""))))
+    return pages.withColumn(into, text(F.coalesce(F.col(source), F.lit(""))))

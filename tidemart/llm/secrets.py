@@ -19,7 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemart.llm.common import left_join, stored, text_of
+from tidemart.functions.once import once
+from tidemart.llm.common import left_join, stored, text_of, unused
 
 REACH = 400
 
@@ -97,12 +98,13 @@ def linked(candidates: DataFrame, reach: int = REACH) -> DataFrame:
         "role": role[F.col("kind")], "slice": F.floor(F.col("start") / reach),
         "strong": F.col("kind").isin(*STRONG),
     })
-    around = Window.partitionBy(*_KEY).orderBy("start", "end")
-    before = around.rowsBetween(Window.unboundedPreceding, -1)
-    after = around.rowsBetween(1, Window.unboundedFollowing)
+    # Both frames reach back to the partition's edge, so that Spark keeps a running value: the
+    # greatest end of the strong parts that start before, and the least start of those that start after.
+    before = Window.partitionBy(*_KEY).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*_KEY).orderBy(F.desc("start"), F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
     own = own.withColumns({
         "inside": F.coalesce(F.max(F.when(F.col("strong"), F.col("end"))).over(before) > F.col("start"), F.lit(False)),
-        "around": F.coalesce(F.first(F.when(F.col("strong"), F.col("start")), True).over(after) < F.col("end"), F.lit(False)),
+        "around": F.coalesce(F.min(F.when(F.col("strong"), F.col("start"))).over(after) < F.col("end"), F.lit(False)),
     })
     weak = own.where(~F.col("strong") & ~F.col("inside") & ~F.col("around"))
     slices = own.where("strong OR NOT (inside OR around)").groupBy(*_KEY, "role", "slice").agg(
@@ -157,22 +159,40 @@ def with_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reac
     )
 
 
+_CHUNK = 1024
+
+
+def _between(cells: str, start: str, end: str) -> str:
+    """SQL: the characters of a text in chunks from ``start`` to ``end``, exclusive."""
+    first, last = f"cast(({start}) div {_CHUNK} AS int)", f"cast((({end}) - 1) div {_CHUNK} AS int)"
+    low = f"if(j = 0, cast(({start}) AS int) - {first} * {_CHUNK}, 0)"
+    high = f"if(j = {last} - {first}, cast(({end}) AS int) - {last} * {_CHUNK}, {_CHUNK})"
+    some = f"slice(`{cells}`, {first} + 1, {last} - {first} + 1)"
+    return (
+        f"if(({start}) < ({end}), array_join(transform({some}, "
+        f"(c, j) -> substring(c, {low} + 1, {high} - {low})), ''), '')")
+
+
 def redacted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
     """All columns of ``docs``, each span of the text replaced by ``<kind>``; null texts stay null.
 
-    The cost of a text grows with its spans times its length.
+    A text that has a span is cut into chunks of ``_CHUNK`` characters once and put together from the
+    stretches between its spans, so its cost grows with its length and its spans, not with their product.
     """
-    found = spans_by_document(docs, doc_id, text, reach).select(
-        F.col("doc_id").alias("__d"), F.col("h").alias("__h"), F.col("spans").alias("__spans"))
     columns = docs.columns
-    keyed = docs.select("*", F.xxhash64(text_of(text)).alias("__key"))
-    body = f"`{text}`"
-    clean = F.expr(
-        f"concat(array_join(transform(__spans, x -> if(x.start >= x.seen, concat("
-        f"substring({body}, cast(x.seen AS int) + 1, cast(x.start - x.seen AS int)), '<', x.kind, '>'), '')), ''), "
-        f"substring({body}, cast(array_max(transform(__spans, x -> x.end)) AS int) + 1))"
-    )
+    d, h, key, spans, cells, body = unused(columns, "__d", "__h", "__key", "__spans", "__cells", "__body")
+    found = spans_by_document(docs, doc_id, text, reach).select(
+        F.col("doc_id").alias(d), F.col("h").alias(h), F.col("spans").alias(spans))
+    keyed = docs.select("*", F.xxhash64(text_of(F.col(f"`{text}`"))).alias(key))
     joined = keyed.join(
-        found, F.col(doc_id).eqNullSafe(F.col("__d")) & (F.col("__key") == F.col("__h")), "left"
-    ).withColumn(text, F.when(F.col("__spans").isNull(), F.col(text)).otherwise(clean))
-    return joined.select(*columns)
+        found, F.col(f"`{doc_id}`").eqNullSafe(F.col(d)) & (F.col(key) == F.col(h)), "left")
+    # Once per row, by a generator of one element; otherwise each span would cut the text anew.
+    chunks = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+    cut = joined.withColumn(cells, once(F.when(F.col(spans).isNotNull(), chunks)))
+    seen = f"array_max(transform(`{spans}`, x -> x.end))"
+    clean = F.expr(
+        f"concat(array_join(transform(`{spans}`, x -> if(x.start >= x.seen, "
+        f"concat({_between(cells, 'x.seen', 'x.start')}, '<', x.kind, '>'), '')), ''), "
+        f"{_between(cells, seen, f'length(`{text}`)')})")
+    done = cut.withColumn(body, F.when(F.col(spans).isNull(), F.col(f"`{text}`")).otherwise(clean))
+    return done.select(*[F.col(body).alias(text) if c == text else F.col(f"`{c}`") for c in columns])
