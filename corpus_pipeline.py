@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart.llm import decontaminate, langid, packing, secrets, simhash
-from tidemart.llm.common import stored, table, text_of
+from tidemart.llm.common import stored, table, text_of, unused
 from tidemart.llm.queries import vocabulary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,9 +20,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that are like no language of the labelled ones; write the language found."""
-    found = langid.identified(docs)
-    columns = [F.col("_lang.lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns]
-    return found.where(~F.col("_lang.rejected")).select(*columns)
+    (found,) = unused(docs.columns, "_lang")
+    known = langid.identified(docs, into=found)
+    columns = [F.col(f"{found}.lang_pred").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns]
+    return known.where(~F.col(f"{found}.rejected")).select(*columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,28 +31,34 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     It is the one with the least id, missing ids last, and of equal ids the least hash of the text.
     """
+    (name,) = unused(docs.columns, "__key")
     number = F.col("doc_id")
     key = F.struct(number.isNull().alias("none"), number.alias("id"), F.xxhash64(text_of("text")).alias("hash"))
-    keyed = docs.withColumn("__key", key)
-    found = simhash.near_duplicates(keyed, "__key")
-    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__key")).distinct()
-    return keyed.join(first, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    keyed = docs.withColumn(name, key)
+    found = simhash.near_duplicates(keyed, name)
+    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
+    return _columns(keyed.join(first, name, "left_semi").dropDuplicates([name]), docs)
+
+
+def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a window of a benchmark item."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.where("contaminated").select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).distinct()
-    keyed = docs.withColumn("__h", F.xxhash64(text_of("text")))
-    kept = keyed.join(bad, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("__h") == F.col("_h")), "left_anti")
-    return kept.select(*docs.columns)
+    d, h, own = unused(docs.columns, "_d", "_h", "__h")
+    bad = found.where("contaminated").select(F.col("doc_id").alias(d), F.col("h").alias(h)).distinct()
+    keyed = docs.withColumn(own, F.xxhash64(text_of("text")))
+    return _columns(keyed.join(bad, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(own) == F.col(h)), "left_anti"), docs)
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets by their kind; ``n_chars`` follows the text."""
     clean = secrets.redacted(docs)
     columns = [
-        F.length("text").cast(clean.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns
+        F.length("text").cast(clean.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`")
+        for c in docs.columns
     ]
     return clean.select(*columns)
 
