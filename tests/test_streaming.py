@@ -26,12 +26,12 @@ def visit_log(size=400, disorder=4_000):
     return rows
 
 
-def file_stream(spark, rows, parts=3):
+def file_stream(spark, rows, parts=3, idle_batches=True):
     path = fresh_dir(spark, "files")
     size = -(-len(rows) // parts)
     for start in range(0, len(rows), size):
         frame(spark, rows[start:start + size]).coalesce(1).write.mode("append").parquet(path)
-    own = stream_session(spark, 4)
+    own = stream_session(spark, 4, idle_batches)
     return own.readStream.schema(PAGES).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -63,7 +63,7 @@ def test_unique_visits_over_files(spark):
     rows = visit_log()
     for salts in (1, 4):
         found = run.drained(
-            spark, stream_visits.unique_visits(file_stream(spark, rows), salts=salts), "uv")
+            spark, stream_visits.unique_visits(file_stream(spark, rows, idle_batches=False), salts=salts), "uv")
         batch = visits.unique_visits(frame(spark, rows))
         assert sorted(r.mid for r in found.select("common.mid").collect()) == sorted(
             r.mid for r in batch.select("common.mid").collect())

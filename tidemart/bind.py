@@ -353,6 +353,18 @@ def order_rule_changes(spark: SparkSession) -> DataFrame:
     return _envelope(frame, "table_process", F.lit("c"), F.col("n"), F.col("r"))
 
 
+def dimension_rule_changes(spark: SparkSession) -> DataFrame:
+    """A rule for orders, then two rules of one after the other that call for a user dimension."""
+    rows = [
+        (0, (ORDERS, "insert", "kafka", "dwd_order_info", "id", None, None)),
+        (1, (USERS, "insert", "hbase", "dim_user_info", "id,name,segment", "id", "SALT_BUCKETS = 4")),
+        (2, (USERS, "update", "hbase", "dim_user_info", "id,name,segment", None, None)),
+    ]
+    fields = ", ".join(f"{f.name}:string" for f in schemas.RULE.fields).replace(" ", "")
+    frame = spark.createDataFrame(rows, f"n long, r struct<{fields}>")
+    return _envelope(frame, "table_process", F.lit("c"), F.col("n"), F.col("r"))
+
+
 def user_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The users' table as a snapshot finds it, before any of its changes."""
     return table(spark, sf_dir, "customer").select(

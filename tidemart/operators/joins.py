@@ -49,6 +49,31 @@ def _sliced(
     return joined.drop("_slice", "_copy_slice")
 
 
+def _full(
+    left: DataFrame, right: DataFrame, keys: Column, left_time: str, right_time: str,
+    lower: int, upper: int, width: int,
+) -> DataFrame:
+    """Pairs with ``right_time`` in [left_time + lower, left_time + upper], and all rows without one.
+
+    Each side is read and shuffled once. A row lies in its own slice of time and, as a copy, in
+    every slice that can hold a partner, so in its own slice it meets all of its partners,
+    themselves or as copies. A pair counts in the left row's slice, and a row without a partner in
+    its own, so what copies meet or miss is dropped.
+    """
+    here, there = F.col(left_time), F.col(right_time)
+
+    def spread(df: DataFrame, time: Column, low: int, high: int, slice_: str, home: str) -> DataFrame:
+        own = slice_of(time, width)
+        spots = F.array_union(F.array(own), F.sequence(slice_of(time + low, width), slice_of(time + high, width)))
+        return df.select("*", F.explode_outer(spots).alias(slice_)).withColumn(home, F.col(slice_).eqNullSafe(own))
+
+    a = spread(left, here, lower, upper, "_slice", "_home")
+    b = spread(right, there, -upper, -lower, "_copy_slice", "_copy_home")
+    near = keys & (F.col("_slice") == F.col("_copy_slice")) & there.between(here + lower, here + upper)
+    joined = a.join(b.hint("merge"), near, "full")
+    return joined.where(F.coalesce("_home", "_copy_home"))
+
+
 def interval_join(
     left: DataFrame, right: DataFrame, on: Mapping[str, str], times: tuple[str, str],
     lower: int, upper: int, how: str = "inner", copy: str = "right",
@@ -82,9 +107,7 @@ def interval_join(
     elif how == "right":
         joined = keep_right("left")
     elif how == "full":
-        joined = keep_left("left").unionByName(
-            keep_right("left_anti"), allowMissingColumns=True
-        )
+        joined = _full(a, b, keys, at, bt, lower, upper, width)
     else:
         raise ValueError(f"unknown join kind: {how}")
     return joined.select(*columns)

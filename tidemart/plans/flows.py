@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemart import bind, schemas
 from tidemart.operators import joins, logs, orders, stats, visits
 from tidemart.plans.layers import layer
+from tidemart.plans.periods import DAYS, PeriodStatistics
 from tidemart.streaming.run import stored
 
 HOUR, DAY = 3_600_000, 86_400_000
@@ -69,7 +70,7 @@ def snowflake(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFr
     return layer(spark, sf_dir, "dim-sku", lambda: joins.sku_snowflake(
         bind.dim_sku(spark, sf_dir), bind.dim_spu(spark, sf_dir),
         bind.dim_trademark(spark, sf_dir), bind.dim_category3(spark, sf_dir),
-    ), rebuild=rebuild)
+    ), rebuild=rebuild, tables=("part",))
 
 
 def joined_orders(spark: SparkSession, sf_dir: str, durations: Durations = SPARSE) -> DataFrame:
@@ -175,6 +176,12 @@ STATISTICS = {
     "product": product_stats, "visitor": visitor_stats, "province": province_stats,
     "keyword": keyword_stats,
 }
+#: The tables that each of the statistics is computed from.
+_ORDERS = ("orders", "lineitem", "customer")
+TABLES = {
+    "product": ("events", "part", *_ORDERS), "visitor": ("events",), "keyword": ("events",),
+    "province": ("nation", "region", *_ORDERS),
+}
 
 
 def statistics(
@@ -183,7 +190,27 @@ def statistics(
     """A statistics table as the jobs leave it and the reports read it, stored by period."""
     return layer(
         spark, sf_dir, f"{name}-stats", lambda: STATISTICS[name](spark, sf_dir, durations),
-        durations.period_width, rebuild,
+        durations.period_width, rebuild, TABLES[name],
+    )
+
+
+def product_by_period(spark: SparkSession, sf_dir: str, path: str, durations: Durations = SPARSE) -> PeriodStatistics:
+    """Product statistics kept up from measure rows, which stand for themselves."""
+    rows = product_measures(spark, sf_dir, durations)
+    return PeriodStatistics(
+        spark, path, {"rows": rows.schema}, {"rows": "ts"},
+        lambda read: stats.product_stats(read["rows"], snowflake(spark, sf_dir), durations.product_window),
+        durations.period_width,
+    )
+
+
+def visitor_by_period(spark: SparkSession, pages: DataFrame, path: str, durations: Durations = SPARSE) -> PeriodStatistics:
+    """Visitor statistics kept up from repaired pages; a page may decide a bounce one timeout before it."""
+    return PeriodStatistics(
+        spark, path, {"pages": pages.schema}, {"pages": "ts"},
+        lambda read: stats.visitor_stats(
+            visit_flow(read["pages"], durations).rows(), durations.visitor_window),
+        DAYS, durations.bounce_timeout,
     )
 
 

@@ -321,6 +321,26 @@ _PHRASES = f"{bind.HAN_PHRASES}"
 _TOTALS = """cast(sum(order_amount) as decimal(38,2)) order_amount"""
 _RANK = "having sum(order_amount) > 0 order by order_amount desc,"
 
+def _after(kept: str, reading: str, first: str) -> str:
+    """Rows a that reading keeps alive for a day, and the rows b that come after and read them.
+
+    A row lives through its readers as long as no two that follow each other are too far apart.
+    """
+    return f"""
+        select k.event_id a, r.event_id b from (
+            select k.event_id, k.id, k.ts, min_by(r.island, r.ts) island, min(r.ts) f from {kept} k
+            join ({_islands(reading)}) r on k.id = r.id and r.ts {first} k.ts group by all) k
+        join ({_islands(reading)}) r on k.id = r.id and k.island = r.island and r.ts {first} k.ts
+        where k.f <= k.ts + {DAY}"""
+
+
+def _islands(rows: str) -> str:
+    return f"""
+        select *, sum(new) over (partition by id order by ts) island from (
+            select *, case when ts - lag(ts) over (partition by id order by ts) <= {DAY} then 0 else 1 end as new
+            from {rows})"""
+
+
 _SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "src_topic": (("pl",), f"select {_FLAT} from pl"),
     "src_sql_table": (("pl",), f"""
@@ -394,6 +414,10 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
                case o_orderkey % 2 when 0 then '{"id":"' || o_orderkey || '","user_id":"' || o_custkey
                    || '","order_status":"' || o_orderstatus || '"}' else '{"id":"' || o_orderkey || '"}' end "value"
         from orders"""),
+    "stream_dim_from_new_rule": ((), """
+        select cast(c_custkey as varchar) id, c_name "name",
+               case c_custkey % 7 when 0 then lower(c_mktsegment) else c_mktsegment end segment
+        from customer where c_custkey % 2 = 1 or c_custkey % 7 = 0"""),
     "cdc_route_fact": (("chg",), """
         select "offset", tbl "tableName", 'insert' "type", 'dwd_order_info' "sinkTable", after
         from chg where tbl = 'order_info'"""),
@@ -626,8 +650,6 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
         select keyword as name, cast(sum(ct * 10) as bigint) "value" from kw where {_VISIT}
         group by keyword order by sum(ct) desc, keyword limit 20"""),
     "stream_new_visitor_fix": (("fixed",), "select event_id, mid, is_new from fixed"),
-    "stream_unique_visit": (("pl",), f"""
-        select distinct mid, substr({_text('ts')}, 1, 10) "day" from pl where last_page_id is null"""),
     # An entry is given out when the watermark has passed its timeout.
     "stream_bounce_detail": (("bounce", "pl"), f"""
         select {', '.join('pl.' + c.strip() for c in _FLAT.split(','))}, bounce_kind
@@ -657,6 +679,31 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
         select {_PAIR} from views l full join clicks r on {_NEAR}
         where (l.id is not null and r.id is not null) or coalesce(l.ts, r.ts) + {HOUR} < (
             select least((select max(ts) from views), (select max(ts) from clicks)))"""),
+    "stream_ttl_renewed_left": (("views", "clicks"), f"""
+        select {_PAIR} from views l left join ({_after("views", "clicks", ">=")} union all
+            select l.event_id a, r.event_id b from views l join clicks r
+            on l.id = r.id and r.ts < l.ts and r.ts >= l.ts - {DAY}) p on l.event_id = p.a
+        left join clicks r on r.event_id = p.b"""),
+    "stream_ttl_renewed_full": (("views", "clicks"), f"""
+        select {_PAIR} from views l
+        full join ({_after("views", "clicks", ">=")} union all
+            select b a, a b from ({_after("clicks", "views", ">")})) p on l.event_id = p.a
+        full join clicks r on r.event_id = p.b"""),
+    "stream_outer_changes": (("views", "clicks"), f"""
+        with pair as (
+            select l.event_id a, r.event_id b, l.ts lt, r.ts rt from views l join clicks r on {_NEAR}),
+        alone as (
+            select l.event_id a, null b, l.ts t, min(p.rt) f from views l left join pair p on l.event_id = p.a
+            group by all having not coalesce(bool_or(p.rt < l.ts), false)
+            union all
+            select null, r.event_id, r.ts, min(p.lt) from clicks r left join pair p on r.event_id = p.b
+            group by all having not coalesce(bool_or(p.lt <= r.ts), false)),
+        change as (
+            select 1 change, greatest(lt, rt) t, a, b from pair
+            union all select 1, t, a, b from alone
+            union all select -1, f, a, b from alone where f is not null)
+        select cast(change as int) change, t "at", {_PAIR} from change c
+        left join views l on l.event_id = c.a left join clicks r on r.event_id = c.b"""),
     "stream_restart": (("pl",), f"""
         select {_text('w')} stt, count(*) n from (select {_window('ts', HOUR)} w from pl)
         where w + {HOUR} <= (select max(ts) - 5000 from pl) group by w"""),
@@ -687,5 +734,8 @@ def all_oracles() -> dict[str, str]:
         text = f"select * from ({body})" if parts and body.lstrip().startswith("with") else body
         result[name] = ("with " + ",\n".join(parts) + "\n" + text) if parts else body
     result["stream_payment_wide"] = result["payment_wide"]
+    result["stats_one_day_more"] = result["product_stats"]
+    result["stats_visitor_day_more"] = result["visitor_stats"]
+    result["stream_unique_visit"] = result["unique_visit"]
     result["report_visitor_default_day"] = result["report_visitor"]
     return result

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,9 +13,11 @@ from pyspark.sql.types import LongType, StructType
 from tidemart import bind, schemas
 from tidemart.functions.names import camel_columns
 from tidemart.functions.text import keyword_rows, register_keyword_function, word_list
-from tidemart.functions.times import millis_time, seconds_time, time_text
+from tidemart.functions.times import millis_date, millis_time, seconds_time, time_text
 from tidemart.operators import changes, joins, logs, orders, stats, visits
 from tidemart.plans import flows, reports
+from tidemart.plans.layers import PERIOD
+from tidemart.plans.periods import PeriodStatistics
 from tidemart.sinks import tables as table_sinks
 from tidemart.sinks import topics as topic_sinks
 from tidemart.session import fresh_dir, stream_session
@@ -21,10 +25,10 @@ from tidemart.sources import changes as change_sources
 from tidemart.sources import tables as table_sources
 from tidemart.sources import topics as topic_sources
 from tidemart.streaming import joins as stream_joins
-from tidemart.streaming import run
+from tidemart.streaming import claims, renewed, run
 from tidemart.streaming import visits as stream_visits
 from tidemart.streaming.dims import fresh_lookup
-from tidemart.streaming.rules import routed_batches
+from tidemart.streaming.rules import current_dimension, dimension_batches, routed_batches
 
 # Only the fields the keyword job reads, the page as a map.
 _PAGE_MAP = schemas.struct_of(page=schemas.TEXT_MAP, ts=LongType())
@@ -35,6 +39,7 @@ _registry: dict[str, Query] = {}
 
 DURATIONS = flows.SPARSE
 SENSOR_BOUND = flows.HOUR
+RENEWED_TTL = 24 * flows.HOUR
 VISIT_DAY = "20240115"
 SALES_FROM, SALES_TO = "19970101", "19981231"
 TOPICS = {
@@ -349,6 +354,30 @@ def stream_route_rule_change(spark, d):
     return spark.read.schema("topic string, value string").parquet(f"{base}/out").drop("batch_id")
 
 
+@query
+def stream_dim_from_new_rule(spark, d):
+    """User changes in three batches; the rules that call for the dimension come with the second and third."""
+    base = fresh_dir(spark, "new-dimension")
+    history = changes.normalize(bind.dimension_rule_changes(spark), keep=("offset",))
+    users = bind.user_changes(spark, d)
+    odd, updated = F.floor(F.col("offset") / 3) % 2 == 1, F.col("offset") % 3 == 1
+    parts = [~updated & ~odd, ~updated & odd, updated]
+    prefix = f"d{uuid.uuid4().hex}_"
+
+    def rules_now(own: SparkSession) -> DataFrame:
+        return changes.rules_from_changes(own.read.schema(history.schema).parquet(f"{base}/rules"))
+
+    for number, part in enumerate(parts):
+        history.where(F.col("offset") == number).write.mode("append").parquet(f"{base}/rules")
+        users.where(part).write.mode("append").parquet(f"{base}/in")
+        stream = change_sources.read_changes(spark, topics=".*", format="parquet", path=f"{base}/in")
+        run.drain_to_batches(
+            changes.normalize(stream, keep=("offset",)), dimension_batches(rules_now, f"{base}/dims", prefix),
+            f"{base}/checkpoint",
+        )
+    return current_dimension(spark, f"{prefix}dim_user_info")
+
+
 @query
 def cdc_route_fact(spark, d):
     facts = changes.routed_facts(_routed(spark, d))
@@ -429,11 +458,27 @@ def log_fanout(spark, d):
     stream = topic_sources.read_topic(
         own, "ods_base_log", format="parquet", path=path, schema=lines.schema
     )
-    repaired = stream_visits.repair_new_flag(logs.parse_log(stream))
-    messages = logs.fan_out(repaired, TOPICS, ("event_id",))
     out = fresh_dir(spark, "log-fanout")
-    run.drain_to_files(messages, f"{out}/out", f"{out}/checkpoint", partition_by=("topic",))
-    return spark.read.schema(messages.schema).parquet(f"{out}/out")
+    shape = logs.fan_out(logs.parse_log(lines), TOPICS, ("event_id",)).schema
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        messages = logs.fan_out(batch, TOPICS, ("event_id",))
+        messages.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/out/batch_id={batch_id}")
+
+    with _claim_table(spark) as claim_table:
+        run.drain_to_batches(logs.parse_log(stream), claims.repairing(claim_table, write), f"{out}/checkpoint")
+    return spark.read.schema(shape).parquet(f"{out}/out").drop("batch_id")
+
+
+@contextmanager
+def _claim_table(spark: SparkSession) -> Iterator[str]:
+    """A table of first claims for the time of a query."""
+    name = f"first_claims_{uuid.uuid4().hex}"
+    claims.create_claims(spark, name, buckets=8)
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 @query
@@ -715,6 +760,31 @@ def product_stats(spark, d):
     return flows.product_stats(spark, d)
 
 
+def _one_more(kept: PeriodStatistics, name: str, rows: DataFrame) -> DataFrame:
+    """Statistics of all days but the last, then brought up to date with that day."""
+    path = run.stored(rows.sparkSession, rows, "period-input")
+    rows = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    day = millis_date("ts")
+    last = rows.agg(F.max(day)).first()[0]
+    for number, part in enumerate([day < F.lit(last), day == F.lit(last)]):
+        kept.add(number, **{name: rows.where(part)})
+    return kept.table().drop(PERIOD)
+
+
+@query
+def stats_one_day_more(spark, d):
+    """Product statistics by period; the last day comes after all others."""
+    kept = flows.product_by_period(spark, d, fresh_dir(spark, "kept-product"))
+    return _one_more(kept, "rows", flows.product_measures(spark, d))
+
+
+@query
+def stats_visitor_day_more(spark, d):
+    pages = flows.repaired_pages(spark, d)
+    kept = flows.visitor_by_period(spark, pages, fresh_dir(spark, "kept-visitor"))
+    return _one_more(kept, "pages", pages)
+
+
 @query
 def province_stats(spark, d):
     return flows.province_stats(spark, d).drop("ts")
@@ -792,26 +862,38 @@ def report_keyword(spark, d):
 
 
 def _from_pages(
-    spark: SparkSession, d: str, name: str, plan: Callable[[DataFrame], DataFrame]
+    spark: SparkSession, d: str, name: str, plan: Callable[[DataFrame], DataFrame], idle_batches: bool = True
 ) -> DataFrame:
     """A plan over the page log as it comes in several runs, in order of time."""
     pages = {"pages": bind.page_log(spark, d)}
+    own = stream_session(spark, idle_batches=idle_batches)
     return run.drained_in_order(
-        spark, stream_session(spark), pages, {"pages": "ts"}, lambda s: plan(s["pages"]), name, parts=4
+        spark, own, pages, {"pages": "ts"}, lambda s: plan(s["pages"]), name, parts=4
     )
 
 
 @query
 def stream_new_visitor_fix(spark, d):
-    return _from_pages(spark, d, "new-visitors", lambda pages: stream_visits.repair_new_flag(
-        pages).select("event_id", "common.mid", "common.is_new"))
+    """The page log in several runs; each goes on from the first claims that the others stored."""
+    base = fresh_dir(spark, "new-visitors")
+    pages = bind.page_log(spark, d)
+    own = stream_session(spark)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select("event_id", "common.mid", "common.is_new")
+        rows.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+
+    with _claim_table(spark) as claim_table:
+        for part in run.in_order_of_time(spark, {"pages": pages}, {"pages": "ts"}, f"{base}/in", parts=4):
+            stream = own.readStream.schema(pages.schema).parquet(part["pages"])
+            run.drain_to_batches(stream, claims.repairing(claim_table, write, merge_every=3), f"{base}/checkpoint")
+    return spark.read.schema("event_id long, mid string, is_new string").parquet(f"{base}/out").drop("batch_id")
 
 
 @query
 def stream_unique_visit(spark, d):
-    day = time_text(millis_time("ts")).substr(1, 10).alias("day")
-    return _from_pages(spark, d, "unique-visits", lambda pages: stream_visits.unique_visits(
-        pages).select("common.mid", day))
+    return _from_pages(spark, d, "unique-visits", lambda pages: flat(
+        stream_visits.unique_visits(pages)), idle_batches=False)
 
 
 @query
@@ -959,6 +1041,36 @@ def stream_ttl_join_full(spark, d):
     return _stream_ttl(spark, d, "full")
 
 
+def _expiring(spark: SparkSession, d: str, how: str, renew: bool) -> DataFrame:
+    """Changes of a join of two streams that come in several runs, in order of time."""
+    frames = {kind: bind.sensors(spark, d, kind) for kind in ("view", "click")}
+
+    def plan(streams: dict[str, DataFrame]) -> DataFrame:
+        return renewed.expiring_join(
+            streams["view"], streams["click"], _SENSOR_KEY, _SENSOR_TIME, RENEWED_TTL if renew else SENSOR_BOUND,
+            how, renew)
+
+    own = stream_session(spark)
+    return run.drained_in_order(spark, own, frames, dict.fromkeys(frames, "ts"), plan, f"expiring-{how}")
+
+
+@query
+def stream_ttl_renewed_left(spark, d):
+    """Left rows live on as long as right rows keep reading them."""
+    return renewed.live_rows(_expiring(spark, d, "left", renew=True))
+
+
+@query
+def stream_ttl_renewed_full(spark, d):
+    return renewed.live_rows(_expiring(spark, d, "full", renew=True))
+
+
+@query
+def stream_outer_changes(spark, d):
+    """Rows given out alone are taken back when their first partner comes."""
+    return _expiring(spark, d, "full", renew=False)
+
+
 def _two_runs(spark: SparkSession, first: DataFrame, second: DataFrame, name: str,
               plan: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Run a stream to its end, add files, and run it again from its checkpoint."""

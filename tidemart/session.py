@@ -45,9 +45,14 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+def stream_session(
+    spark: SparkSession, state_partitions: int | None = None, idle_batches: bool = True
+) -> SparkSession:
     """Session with its own settings for stateful queries.
 
+    Without ``idle_batches`` no micro-batch runs without new rows. State that lives by the clock asks for
+    one after another, so a query over it that should stop when all is read needs this.
+
     The number of state partitions is fixed when a checkpoint is first written, so it
     is chosen per query and not left to the batch setting of the caller's session.
     """
@@ -55,4 +60,5 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     partitions = state_partitions or spark.sparkContext.defaultParallelism
     own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(idle_batches).lower())
     return own

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -46,23 +46,34 @@ def drained_in_order(
     from its checkpoint. So state is carried from run to run, and no row is late.
     """
     base = fresh_dir(spark, name)
+    schema = None
+    for folders in in_order_of_time(spark, frames, times, f"{base}/in", parts):
+        streams = {n: own.readStream.schema(frames[n].schema).parquet(folder) for n, folder in folders.items()}
+        result = plan(streams)
+        schema = result.schema
+        drain_to_files(result, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.schema(schema).parquet(f"{base}/out")
+
+
+def in_order_of_time(
+    spark: SparkSession, frames: dict[str, DataFrame], times: dict[str, str], base: str, parts: int = 2,
+) -> Iterator[dict[str, str]]:
+    """Folders of topics, given out once each further part of the common span of time has come.
+
+    The frames are stored first, so that each is evaluated once.
+    """
+    kept = {n: spark.read.schema(f.schema).parquet(stored(spark, f, n)) for n, f in frames.items()}
     ends = [
-        frame.agg(F.min(times[n]).alias("lo"), F.max(times[n]).alias("hi")).first() for n, frame in frames.items()
+        frame.agg(F.min(times[n]).alias("lo"), F.max(times[n]).alias("hi")).first() for n, frame in kept.items()
     ]
     low = min((e.lo for e in ends if e.lo is not None), default=0)
     high = max((e.hi for e in ends if e.hi is not None), default=0)
     width = (high - low) // parts + 1
-    schema = None
     for part in range(parts):
-        streams = {}
-        for n, frame in frames.items():
+        for n, frame in kept.items():
             mine = F.coalesce(F.floor((F.col(times[n]) - low) / width), F.lit(0)) == part
-            frame.where(mine).write.mode("append").parquet(f"{base}/in/{n}")
-            streams[n] = own.readStream.schema(frame.schema).parquet(f"{base}/in/{n}")
-        result = plan(streams)
-        schema = result.schema
-        drain_to_files(result, f"{base}/out", f"{base}/checkpoint")
-    return spark.read.schema(schema).parquet(f"{base}/out")
+            frame.where(mine).write.mode("append").parquet(f"{base}/{n}")
+        yield {n: f"{base}/{n}" for n in kept}
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str, format: str = "parquet") -> str:

@@ -7,42 +7,73 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from datetime import datetime, timezone
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import (
-    BooleanType, LongType, StringType, StructField, StructType, TimestampType,
-)
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemart.functions.times import millis_date, millis_time, slice_of
-from tidemart.operators.visits import SLICES_PER_TIMEOUT, look_ahead_slices
+from tidemart.operators.visits import MATCHED, SLICES_PER_TIMEOUT, TIMED_OUT, look_ahead_slices
 
 # The processors travel to the workers by value, so no worker needs this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_CHUNK = 1000
-
-
 def with_event_time(pages: DataFrame, delay: str) -> DataFrame:
     return pages.withColumn("rt", millis_time("ts")).withWatermark("rt", delay)
 
 
-def unique_visits(pages: DataFrame, keep: str = "24 hours", salts: int = 8) -> DataFrame:
-    """The first entry page of each visitor and day, by arrival.
+_VISIT = "mid string, day date, at long, number long, value string"
+_LAST = (1 << 63) - 1
+
+
+class FirstOfDay(StatefulProcessor):
+    """The first row of a key, once; the mark that it was seen expires ``ttl`` after it is written.
 
-    State is kept for ``keep`` of event time, which is also how late an entry may come: one
-    that lies further behind is dropped, so ``keep`` must exceed the log's disorder. Repeats are first dropped within ``salts``
-    parts of each visitor, so that at most that many rows of a busy visitor reach one task
-    in the second step; one part skips this.
+    Reading does not renew the mark. The time is the clock's, not the events', so a row may
+    lie behind others as far as it likes.
     """
-    entries = with_event_time(pages, keep).where(F.col("page.last_page_id").isNull())
-    keyed = entries.withColumn("_mid", F.col("common.mid")).withColumn("_day", millis_date("ts"))
+
+    def __init__(self, ttl: int | None) -> None:
+        self._ttl = ttl
+
+    def init(self, handle) -> None:
+        self._seen = handle.getValueState("seen", "seen boolean", ttlDurationMs=self._ttl)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if self._seen.exists():
+            return
+        first = min(rows, key=lambda row: (row.at, row.number), default=None)
+        if first is not None:
+            self._seen.update((True,))
+            yield Row(mid=first.mid, day=first.day, at=first.at, number=first.number, value=first.value)
+
+    def close(self) -> None:
+        pass
+
+
+def unique_visits(pages: DataFrame, keep: int | None = 24 * 3_600_000, salts: int = 8) -> DataFrame:
+    """The first entry page of each visitor and day, by arrival, as a whole record.
+
+    What was seen is remembered for ``keep`` milliseconds of the clock after it was first seen, and
+    forever if None; how late an entry may come does not depend on it. Within a micro-batch the
+    first is the least (ts, event_id). Repeats are first dropped within ``salts`` parts of each
+    visitor, so that at most that many rows of a busy visitor reach one task in the second step;
+    one part skips this. Entries without a visitor are one visitor's, entries without a time one day's.
+    """
+    entries = pages.where(F.col("page.last_page_id").isNull())
+    rows = entries.select(
+        F.col("common.mid").alias("mid"), millis_date("ts").alias("day"),
+        F.coalesce("ts", F.lit(_LAST)).alias("at"), F.coalesce("event_id", F.lit(_LAST)).alias("number"),
+        F.to_json(F.struct(*pages.columns)).alias("value"),
+    )
     if salts > 1:
-        keyed = keyed.withColumn("_salt", F.pmod(F.hash("event_id"), F.lit(salts)))
-        keyed = keyed.dropDuplicatesWithinWatermark(["_mid", "_day", "_salt"]).drop("_salt")
-    return keyed.dropDuplicatesWithinWatermark(["_mid", "_day"]).drop("_mid", "_day", "rt")
+        salted = rows.withColumn("_salt", F.pmod(F.hash("number"), F.lit(salts)))
+        rows = salted.groupBy("mid", "day", "_salt").transformWithState(
+            FirstOfDay(keep), _VISIT, "append", "processingTime")
+    found = rows.groupBy("mid", "day").transformWithState(
+        FirstOfDay(keep), _VISIT, "append", "processingTime")
+    return found.select(F.from_json("value", pages.schema).alias("_row")).select("_row.*")
 
 
 _CLAIM = StructType([
@@ -131,87 +162,73 @@ def repair_new_flag(pages: DataFrame, salts: int = 8) -> DataFrame:
     return rest.unionByName(back.select(*pages.columns))
 
 
-_PENDING = StructType([
-    StructField("ts", LongType()), StructField("event_id", LongType()),
-    StructField("entry", BooleanType()), StructField("own", BooleanType()),
-    StructField("value", StringType()),
-])
-BOUNCE = StructType([
-    StructField("mid", StringType()), StructField("event_id", LongType()),
-    StructField("ts", LongType()), StructField("bounce_kind", StringType()),
-    StructField("value", StringType()), StructField("rt", TimestampType()),
-])
+_BUCKET = "ts array<long>, number array<long>, entry array<boolean>, own array<boolean>, value array<string>"
+_BOUNCE = "mid string, event_id long, ts long, bounce_kind string, value string"
 
 
 class BounceFinder(StatefulProcessor):
     """Holds records of a visitor until the watermark lets their entries be decided.
 
     The key is a visitor and a slice of time; records at the head of the next slice are
-    here too, as copies that are no ``own`` entries of the slice.
-
-    A timer stands at the timeout of the earliest open entry. When it fires, every record
-    up to the watermark has come, in whatever order: they are sorted, all entries that have
-    timed out by then are decided together, and the next timer is set. A last timer at the
-    end of the slice plus the timeout, when nothing there is open, frees all state of the key,
-    of slices without an entry too.
+    here too, as copies that are no ``own`` entries of the slice. State is a map with one entry per
+    bucket of time as long as the timeout. What decides an entry lies in its own bucket and the
+    next one. A timer stands at a bucket's end and at the timeout of its earliest open entry: it
+    reads these two buckets, gives out what has timed out by the watermark and keeps of its own
+    bucket what is open, so what a timer reads does not grow with the slice.
     """
 
-    def __init__(self, timeout: int, width: int) -> None:
+    def __init__(self, timeout: int) -> None:
         self._timeout = timeout
-        self._width = width
-
-    def _end(self, key) -> int:
-        return (key[1] + 1) * self._width + self._timeout
 
     def init(self, handle) -> None:
         self._handle = handle
-        self._pending = handle.getListState("pending", _PENDING)
+        self._buckets = handle.getMapState("buckets", "bucket long", _BUCKET)
+
+    def _rows(self, bucket: int) -> list[tuple]:
+        if not self._buckets.containsKey((bucket,)):
+            return []
+        return list(zip(*self._buckets.getValue((bucket,))))
+
+    def _keep(self, bucket: int, rows: list[tuple]) -> None:
+        self._buckets.updateValue((bucket,), tuple(map(list, zip(*rows))))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        earliest, chunk = None, []
+        fresh: dict[int, list[tuple]] = {}
         for row in rows:
-            if row.own and (earliest is None or row.ts < earliest):
-                earliest = row.ts
-            chunk.append((row.ts, row.event_id, row.entry, row.own, row.value))
-            if len(chunk) == _CHUNK:
-                self._pending.appendList(chunk)
-                chunk = []
-        if chunk:
-            self._pending.appendList(chunk)
-        self._handle.registerTimer(self._end(key))
-        if earliest is not None:
-            self._handle.registerTimer(earliest + self._timeout)
+            fresh.setdefault(row.ts // self._timeout, []).append((row.ts, row.event_id, row.entry, row.own, row.value))
+        for bucket, new in fresh.items():
+            self._keep(bucket, [*self._rows(bucket), *new])
+            self._handle.registerTimer((bucket + 1) * self._timeout)
+            open_ = [row[0] for row in new if row[3]]
+            if open_:
+                self._handle.registerTimer(min(open_) + self._timeout)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # Timers of a bucket stand between its end and the next one's.
+        bucket = expiredTimerInfo.getExpiryTimeInMs() // self._timeout - 1
         seen = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(map(tuple, self._pending.get()), key=lambda row: row[:2])
-        found, kept, open_entry = [], [], None
-        for row, after in zip(rows, [*rows[1:], None]):
-            ts, number, _, own, value = row
-            if own and ts + self._timeout <= seen:
+        own, open_, found = self._rows(bucket), None, []
+        if any(row[3] for row in own):
+            rows = sorted([*own, *self._rows(bucket + 1)], key=lambda row: row[:2])
+            for (ts, number, _, mine, value), after in zip(rows, [*rows[1:], None]):
+                if not mine or ts // self._timeout != bucket:
+                    continue
+                if ts + self._timeout > seen:
+                    open_ = ts
+                    break
                 if after is None or after[0] - ts >= self._timeout:
-                    kind = "timeout"
+                    kind = TIMED_OUT
                 elif after[2]:
-                    kind = "matched"
+                    kind = MATCHED
                 else:
                     continue
-                moment = datetime.fromtimestamp(ts / 1000, timezone.utc)
-                found.append(Row(mid=key[0], event_id=number, ts=ts, bounce_kind=kind,
-                                 value=value, rt=moment))
-                continue
-            if own and open_entry is None:
-                open_entry = ts
-            # Before the first open entry a record matters only if rows before it may
-            # still come.
-            if open_entry is not None or ts >= seen:
-                kept.append(row)
-        if kept and seen < self._end(key):
-            self._pending.put(kept)
-            if open_entry is not None:
-                self._handle.registerTimer(open_entry + self._timeout)
+                found.append(Row(mid=key[0], event_id=number, ts=ts, bounce_kind=kind, value=value))
+        if open_ is None:
+            self._buckets.removeKey((bucket,))
         else:
-            self._pending.clear()
+            self._keep(bucket, [row for row in own if row[0] >= open_])
+            self._handle.registerTimer(open_ + self._timeout)
         return iter(found)
 
     def close(self) -> None:
@@ -224,7 +241,8 @@ def bounce_details(
     """Bounced entries, given out once the watermark has passed their timeout.
 
     State is held per visitor and slice of time, as in the batch form, so that catching up
-    on a busy visitor is spread over its slices.
+    on a busy visitor is spread over its slices. Records without a time are no one's neighbours
+    and are left out.
     """
     body = [name for name in pages.columns if name not in ("event_id", "ts")]
     entry = F.col("page.last_page_id").isNull()
@@ -239,8 +257,7 @@ def bounce_details(
     )
     shape = StructType([pages.schema[name] for name in body])
     found = rows.groupBy("mid", "_slice").transformWithState(
-        BounceFinder(timeout, width), BOUNCE, outputMode="append", timeMode="eventTime"
-    )
+        BounceFinder(timeout), _BOUNCE, "append", "eventTime")
     return found.withColumn("_b", F.from_json("value", shape)).select(
         "event_id", "ts", "_b.*", "bounce_kind"
     )
