@@ -36,16 +36,33 @@ _LATIN = "a-zß-öø-ÿ"
 # Pre-tokens of lower-case Latin-1 text: letters and closing marks where nothing else touches
 # them, and everything between white space otherwise.
 _CUT = re.compile(f"[{_LATIN}]+(?=[\\s.,!?;:]|$)|[.,!?;:]+(?=[\\s{_LATIN}]|$)|\\S+").findall
+# The same for ASCII text whose only white space is the six plain characters.
+_ASCII_CUT = re.compile(r"[a-z]+(?=[ \t-\r.,!?;:]|\Z)|[.,!?;:]+(?=[ \t-\ra-z]|\Z)|[^ \t-\r]+").findall
 _ONE = re.compile(f"[{_LATIN}]+|[.,!?;:]+").fullmatch
 
 
+class _Known(dict):
+    """Ids of words; a word that is not known stands for none and is noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: set[str] = set()
+        self.lacked = False
+
+    def __missing__(self, word: str) -> bytes:
+        self.new.add(word)
+        self.lacked = True
+        return b""
+
+
 class WordEncoder:
     """Ids of texts whose tokenizer drops white space and never looks across it.
 
     Words are encoded once and kept as bytes of 32-bit ids; texts in Latin-1 are lower-cased and
     cut to pre-tokens first, of which there are fewer, unless lower case makes or hides one of the
     special strings that the tokenizer finds in the raw text. New pre-tokens are encoded together:
-    each ends with one token that carries the word-end mark, where the ids are cut.
+    each ends with one token that carries the word-end mark, where the ids are cut. Only texts
+    that had new ones are put together again.
     """
 
     def __init__(self, path: str):
@@ -62,7 +79,7 @@ class WordEncoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not t.normalized]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
         self.lowered = sorted({s.lower() for s in special})
-        self.known: dict[str, bytes] = {}
+        self.known = _Known()
 
     def _single(self, words: list[str]) -> None:
         for word, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
@@ -72,16 +89,19 @@ class WordEncoder:
         return [(m.start(), m[0]) for m in self.special.finditer(text)]
 
     def _words(self, text: str) -> list[str]:
+        if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            low = text.lower()
+            return _ASCII_CUT(low) if not any(s in low for s in self.lowered) else self._with_special(text, low)
         if _ODD_SPACE.search(text):
             return _ASCII_SPACE.split(text)
         # Beyond Latin-1, lower case and composed letters depend on their neighbours.
         if _BEYOND.search(text):
             return text.split()
         low = text.lower()
-        for special in self.lowered:
-            if special in low:
-                return _CUT(low) if self._specials(text) == self._specials(low) else text.split()
-        return _CUT(low)
+        return _CUT(low) if not any(s in low for s in self.lowered) else self._with_special(text, low)
+
+    def _with_special(self, text: str, low: str) -> list[str]:
+        return _CUT(low) if self._specials(text) == self._specials(low) else text.split()
 
     def _learn(self, words: set[str]) -> None:
         plain = list(filter(_ONE, words))
@@ -99,17 +119,24 @@ class WordEncoder:
         self._single(list(words.difference(plain)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = list(map(self._words, texts))
-        words = set().union(*split)
-        words.discard("")
-        if len(self.known) > _KNOWN_WORDS:
-            self.known.clear()
-        missing = words - self.known.keys()
-        if missing:
-            self._learn(missing)
-        self.known[""] = b""
-        find = self.known.__getitem__
-        return [b"".join(map(find, own)) for own in split]
+        known = self.known
+        if len(known) > _KNOWN_WORDS:
+            known.clear()
+        known[""] = b""
+        find = known.__getitem__
+        out, again = [], []
+        for text in texts:
+            words = self._words(text)
+            known.lacked = False
+            out.append(b"".join(map(find, words)))
+            if known.lacked:
+                again.append((len(out) - 1, words))
+        if again:
+            self._learn(known.new)
+            known.new.clear()
+            for place, words in again:
+                out[place] = b"".join(map(find, words))
+        return out
 
 
 _encoders: dict[str, WordEncoder] = {}
