@@ -4,7 +4,7 @@ import random
 import time
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from tests.pages import PAGES, frame, page
 from tidemart import bind
@@ -156,12 +156,10 @@ class _Map:
     def __init__(self):
         self.rows, self.read = {}, []
 
-    def containsKey(self, key):
-        return key in self.rows
-
     def getValue(self, key):
-        self.read.append(len(self.rows[key][0]))
-        return self.rows[key]
+        found = self.rows.get(key)
+        self.read.append(len(found[0]) if found else 0)
+        return found
 
     def updateValue(self, key, value):
         self.rows[key] = value
@@ -194,21 +192,16 @@ class _Now:
 
 @pytest.mark.parametrize("size", [50, 500])
 def test_a_bounce_timer_reads_its_buckets_alone(size):
-    import pandas as pd
-
     finder, handle = stream_visits.BounceFinder(10_000), _Handle()
     finder.init(handle)
-    rows = pd.DataFrame({
-        "ts": [n * 2_000 for n in range(size)], "event_id": range(size), "entry": [n % 3 == 0 for n in range(size)],
-        "own": [n % 3 == 0 for n in range(size)], "value": ["v"] * size})
-    assert list(finder.handleInputRows(("m", 0), iter([rows]), None)) == []
+    rows = [Row(ts=n * 2_000, event_id=n, entry=n % 3 == 0, own=n % 3 == 0, value="v") for n in range(size)]
+    assert list(finder.handleInputRows(("m", 0), iter(rows), None)) == []
     found = []
     while handle.timers:
         at = min(handle.timers)
         handle.timers.remove(at)
         handle.map.read = []
-        for out in finder.handleExpiredTimer(("m", 0), _Now(at), _Now(at)):
-            found += out[["event_id", "bounce_kind"]].values.tolist()
+        found += [[r.event_id, r.bounce_kind] for r in finder.handleExpiredTimer(("m", 0), _Now(at), _Now(at))]
         assert sum(handle.map.read) <= 10
     assert not handle.map.rows
     last = 3 * ((size - 1) // 3)

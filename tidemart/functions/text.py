@@ -85,7 +85,10 @@ def keyword_rows(
     """One row per token; texts without a token vanish. Without words each Han character is one."""
     tokens = F.flatten(F.transform(letter_runs(text), run_tokens))
     if words is None:
-        alone = F.regexp_extract_all(F.col(text), F.lit(HAN), F.lit(0))
+        # Text of one byte a character has no Han and need not be searched for it.
+        plain = F.length(text) == F.octet_length(text)
+        alone = F.when(plain, F.array().cast("array<string>")).otherwise(
+            F.regexp_extract_all(F.col(text), F.lit(HAN), F.lit(0)))
         return df.select("*", F.explode(F.concat(tokens, alone)).alias(keyword))
     found = df.select("*", F.explode(tokens).alias(keyword))
     return found.unionByName(han_tokens(df, text, words, keyword))
@@ -105,7 +108,9 @@ def register_keyword_function(spark: SparkSession, name: str = "keyword_tokens")
             regexp_extract_all(lower(txt), '{RUN}', 0),
             run -> case when run rlike '{MIXED}'
                         then concat(array(run), regexp_extract_all(run, '{PART}', 0))
-                        else array(run) end)), regexp_extract_all(txt, '{HAN_SQL}', 0)))
+                        else array(run) end)),
+            case when length(txt) = octet_length(txt) then cast(array() as array<string>)
+                 else regexp_extract_all(txt, '{HAN_SQL}', 0) end))
         """
     )
 

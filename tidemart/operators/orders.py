@@ -137,6 +137,15 @@ def merge_payment(pairs: DataFrame) -> DataFrame:
     return pairs.select(*[F.col(source(n)).alias(n) for n in schemas.PAYMENT_WIDE_COLUMNS])
 
 
+#: The fields that two wide rows of an order detail merge, and those of them that are taken from the first alone.
+MERGED_FIELDS = [
+    "order_status", "create_time", "create_date", "coupon_reduce_amount", "activity_reduce_amount",
+    "original_total_amount", "feight_fee", "total_amount", "user_id", "sku_id", "sku_name", "order_price", "sku_num",
+    "split_activity_amount", "split_coupon_amount", "split_total_amount",
+]
+OWN_FIELDS = ("split_activity_amount", "split_coupon_amount", "split_total_amount")
+
+
 def first_non_null(
     left: DataFrame, right: DataFrame, on: list[str], own_only: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -496,9 +496,14 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
                p.user_id
         from pay p join wide w on p.order_id = w.order_id
          and w.create_ts between p.create_ts - 900000 and p.create_ts + 5000"""),
-    "wide_coalesce": (("oi",), """
-        select id, order_status, user_id, total_amount,
-               case when id % 3 = 0 then feight_fee end feight_fee from oi"""),
+    "sink_print": (("pl",), "select event_id, mid, page_id from pl"),
+    "wide_coalesce": (("joined",), """
+        select detail_id, order_status, create_time, create_date, coupon_reduce_amount, activity_reduce_amount,
+               original_total_amount, feight_fee, total_amount, user_id, sku_id, sku_name, order_price, sku_num,
+               case when detail_id % 15 > 0 then split_activity_amount end split_activity_amount,
+               case when detail_id % 16 > 0 then split_coupon_amount end split_coupon_amount,
+               case when detail_id % 17 > 0 then split_total_amount end split_total_amount
+        from joined"""),
     "enrich": (("sku",), f"""
         select order_id, sku_id, sku_num, cast(price as varchar) price
         from ({_DETAIL}) left join (select * from sku where price < 950) k on sku_id = k.id"""),
@@ -737,5 +742,11 @@ def all_oracles() -> dict[str, str]:
     result["stats_one_day_more"] = result["product_stats"]
     result["stats_visitor_day_more"] = result["visitor_stats"]
     result["stream_unique_visit"] = result["unique_visit"]
-    result["report_visitor_default_day"] = result["report_visitor"]
+    sales_day = "stt >= '1998-02-08 00:00:00' and stt < '1998-02-09 00:00:00'"
+    for name in [name for name in result if name.startswith("report_")]:
+        result[f"{name}_default_day"] = result[name].replace(_SALES, sales_day)
+    # A day without sales gives empty lists.
+    result["report_trademark_series_default_day"] = (
+        "select coalesce(categories, '') categories, coalesce(data, '') data from ("
+        + result["report_trademark_series_default_day"] + ")")
     return result

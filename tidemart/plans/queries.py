@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType, StructType
 
 from tidemart import bind, schemas
@@ -42,6 +42,7 @@ SENSOR_BOUND = flows.HOUR
 RENEWED_TTL = 24 * flows.HOUR
 VISIT_DAY = "20240115"
 SALES_FROM, SALES_TO = "19970101", "19981231"
+SALES_DATE = "1998-02-08"
 TOPICS = {
     "page": "dwd_page_log", "start": "dwd_start_log",
     "display": "dwd_display_log", "dirty": "dirty_log",
@@ -261,6 +262,18 @@ def sink_stats(spark, d):
     return spark.read.schema(sums.schema).parquet(f"{out}/table").drop("batch_id")
 
 
+@query
+def sink_print(spark, d):
+    """A stream shown row by row; here the shown rows are kept in memory to be looked at."""
+    pages = bind.page_log(spark, d).select("event_id", "common.mid", "page.page_id")
+    path = run.stored(spark, pages, "page-log")
+    stream = spark.readStream.schema(pages.schema).parquet(path)
+    tag = f"pages_{uuid.uuid4().hex}"
+    shown = topic_sinks.print_rows(stream, fresh_dir(spark, "print"), tag, format="memory", available_now=True)
+    shown.awaitTermination()
+    return spark.table(tag)
+
+
 @query
 def sink_drop_cols(spark, d):
     return table_sinks.without(flows.product_measures(spark, d), ["id_kind", "id", "ts"])
@@ -572,17 +585,17 @@ def payment_wide(spark, d):
 
 @query
 def wide_coalesce(spark, d):
-    full = bind.order_info(spark, d).select(
-        "id", "order_status", "user_id", "total_amount", "feight_fee"
-    )
-    gaps = full.select(
-        "id",
-        F.when(F.col("order_status") != "P", F.col("order_status")).alias("order_status"),
-        F.when(F.col("id") % 2 == 0, F.col("user_id")).alias("user_id"),
-        F.when(F.col("id") % 3 == 0, F.col("total_amount")).alias("total_amount"),
-        F.when(F.col("id") % 3 == 0, F.col("feight_fee")).alias("feight_fee"),
-    )
-    return orders.first_non_null(gaps, full, ["id"], own_only=("feight_fee",))
+    """Two frames of wide orders; the gaps of one, in each field at other rows, are filled from the other."""
+    joined = flows.joined_orders(spark, d).select("detail_id", *orders.MERGED_FIELDS)
+    # The given details repeat ids, so the rows of an id are told apart by a number.
+    same = Window.partitionBy("detail_id").orderBy(*orders.MERGED_FIELDS)
+    whole = joined.withColumn("n", F.row_number().over(same))
+    full = spark.read.schema(whole.schema).parquet(run.stored(spark, whole, "wide-orders"))
+    gaps = full.select("detail_id", "n", *[
+        F.when(F.col("detail_id") % (n + 2) > 0, F.col(name)).alias(name)
+        for n, name in enumerate(orders.MERGED_FIELDS)
+    ])
+    return orders.first_non_null(gaps, full, ["detail_id", "n"], own_only=orders.OWN_FIELDS).drop("n")
 
 
 def _details(spark: SparkSession, d: str) -> DataFrame:
@@ -805,7 +818,10 @@ def report_trademark(spark, d):
 
 @query
 def report_trademark_series(spark, d):
-    series = reports.trademark_series(flows.statistics(spark, d, "product"), SALES_FROM, SALES_TO)
+    return _series_text(reports.trademark_series(flows.statistics(spark, d, "product"), SALES_FROM, SALES_TO))
+
+
+def _series_text(series: DataFrame) -> DataFrame:
     return series.select(
         F.array_join("categories", ",").alias("categories"),
         F.array_join(F.transform("data", lambda x: x.cast("string")), ",").alias("data"),
@@ -858,6 +874,30 @@ def report_keyword(spark, d):
     return reports.keyword_scores(flows.statistics(spark, d, "keyword"), VISIT_DAY)
 
 
+def _default_day(name: str, statistics: str, report: Callable[..., DataFrame], now: str) -> None:
+    """A query that names no day, so the clock gives it; the clock stands at ``now``."""
+
+    def ask(spark: SparkSession, d: str) -> DataFrame:
+        return report(flows.statistics(spark, d, statistics), now=now)
+
+    _registry[f"{name}_default_day"] = ask
+
+
+for _name, _statistics, _report, _now in [
+    ("report_gmv", "product", reports.gross_sales, SALES_DATE),
+    ("report_trademark", "product", reports.by_trademark, SALES_DATE),
+    ("report_category3", "product", reports.by_category3, SALES_DATE),
+    ("report_spu", "product", reports.by_spu, SALES_DATE),
+    ("report_trademark_series", "product", lambda rows, now: _series_text(reports.trademark_series(rows, now=now)), SALES_DATE),
+    ("report_province", "province", reports.by_province, SALES_DATE),
+    ("report_visitor_rates", "visitor", reports.visitor_rates, bind.VISIT_DATE),
+    ("report_hourly", "visitor", reports.by_hour, bind.VISIT_DATE),
+    ("report_hourly_filled", "visitor", reports.hours_filled, bind.VISIT_DATE),
+    ("report_keyword", "keyword", reports.keyword_scores, bind.VISIT_DATE),
+]:
+    _default_day(_name, _statistics, _report, _now)
+
+
 # Streaming forms
 
 

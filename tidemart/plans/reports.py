@@ -39,19 +39,19 @@ def _period(
     return found
 
 
-def gross_sales(product_stats: DataFrame, day: str | None = None, last: str | None = None) -> DataFrame:
+def gross_sales(product_stats: DataFrame, day: str | None = None, last: str | None = None, now=None) -> DataFrame:
     total = F.coalesce(F.sum("order_amount"), F.lit(0)).cast(schemas.MONEY_SUM)
-    return _period(product_stats, day, last).agg(total.alias("order_amount"))
+    return _period(product_stats, day, last, now).agg(total.alias("order_amount"))
 
 
 def _ranked(
     product_stats: DataFrame, keys: list[str], day: str | None, last: str | None,
-    limit: int, orders: bool = False,
+    limit: int, now: Column | str | None, orders: bool = False,
 ) -> DataFrame:
     sums = [F.sum("order_amount").cast(schemas.MONEY_SUM).alias("order_amount")]
     if orders:
         sums.append(F.sum("order_ct").alias("order_ct"))
-    totals = _period(product_stats, day, last).groupBy(*keys).agg(*sums)
+    totals = _period(product_stats, day, last, now).groupBy(*keys).agg(*sums)
     return (
         totals.where("order_amount > 0")
         .orderBy(F.col("order_amount").desc(), *keys)
@@ -59,21 +59,21 @@ def _ranked(
     )
 
 
-def by_trademark(product_stats, day=None, last=None, limit: int = 10) -> DataFrame:
-    return _ranked(product_stats, ["tm_id", "tm_name"], day, last, limit)
+def by_trademark(product_stats, day=None, last=None, limit: int = 10, now=None) -> DataFrame:
+    return _ranked(product_stats, ["tm_id", "tm_name"], day, last, limit, now)
 
 
-def by_category3(product_stats, day=None, last=None, limit: int = 10) -> DataFrame:
-    return _ranked(product_stats, ["category3_id", "category3_name"], day, last, limit)
+def by_category3(product_stats, day=None, last=None, limit: int = 10, now=None) -> DataFrame:
+    return _ranked(product_stats, ["category3_id", "category3_name"], day, last, limit, now)
 
 
-def by_spu(product_stats, day=None, last=None, limit: int = 10) -> DataFrame:
-    return _ranked(product_stats, ["spu_id", "spu_name"], day, last, limit, orders=True)
+def by_spu(product_stats, day=None, last=None, limit: int = 10, now=None) -> DataFrame:
+    return _ranked(product_stats, ["spu_id", "spu_name"], day, last, limit, now, orders=True)
 
 
-def trademark_series(product_stats, day=None, last=None, limit: int = 10) -> DataFrame:
+def trademark_series(product_stats, day=None, last=None, limit: int = 10, now=None) -> DataFrame:
     """The trademark ranking as two parallel arrays; ``limit`` bounds their length."""
-    top = by_trademark(product_stats, day, last, limit)
+    top = by_trademark(product_stats, day, last, limit, now)
     ranked = F.array_sort(
         F.collect_list(F.struct((-F.col("order_amount")).alias("k"), "tm_id", "tm_name", "order_amount"))
     )
@@ -82,8 +82,8 @@ def trademark_series(product_stats, day=None, last=None, limit: int = 10) -> Dat
     )
 
 
-def by_province(province_stats: DataFrame, day=None, last=None) -> DataFrame:
-    totals = _period(province_stats, day, last).groupBy("province_id", "province_name").agg(
+def by_province(province_stats: DataFrame, day=None, last=None, now=None) -> DataFrame:
+    totals = _period(province_stats, day, last, now).groupBy("province_id", "province_name").agg(
         F.sum("order_amount").cast(schemas.MONEY_SUM).alias("order_amount")
     )
     return totals.select("province_name", "order_amount")
@@ -102,11 +102,11 @@ def by_new_flag(visitor_stats: DataFrame, day=None, last=None, now=None) -> Data
 RATE_ROWS = ["visitors", "pages", "bounce_rate", "seconds_per_visit", "pages_per_visit"]
 
 
-def visitor_rates(visitor_stats: DataFrame, day=None, last=None) -> DataFrame:
+def visitor_rates(visitor_stats: DataFrame, day=None, last=None, now=None) -> DataFrame:
     """Five rows, new and returning visitors side by side; a missing side is zero."""
     sides = F.when(F.col("is_new") == "1", "new").otherwise("old")
     sums = (
-        _period(visitor_stats, day, last).groupBy(sides.alias("side"))
+        _period(visitor_stats, day, last, now).groupBy(sides.alias("side"))
         .agg(*[F.sum(name).alias(name) for name in _SUMS])
     )
     uv, pv, sv, uj, dur = [F.col(name) for name in _SUMS]
@@ -129,10 +129,10 @@ def visitor_rates(visitor_stats: DataFrame, day=None, last=None) -> DataFrame:
     )
 
 
-def by_hour(visitor_stats: DataFrame, day=None, last=None) -> DataFrame:
+def by_hour(visitor_stats: DataFrame, day=None, last=None, now=None) -> DataFrame:
     newcomers = F.sum(F.when(F.col("is_new") == "1", F.col("uv_ct")).otherwise(0))
     return (
-        _period(visitor_stats, day, last)
+        _period(visitor_stats, day, last, now)
         .groupBy(F.hour(parse_time("stt")).alias("hr"))
         .agg(
             newcomers.alias("new_uv"), F.sum("uv_ct").alias("uv_ct"),
@@ -142,11 +142,11 @@ def by_hour(visitor_stats: DataFrame, day=None, last=None) -> DataFrame:
     )
 
 
-def hours_filled(visitor_stats: DataFrame, day=None, last=None) -> DataFrame:
+def hours_filled(visitor_stats: DataFrame, day=None, last=None, now=None) -> DataFrame:
     """All 24 hours with two-digit labels; hours without visits hold zeros."""
     spark: SparkSession = visitor_stats.sparkSession
     hours = spark.range(24).select(F.col("id").cast("int").alias("hour"))
-    found = by_hour(visitor_stats, day, last)
+    found = by_hour(visitor_stats, day, last, now)
     joined = hours.join(found, F.col("hour") == F.col("hr"), "left")
     return joined.orderBy("hour").select(
         F.lpad(F.col("hour").cast("string"), 2, "0").alias("hr"),
@@ -155,12 +155,12 @@ def hours_filled(visitor_stats: DataFrame, day=None, last=None) -> DataFrame:
     )
 
 
-def keyword_scores(keyword_stats: DataFrame, day=None, last=None, limit: int = 20) -> DataFrame:
+def keyword_scores(keyword_stats: DataFrame, day=None, last=None, limit: int = 20, now=None) -> DataFrame:
     """Counts weighted by their source, ranked by the plain count."""
     source, weight = F.upper("source"), F.lit(0)
     for name, value in KEYWORD_WEIGHT.items():
         weight = F.when(source == name, value).otherwise(weight)
-    totals = _period(keyword_stats, day, last).groupBy("keyword").agg(
+    totals = _period(keyword_stats, day, last, now).groupBy("keyword").agg(
         F.sum(F.col("ct") * weight).alias("score"), F.sum("ct").alias("plain")
     )
     return totals.orderBy(F.col("plain").desc(), "keyword").limit(limit).select(

@@ -33,9 +33,13 @@ def write_topic(
     return writer.start()
 
 
-def print_rows(df: DataFrame, checkpoint: str, tag: str, mode: str = "append") -> StreamingQuery:
-    """Show a stream on the console, for a look at it."""
-    return (
-        df.writeStream.format("console").queryName(tag).outputMode(mode)
-        .option("checkpointLocation", checkpoint).start()
-    )
+def print_rows(
+    df: DataFrame, checkpoint: str, tag: str, mode: str = "append", format: str = "console",
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Show a stream, for a look at it: on the console, or as the table ``tag`` with ``memory``.
+
+    The memory form holds all rows on the driver and is for small streams alone.
+    """
+    writer = df.writeStream.format(format).queryName(tag).outputMode(mode).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

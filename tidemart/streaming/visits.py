@@ -172,7 +172,7 @@ class BounceFinder(StatefulProcessor):
     The key is a visitor and a slice of time; records at the head of the next slice are
     here too, as copies that are no ``own`` entries of the slice. State is a map with one entry per
     bucket of time as long as the timeout. What decides an entry lies in its own bucket and the
-    next one. A timer stands at a bucket's end and at the timeout of its earliest open entry: it
+    next one. A timer stands at the timeout of a bucket's earliest open entry, or at its end without one: it
     reads these two buckets, gives out what has timed out by the watermark and keeps of its own
     bucket what is open, so what a timer reads does not grow with the slice.
     """
@@ -185,9 +185,8 @@ class BounceFinder(StatefulProcessor):
         self._buckets = handle.getMapState("buckets", "bucket long", _BUCKET)
 
     def _rows(self, bucket: int) -> list[tuple]:
-        if not self._buckets.containsKey((bucket,)):
-            return []
-        return list(zip(*self._buckets.getValue((bucket,))))
+        kept = self._buckets.getValue((bucket,))
+        return [] if kept is None else list(zip(*kept))
 
     def _keep(self, bucket: int, rows: list[tuple]) -> None:
         self._buckets.updateValue((bucket,), tuple(map(list, zip(*rows))))
@@ -198,10 +197,9 @@ class BounceFinder(StatefulProcessor):
             fresh.setdefault(row.ts // self._timeout, []).append((row.ts, row.event_id, row.entry, row.own, row.value))
         for bucket, new in fresh.items():
             self._keep(bucket, [*self._rows(bucket), *new])
-            self._handle.registerTimer((bucket + 1) * self._timeout)
             open_ = [row[0] for row in new if row[3]]
-            if open_:
-                self._handle.registerTimer(min(open_) + self._timeout)
+            at = min(open_) + self._timeout if open_ else (bucket + 1) * self._timeout
+            self._handle.registerTimer(at)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
