@@ -6,7 +6,7 @@ are the universe. For each list (block, allow) a cascade is built: the first fil
 listed keys, the second those keys of the universe that the first lets through wrongly, the
 third the listed keys that the second lets through, and so on until nothing passes wrongly.
 Membership of every key of the universe is then exact, without a join: the first level that
-lacks a key decides. The longest listed key of a URL gives its rule. The labels of its host are
+lacks a key decides. Each row's own keys are asked for where the row is read. The longest listed key of a URL gives its rule. The labels of its host are
 keys too: one that is on the list of unwanted labels blocks a URL without a rule.
 
 The first level's rate of false positives falls with the universe, so that each level holds
@@ -22,10 +22,12 @@ is blocked. Repeated rows get equal rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.llm.common import stored
@@ -111,6 +113,10 @@ class Level:
             f"+ i * pmod(xxhash64({key}, {self.number}, 1), {self.bits}L), {self.bits}L))"
         )
 
+    def spread(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The places that ``places`` gives, from its two hashes modulo ``bits``."""
+        return (first[:, None] + np.arange(min(self.hashes, 24)) * second[:, None]) % self.bits
+
     def build(self, keys: DataFrame) -> Level:
         """Set the bits of ``keys`` (key): places are combined to words before the shuffle."""
         words = keys.select(F.explode(F.expr(self.places("key"))).alias("p")).groupBy(
@@ -181,6 +187,52 @@ class Cascade:
         return keys.withColumn(name, listed(*columns))
 
 
+def _by_filters(rows: DataFrame, keys: Column, cascades: list[Cascade]) -> DataFrame:
+    """Rows judged by filters that block and that allow, in one pass and without a join.
+
+    Two hashes per key and level come from Spark; the filters are asked for all keys of a batch at once.
+    """
+    block, allow = cascades
+    levels = [*block.levels, *allow.levels]
+    if not levels:
+        return rows.select("*", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
+    pairs = ", ".join(
+        f"pmod(xxhash64(k.key, {level.number}{more}), {level.bits}L)" for level in levels for more in ("", ", 1"))
+    ready = rows.withColumn("keys", keys).withColumn("pairs", F.expr(f"transform(keys, k -> array({pairs}))"))
+    n_block, width = len(block.levels), 2 * len(levels)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            listed = batch.column("keys")
+            lengths = np.diff(listed.offsets.to_numpy())
+            parts = listed.flatten()
+            owner = np.repeat(np.arange(len(batch)), lengths)
+            hashes = batch.column("pairs").flatten().flatten().to_numpy(zero_copy_only=False).reshape(len(owner), width)
+            found = []
+            for some, first in ((block.levels, 0), (allow.levels, n_block)):
+                passing, depth = np.ones(len(owner), bool), np.zeros(len(owner), int)
+                for place, level in enumerate(some, first):
+                    passing &= level.holds(level.spread(hashes[:, 2 * place], hashes[:, 2 * place + 1]))
+                    depth += passing
+                found.append(depth % 2 == 1)
+            rule: list[str | None] = [None] * len(batch)
+            verdict = ["allow"] * len(batch)
+            hits = np.flatnonzero(found[0] | found[1])
+            names, sizes = parts.field("key").take(pa.array(hits)).to_pylist(), parts.field("size").take(pa.array(hits)).to_pylist()
+            best: dict[int, tuple] = {}
+            for row, size, name, blocked in zip(owner[hits].tolist(), sizes, names, found[0][hits].tolist()):
+                best[row] = max(best.get(row, (-2,)), (size, name, blocked))
+            for row, (size, name, blocked) in best.items():
+                rule[row] = name if size >= 0 else None
+                verdict[row] = "block" if blocked else "allow"
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("page_id", "host", "path")], pa.array(rule, pa.string()), pa.array(verdict, pa.string())],
+                ["page_id", "host", "path", "rule", "verdict"])
+
+    key = rows.schema["page_id"].dataType.simpleString()
+    return ready.mapInArrow(judge, f"page_id {key}, host string, path string, rule string, verdict string")
+
+
 def _list(spark: SparkSession, keys: set[str]) -> DataFrame:
     return spark.createDataFrame([(k,) for k in sorted(keys)], "key string")
 
@@ -200,13 +252,18 @@ def judged(
     unwanted = {_LABEL + label for label in spam_hosts if label}
     if unwanted:
         keys = F.concat(keys, label_keys(F.col("host")))
+    block = {r.key for r in rules if r.action == "block"}
+    lists = {"block": block | unwanted, "allow": {r.key for r in rules if r.action == "allow"} - block}
+    if all(len(own) * 40 <= max_bytes * 8 for own in lists.values()):
+        universe = stored(rows.select(F.explode_outer(keys).alias("k")).select("k.key").where(
+            F.col("key").isNotNull()).distinct(), "url-universe")
+        cascades = [Cascade.build(universe, _list(spark, own), 100 * n) for n, own in enumerate(lists.values())]
+        return _by_filters(rows, keys, cascades)
     keyed = rows.select("host", "path").distinct().select(
         "host", "path", F.explode_outer(keys).alias("k")
     ).select("host", "path", "k.key", "k.size").where(F.col("key").isNotNull())
     keyed = stored(keyed, "url-keys")
     universe = keyed.select("key").distinct()
-    block = {r.key for r in rules if r.action == "block"}
-    lists = {"block": block | unwanted, "allow": {r.key for r in rules if r.action == "allow"} - block}
     marked = keyed
     for salt, (action, keys) in enumerate(lists.items()):
         listed = _list(spark, keys)
