@@ -908,7 +908,7 @@ def _from_pages(
     pages = {"pages": bind.page_log(spark, d)}
     own = stream_session(spark, idle_batches=idle_batches)
     return run.drained_in_order(
-        spark, own, pages, {"pages": "ts"}, lambda s: plan(s["pages"]), name, parts=4
+        spark, own, pages, {"pages": "ts"}, lambda s: plan(s["pages"]), name
     )
 
 
@@ -924,9 +924,9 @@ def stream_new_visitor_fix(spark, d):
         rows.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
 
     with _claim_table(spark) as claim_table:
-        for part in run.in_order_of_time(spark, {"pages": pages}, {"pages": "ts"}, f"{base}/in", parts=4):
+        for part in run.in_order_of_time(spark, {"pages": pages}, {"pages": "ts"}, f"{base}/in"):
             stream = own.readStream.schema(pages.schema).parquet(part["pages"])
-            run.drain_to_batches(stream, claims.repairing(claim_table, write, merge_every=3), f"{base}/checkpoint")
+            run.drain_to_batches(stream, claims.repairing(claim_table, write, merge_every=2), f"{base}/checkpoint")
     return spark.read.schema("event_id long, mid string, is_new string").parquet(f"{base}/out").drop("batch_id")
 
 

@@ -172,9 +172,9 @@ class BounceFinder(StatefulProcessor):
     The key is a visitor and a slice of time; records at the head of the next slice are
     here too, as copies that are no ``own`` entries of the slice. State is a map with one entry per
     bucket of time as long as the timeout. What decides an entry lies in its own bucket and the
-    next one. A timer stands at the timeout of a bucket's earliest open entry, or at its end without one: it
-    reads these two buckets, gives out what has timed out by the watermark and keeps of its own
-    bucket what is open, so what a timer reads does not grow with the slice.
+    next one. One timer stands at the earliest timeout of an open entry, or bucket's end: it reads the
+    buckets that are over by the watermark and the one after them, gives out what has timed out and
+    keeps what is open, so a timer reads a bucket's rows once or twice, however long the slice is.
     """
 
     def __init__(self, timeout: int) -> None:
@@ -195,38 +195,53 @@ class BounceFinder(StatefulProcessor):
         fresh: dict[int, list[tuple]] = {}
         for row in rows:
             fresh.setdefault(row.ts // self._timeout, []).append((row.ts, row.event_id, row.entry, row.own, row.value))
+        known = {key[0] for key in self._buckets.keys()}
+        due = []
         for bucket, new in fresh.items():
-            self._keep(bucket, [*self._rows(bucket), *new])
-            open_ = [row[0] for row in new if row[3]]
-            at = min(open_) + self._timeout if open_ else (bucket + 1) * self._timeout
-            self._handle.registerTimer(at)
+            self._keep(bucket, [*self._rows(bucket), *new] if bucket in known else new)
+            due.append(min((row[0] + self._timeout for row in new if row[3]), default=(bucket + 1) * self._timeout))
+        if due:
+            self._handle.registerTimer(min(due))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        # Timers of a bucket stand between its end and the next one's.
-        bucket = expiredTimerInfo.getExpiryTimeInMs() // self._timeout - 1
         seen = timerValues.getCurrentWatermarkInMs()
-        own, open_, found = self._rows(bucket), None, []
-        if any(row[3] for row in own):
-            rows = sorted([*own, *self._rows(bucket + 1)], key=lambda row: row[:2])
-            for (ts, number, _, mine, value), after in zip(rows, [*rows[1:], None]):
-                if not mine or ts // self._timeout != bucket:
-                    continue
-                if ts + self._timeout > seen:
-                    open_ = ts
-                    break
-                if after is None or after[0] - ts >= self._timeout:
-                    kind = TIMED_OUT
-                elif after[2]:
-                    kind = MATCHED
-                else:
-                    continue
-                found.append(Row(mid=key[0], event_id=number, ts=ts, bounce_kind=kind, value=value))
-        if open_ is None:
-            self._buckets.removeKey((bucket,))
+        buckets = sorted(found[0] for found in self._buckets.keys())
+        over = [bucket for bucket in buckets if (bucket + 1) * self._timeout <= seen]
+        later = [(bucket + 1) * self._timeout for bucket in buckets[len(over):][:1]]
+        rows = {bucket: self._rows(bucket) for bucket in over}
+        found, freed = [], []
+        for bucket in over:
+            open_ = None
+            if any(row[3] for row in rows[bucket]):
+                if bucket + 1 not in rows:
+                    rows[bucket + 1] = self._rows(bucket + 1)
+                near = sorted([*rows[bucket], *rows[bucket + 1]], key=lambda row: row[:2])
+                for (ts, number, _, mine, value), after in zip(near, [*near[1:], None]):
+                    if not mine or ts // self._timeout != bucket:
+                        continue
+                    if ts + self._timeout > seen:
+                        open_ = ts
+                        break
+                    if after is None or after[0] - ts >= self._timeout:
+                        kind = TIMED_OUT
+                    elif after[2]:
+                        kind = MATCHED
+                    else:
+                        continue
+                    found.append(Row(mid=key[0], event_id=number, ts=ts, bounce_kind=kind, value=value))
+            if open_ is None:
+                freed.append(bucket)
+            else:
+                self._keep(bucket, [row for row in rows[bucket] if row[0] >= open_])
+                later.append(open_ + self._timeout)
+        if len(freed) == len(buckets):
+            self._buckets.clear()
         else:
-            self._keep(bucket, [row for row in own if row[0] >= open_])
-            self._handle.registerTimer(open_ + self._timeout)
+            for bucket in freed:
+                self._buckets.removeKey((bucket,))
+        if later:
+            self._handle.registerTimer(min(later))
         return iter(found)
 
     def close(self) -> None:
