@@ -97,8 +97,11 @@ def _whole_hash(span: int) -> Column:
 
 def marked(indexed: DataFrame, lengths: list[int]) -> DataFrame:
     """(doc_id, h, n, mark): the different marks of all window lengths, from one reading of the rows."""
-    each = ", ".join(f"transform(array_distinct(marks_{n}), m -> struct({n} AS n, m AS mark))" for n in lengths)
-    return indexed.select("doc_id", "h", F.expr(f"explode_outer(concat({each}))").alias("m")).select("doc_id", "h", "m.*")
+    # An array of the lengths' arrays, so that no struct is made for each mark.
+    each = F.array(*[F.array_distinct(f"marks_{n}") for n in lengths])
+    of_length = F.array(*[F.lit(n) for n in lengths])
+    by_length = indexed.select("doc_id", "h", F.posexplode_outer(each).alias("k", "own"))
+    return by_length.select("doc_id", "h", F.get(of_length, F.col("k")).alias("n"), F.explode_outer("own").alias("mark"))
 
 
 def contamination(
