@@ -68,6 +68,21 @@ def test_links_lose_none_at_the_distance(spark):
     assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
 
 
+def test_chains_in_large_entries_stay_whole(spark):
+    """Members reached over others, with the highest bit unset and set, in entries too large for pairs."""
+    prints = sorted({top | (1 << k) - 1 << 3 for top in (0, 1 << 63) for k in range(0, 60, 2)}
+                    | {1 << 50 | 1 << k for k in range(20)})
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    table = spark.createDataFrame([(p,) for p in signed], "fp long")
+    found = simhash.links(table).collect()
+    assert found and all(r.a in signed and r.b in signed for r in found)
+    assert all(((r.a ^ r.b) & (1 << 64) - 1).bit_count() <= simhash.DISTANCE for r in found)
+    roots = {r.node: r.root for r in components(simhash.links(table)).collect()}
+    want = brute.components(prints, range(len(prints)))
+    got = [roots.get(p, p) for p in signed]
+    assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
+
+
 def test_near_duplicates_without_ids_or_rows(spark):
     docs = documents(spark, ["same text here now", "same text here now", None])
     bare = docs.withColumn("doc_id", F.lit(None).cast("long"))

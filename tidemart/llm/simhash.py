@@ -187,8 +187,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 near = np.bitwise_count(rest ^ member) <= DISTANCE
                 if near.any():
                     hit = rest[near]
-                    found.append(np.stack([np.full(len(hit), member), hit], 1))
-                    reached.extend(hit.tolist())
+                    found.append(np.stack([np.full(len(hit), member, np.uint64), hit], 1))
+                    reached.extend(hit)
                     rest = rest[~near]
     if not found:
         return
