@@ -131,3 +131,12 @@ def test_a_cluster_must_name_its_folder():
     assert shared_root(_Cluster("/shared/x/")) == "/shared/x"
     with pytest.raises(ValueError):
         shared_root(_Cluster(None))
+
+
+def test_shown_rows_are_files_that_the_tasks_write(spark, tmp_path):
+    spark.range(50).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+    shown = topics.print_rows(
+        stream, str(tmp_path / "checkpoint"), "shown", format="parquet", available_now=True, path=str(tmp_path / "out"))
+    shown.awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(50))

@@ -264,14 +264,17 @@ def sink_stats(spark, d):
 
 @query
 def sink_print(spark, d):
-    """A stream shown row by row; here the shown rows are kept in memory to be looked at."""
+    """A stream shown row by row; here the shown rows are written by the tasks, to be looked at."""
     pages = bind.page_log(spark, d).select("event_id", "common.mid", "page.page_id")
     path = run.stored(spark, pages, "page-log")
     stream = spark.readStream.schema(pages.schema).parquet(path)
     tag = f"pages_{uuid.uuid4().hex}"
-    shown = topic_sinks.print_rows(stream, fresh_dir(spark, "print"), tag, format="memory", available_now=True)
+    out = fresh_dir(spark, "print")
+    shown = topic_sinks.print_rows(
+        stream, f"{out}/checkpoint", tag, format="parquet", available_now=True, path=f"{out}/shown"
+    )
     shown.awaitTermination()
-    return spark.table(tag)
+    return spark.read.schema(pages.schema).parquet(f"{out}/shown")
 
 
 @query

@@ -35,11 +35,14 @@ def write_topic(
 
 def print_rows(
     df: DataFrame, checkpoint: str, tag: str, mode: str = "append", format: str = "console",
-    available_now: bool = False,
+    available_now: bool = False, path: str | None = None,
 ) -> StreamingQuery:
-    """Show a stream, for a look at it: on the console, or as the table ``tag`` with ``memory``.
+    """Show a stream, for a look at it: on the console, as files, or as the table ``tag`` with ``memory``.
 
-    The memory form holds all rows on the driver and is for small streams alone.
+    With a file format the tasks write the rows to ``path``, to be read there. The memory form holds
+    all rows on the driver and is for small streams alone.
     """
     writer = df.writeStream.format(format).queryName(tag).outputMode(mode).option("checkpointLocation", checkpoint)
+    if path is not None:
+        writer = writer.option("path", path)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
