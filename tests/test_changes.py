@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tidemart import schemas
+from tidemart import bind, schemas
 from tidemart.operators import changes
 
 
@@ -119,3 +119,14 @@ def test_latest_per_key_shuffles_one_row_per_key(spark):
     latest = changes.latest_per_key(df, ["k"], "id")
     assert {r.id for r in latest.collect()} == {97, 98, 99}
     assert "WindowGroupLimit" in latest._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rules_go_to_the_changes_and_not_the_other_way(spark, tmp_path):
+    """Changes of a known small size and rules of unknown size: neither moves the changes."""
+    rows = [("user_info", "insert", {"id": "1", "name": "a"}), ("none", "insert", {"id": "2"})]
+    shape = "tableName string, type string, after map<string,string>"
+    spark.createDataFrame(rows, shape).write.parquet(str(tmp_path / "changes"))
+    found = changes.route(spark.read.schema(shape).parquet(str(tmp_path / "changes")), bind.rules(spark))
+    plan = found._jdf.queryExecution().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan and "SortMergeJoin" not in plan
+    assert [(r.sinkTable, r.after) for r in found.collect()] == [("dim_user_info", {"id": "1", "name": "a"})]

@@ -103,14 +103,16 @@ def keep_columns(after: Column | str, columns: Column | str) -> Column:
 def route(changes: DataFrame, rules: DataFrame) -> DataFrame:
     """Changes that a rule names, cut to its columns, with its sink type and table.
 
-    The rule table is small and Spark broadcasts it by its size; without a rule a change
-    is dropped. A rule is found whenever it arrived, since rules are read first.
+    The rule table, which has a row per source table and operation, goes to every task. By
+    estimates alone Spark may send the changes there, or deal them by table, of which one can hold
+    nearly all. Without a rule a change is dropped. A rule is found whenever it arrived, since
+    rules are read first.
     """
     named = rules.select(
         F.col("source_table").alias("tableName"), F.col("operate_type").alias("type"),
         "sink_type", F.col("sink_table").alias("sinkTable"), "sink_columns", "sink_pk",
     )
-    joined = changes.join(named, ["tableName", "type"], "inner")
+    joined = changes.join(F.broadcast(named), ["tableName", "type"], "inner")
     return joined.withColumn("after", keep_columns("after", "sink_columns")).drop("sink_columns")
 
 
