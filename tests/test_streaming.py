@@ -2,8 +2,9 @@
 
 import random
 
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from tests.pages import PAGES, frame, page
 from tidemart.operators import joins, logs, stats, visits
@@ -172,3 +173,47 @@ def test_bounce_state_is_freed(spark):
         kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
     # Only the last record's own slice is open; the twenty visitors' keys are gone.
     assert kept[0] >= 20 and kept[-1] <= 4
+
+
+class _Value:
+    """A value state that counts writes, and the clock's time of a batch."""
+
+    def __init__(self):
+        self.value, self.writes, self.now = None, 0, 0
+
+    def getValueState(self, *_, ttlDurationMs=None):
+        return self
+
+    def get(self):
+        return self.value
+
+    def exists(self):
+        return self.value is not None
+
+    def update(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_days_of_a_visitor_share_a_state_and_expire_one_by_one():
+    finder, state = stream_visits.FirstOfDay(100), _Value()
+    finder.init(state)
+
+    def come(now, *days):
+        state.now = now
+        rows = [Row(mid="m", day=day, at=9 - n, number=n, value=str(n)) for n, day in enumerate(days)]
+        return [(r.day, r.number) for r in finder.handleInputRows(("m", 0), iter(rows), state)]
+
+    assert come(0, 1, 2, 1, 3) == [(1, 2), (2, 1), (3, 3)] and state.writes == 1
+    assert come(50, 2, 4, 3) == [(4, 1)] and state.writes == 2
+    assert come(99, 1, 4) == [] and state.writes == 2
+    assert come(100, 1, 4) == [(1, 0)]
+
+
+def test_an_arrow_batch_keeps_the_first_of_visitor_and_day():
+    rows = [("a", 1, 5, 1), ("a", 1, 4, 2), (None, 1, 3, 3), ("b", 2, 1, 9), ("b", 2, 1, 4), (None, 1, 3, 2), ("a", 2, 9, 9)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("mid", "day", "at", "number"), row)) for row in rows])
+    found = [tuple(r.values()) for b in stream_visits._first_in_batch(iter([batch, batch[:0]])) for r in b.to_pylist()]
+    assert sorted(found, key=repr) == sorted([rows[1], rows[4], rows[5], rows[6]], key=repr)

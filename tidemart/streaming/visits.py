@@ -8,6 +8,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -23,55 +25,81 @@ def with_event_time(pages: DataFrame, delay: str) -> DataFrame:
     return pages.withColumn("rt", millis_time("ts")).withWatermark("rt", delay)
 
 
-_VISIT = "mid string, day date, at long, number long, value string"
+_VISIT = "mid string, day int, at long, number long, value string"
+_SEEN = "day array<int>, written array<long>"
 _LAST = (1 << 63) - 1
+#: Days of a visitor that share a state, and the day of entries without a time.
+_DAYS, _NO_DAY = 8, -(1 << 31)
 
 
 class FirstOfDay(StatefulProcessor):
-    """The first row of a key, once; the mark that it was seen expires ``ttl`` after it is written.
+    """The first row of each day of a key, once; the mark that a day was seen expires ``ttl`` after it is written.
 
-    Reading does not renew the mark. The time is the clock's, not the events', so a row may
-    lie behind others as far as it likes.
+    A key is a visitor and a few days, whose marks are read and written together. Reading does not
+    renew a mark. The time is the clock's, not the events', so a row may lie behind others as far
+    as it likes.
     """
 
     def __init__(self, ttl: int | None) -> None:
         self._ttl = ttl
 
     def init(self, handle) -> None:
-        self._seen = handle.getValueState("seen", "seen boolean", ttlDurationMs=self._ttl)
+        self._seen = handle.getValueState("seen", _SEEN, ttlDurationMs=self._ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if self._seen.exists():
-            return
-        first = min(rows, key=lambda row: (row.at, row.number), default=None)
-        if first is not None:
-            self._seen.update((True,))
-            yield Row(mid=first.mid, day=first.day, at=first.at, number=first.number, value=first.value)
+        now = timerValues.getCurrentProcessingTimeInMs()
+        kept = self._seen.get()
+        seen = {} if kept is None else dict(zip(*kept))
+        if self._ttl is not None:
+            seen = {day: written for day, written in seen.items() if written + self._ttl > now}
+        first: dict[int, Row] = {}
+        for row in rows:
+            best = first.get(row.day)
+            if row.day not in seen and (best is None or (row.at, row.number) < (best.at, best.number)):
+                first[row.day] = row
+        if first:
+            seen.update(dict.fromkeys(first, now))
+            self._seen.update((list(seen.keys()), list(seen.values())))
+        for row in first.values():
+            yield Row(mid=row.mid, day=row.day, at=row.at, number=row.number, value=row.value)
 
     def close(self) -> None:
         pass
 
 
-def unique_visits(pages: DataFrame, keep: int | None = 24 * 3_600_000, salts: int = 8) -> DataFrame:
+def _first_in_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each Arrow batch the first row of every visitor and day."""
+    for batch in batches:
+        mid = batch.column(0).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        day, at, number = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
+        order = np.lexsort((number, at, day, mid))
+        first = np.ones(len(order), bool)
+        first[1:] = (np.diff(mid[order]) != 0) | (day[order][1:] != day[order][:-1])
+        yield batch.take(pa.array(order[first]))
+
+
+def unique_visits(pages: DataFrame, keep: int | None = 24 * 3_600_000, salts: int = 1) -> DataFrame:
     """The first entry page of each visitor and day, by arrival, as a whole record.
 
     What was seen is remembered for ``keep`` milliseconds of the clock after it was first seen, and
     forever if None; how late an entry may come does not depend on it. Within a micro-batch the
-    first is the least (ts, event_id). Repeats are first dropped within ``salts`` parts of each
-    visitor, so that at most that many rows of a busy visitor reach one task in the second step;
-    one part skips this. Entries without a visitor are one visitor's, entries without a time one day's.
+    first is the least (ts, event_id). Repeats are first dropped where they are read, so of a busy
+    visitor a row per day and Arrow batch is shuffled. With ``salts`` over one they are then dropped
+    within so many parts of each visitor, at the price of a second state. State is kept per visitor and
+    a few days. Entries without a visitor are one visitor's, entries without a time one day's.
     """
     entries = pages.where(F.col("page.last_page_id").isNull())
     rows = entries.select(
-        F.col("common.mid").alias("mid"), millis_date("ts").alias("day"),
+        F.col("common.mid").alias("mid"), F.coalesce(F.unix_date(millis_date("ts")), F.lit(_NO_DAY)).alias("day"),
         F.coalesce("ts", F.lit(_LAST)).alias("at"), F.coalesce("event_id", F.lit(_LAST)).alias("number"),
         F.to_json(F.struct(*pages.columns)).alias("value"),
-    )
+    ).mapInArrow(_first_in_batch, _VISIT)
+    block = F.floor(F.col("day") / _DAYS).alias("_block")
     if salts > 1:
-        salted = rows.withColumn("_salt", F.pmod(F.hash("number"), F.lit(salts)))
-        rows = salted.groupBy("mid", "day", "_salt").transformWithState(
+        salted = rows.select("*", block, F.pmod(F.hash("number"), F.lit(salts)).alias("_salt"))
+        rows = salted.groupBy("mid", "_block", "_salt").transformWithState(
             FirstOfDay(keep), _VISIT, "append", "processingTime")
-    found = rows.groupBy("mid", "day").transformWithState(
+    found = rows.select("*", block).groupBy("mid", "_block").transformWithState(
         FirstOfDay(keep), _VISIT, "append", "processingTime")
     return found.select(F.from_json("value", pages.schema).alias("_row")).select("_row.*")
 
