@@ -175,6 +175,15 @@ def test_bounce_state_is_freed(spark):
     assert kept[0] >= 20 and kept[-1] <= 4
 
 
+def test_bounces_of_visitors_who_share_a_state(spark):
+    rows = visit_log()
+    stream = stream_visits.bounce_details(file_stream(spark, rows), TIMEOUT, "14 seconds", groups=1)
+    found = {(r.event_id, r.bounce_kind) for r in run.drained(spark, stream, "bounce").collect()}
+    closed = max(row[4] for row in rows) - 14_000
+    batch = visits.bounce_details(frame(spark, rows), TIMEOUT).where(F.col("ts") + TIMEOUT <= closed)
+    assert found == {(r.event_id, r.bounce_kind) for r in batch.collect()} and found
+
+
 class _Value:
     """A value state that counts writes, and the clock's time of a batch."""
 

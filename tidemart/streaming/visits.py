@@ -190,15 +190,16 @@ def repair_new_flag(pages: DataFrame, salts: int = 8) -> DataFrame:
     return rest.unionByName(back.select(*pages.columns))
 
 
-_BUCKET = "ts array<long>, number array<long>, entry array<boolean>, own array<boolean>, value array<string>"
+_BUCKET = "ts array<long>, number array<long>, entry array<boolean>, own array<boolean>, value array<string>, mid array<string>"
 _BOUNCE = "mid string, event_id long, ts long, bounce_kind string, value string"
 
 
 class BounceFinder(StatefulProcessor):
-    """Holds records of a visitor until the watermark lets their entries be decided.
+    """Holds records of visitors until the watermark lets their entries be decided.
 
-    The key is a visitor and a slice of time; records at the head of the next slice are
-    here too, as copies that are no ``own`` entries of the slice. State is a map with one entry per
+    The key is a group of visitors and a slice of time, so that visitors share reads and writes of
+    state; rows that name no visitor are the key's. Records at the head of the next slice are here
+    too, as copies that are no ``own`` entries of the slice. State is a map with one entry per
     bucket of time as long as the timeout. What decides an entry lies in its own bucket and the
     next one. One timer stands at the earliest timeout of an open entry, or bucket's end: it reads the
     buckets that are over by the watermark and the one after them, gives out what has timed out and
@@ -222,7 +223,9 @@ class BounceFinder(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         fresh: dict[int, list[tuple]] = {}
         for row in rows:
-            fresh.setdefault(row.ts // self._timeout, []).append((row.ts, row.event_id, row.entry, row.own, row.value))
+            mid = row.mid if "mid" in row else key[0]
+            fresh.setdefault(row.ts // self._timeout, []).append(
+                (row.ts, row.event_id, row.entry, row.own, row.value, mid))
         known = {key[0] for key in self._buckets.keys()}
         due = []
         for bucket, new in fresh.items():
@@ -244,20 +247,20 @@ class BounceFinder(StatefulProcessor):
             if any(row[3] for row in rows[bucket]):
                 if bucket + 1 not in rows:
                     rows[bucket + 1] = self._rows(bucket + 1)
-                near = sorted([*rows[bucket], *rows[bucket + 1]], key=lambda row: row[:2])
-                for (ts, number, _, mine, value), after in zip(near, [*near[1:], None]):
+                near = sorted([*rows[bucket], *rows[bucket + 1]], key=lambda row: (row[5] is None, row[5] or "", *row[:2]))
+                for (ts, number, _, mine, value, mid), after in zip(near, [*near[1:], None]):
                     if not mine or ts // self._timeout != bucket:
                         continue
                     if ts + self._timeout > seen:
-                        open_ = ts
-                        break
-                    if after is None or after[0] - ts >= self._timeout:
+                        open_ = ts if open_ is None else min(open_, ts)
+                        continue
+                    if after is None or after[5] != mid or after[0] - ts >= self._timeout:
                         kind = TIMED_OUT
                     elif after[2]:
                         kind = MATCHED
                     else:
                         continue
-                    found.append(Row(mid=key[0], event_id=number, ts=ts, bounce_kind=kind, value=value))
+                    found.append(Row(mid=mid, event_id=number, ts=ts, bounce_kind=kind, value=value))
             if open_ is None:
                 freed.append(bucket)
             else:
@@ -277,13 +280,15 @@ class BounceFinder(StatefulProcessor):
 
 
 def bounce_details(
-    pages: DataFrame, timeout: int = 10_000, delay: str = "14 seconds", width: int | None = None
+    pages: DataFrame, timeout: int = 10_000, delay: str = "14 seconds", width: int | None = None,
+    groups: int = 1024,
 ) -> DataFrame:
     """Bounced entries, given out once the watermark has passed their timeout.
 
-    State is held per visitor and slice of time, as in the batch form, so that catching up
-    on a busy visitor is spread over its slices. Records without a time are no one's neighbours
-    and are left out.
+    State is held per slice of time, as in the batch form, so that catching up on a busy visitor is
+    spread over its slices, and per group of visitors. ``groups`` is the number of these: a group's
+    records of one timeout are read and written together, so more visitors ask for more groups.
+    Records without a time are no one's neighbours and are left out.
     """
     body = [name for name in pages.columns if name not in ("event_id", "ts")]
     entry = F.col("page.last_page_id").isNull()
@@ -292,12 +297,12 @@ def bounce_details(
     spots = look_ahead_slices(F.col("ts"), timeout, width)
     mine = entry & (F.col("_slice") == own)
     rows = with_event_time(pages, delay).select("*", F.explode(spots).alias("_slice")).select(
-        F.col("common.mid").alias("mid"), "_slice", "event_id", "ts", "rt",
-        entry.alias("entry"), mine.alias("own"),
+        F.col("common.mid").alias("mid"), F.pmod(F.hash("common.mid"), F.lit(groups)).alias("_group"),
+        "_slice", "event_id", "ts", "rt", entry.alias("entry"), mine.alias("own"),
         F.when(mine, F.to_json(F.struct(*body))).alias("value"),
     )
     shape = StructType([pages.schema[name] for name in body])
-    found = rows.groupBy("mid", "_slice").transformWithState(
+    found = rows.groupBy("_group", "_slice").transformWithState(
         BounceFinder(timeout), _BOUNCE, "append", "eventTime")
     return found.withColumn("_b", F.from_json("value", shape)).select(
         "event_id", "ts", "_b.*", "bounce_kind"
