@@ -191,6 +191,34 @@ def test_layers_follow_their_files_and_split_a_busy_period(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def measures(spark, amounts):
+    shape = "sku_id long, ts long, id_kind string, id long, order_amount decimal(16,2)"
+    rows = spark.createDataFrame([(1, 5, "order", n, a) for n, a in enumerate(amounts)], shape)
+    others = {n: F.lit(0).cast("long") for n in stats._COUNTS} | {
+        n: F.lit(0).cast("decimal(16,2)") for n in ("payment_amount", "refund_amount")}
+    return rows.withColumns(others)
+
+
+def test_amounts_are_summed_as_whole_numbers_and_stay_exact(spark):
+    most = Decimal("99999999999999.99")
+    for amounts in ([most] * 3000, [-most] * 3000, [Decimal("-0.01"), Decimal("0.03")], [most, -most, None], [None]):
+        found = stats.product_sums(measures(spark, amounts))
+        known = [a for a in amounts if a is not None]
+        assert found.first().order_amount == (sum(known) if known else None)
+        assert "decimal" not in "".join(
+            line for line in plan_of(found).split("\n") if "HashAggregate" in line and "partial_sum" in line)
+
+
+def test_the_join_of_orders_moves_only_what_the_measures_read(spark, sf_dir):
+    kept = flows.product_inputs(spark, sf_dir)["orders"]
+    filled = kept.agg(*[F.count(n).alias(n) for n in kept.columns]).first().asDict()
+    assert {n for n, c in filled.items() if c} == {"order_id", "sku_id", "sku_num", "split_total_amount", "create_time"}
+
+
 def test_good_and_dirty_times_are_all_rows(spark, sf_dir):
     from tidemart import bind
     for rows in (bind.favor_info(spark, sf_dir), bind.cart_info(spark, sf_dir)):

@@ -7,10 +7,13 @@ into a set, and the same plan is allowed on a stream.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart import schemas
 from tidemart.functions.codes import APPRAISE
+from tidemart.functions.once import once
 from tidemart.functions.text import keyword_rows
 from tidemart.functions.times import millis_time, parse_millis, parse_time, seconds_time, time_text
 from tidemart.operators.orders import add_province
@@ -145,7 +148,7 @@ def product_rows(
     payments: DataFrame, refunds: DataFrame, comments: DataFrame,
 ) -> DataFrame:
     """Measure rows of the seven inputs; ``orders`` and ``payments`` are wide rows."""
-    created = parse_millis("create_time")
+    created = once(parse_millis("create_time"))
     good = F.when(F.col("appraise") == APPRAISE["good"], 1).otherwise(0)
     parts = [
         _product(favors, "favor", "create_time", created, favor_ct=F.lit(1)),
@@ -155,7 +158,7 @@ def product_rows(
             order_amount=F.col("split_total_amount"), order_sku_num=F.col("sku_num"),
         ),
         _product(
-            payments, "payment", "payment_create_time", parse_millis("payment_create_time"), PAID,
+            payments, "payment", "payment_create_time", once(parse_millis("payment_create_time")), PAID,
             payment_amount=F.col("split_total_amount"),
         ),
         _product(
@@ -204,13 +207,39 @@ def _usable(rows: DataFrame) -> Column:
     return usable & F.col("sku_id").isNotNull() if "sku_id" in rows.columns else usable
 
 
+# An amount has up to 14 digits before the point and 2 behind it. Its cents are summed in two parts of
+# whole numbers, the bits above and the bits below, which cannot overflow below a thousand million rows;
+# a sum of long decimals works on objects.
+_PARTS, _BITS = ("_high", "_low"), 30
+
+
+def _two_parts(name: str) -> list[Column]:
+    cents = (F.col(name).cast(schemas.MONEY) * F.lit(100)).cast("long")
+    low = cents.bitwiseAND(F.lit((1 << _BITS) - 1))
+    return [part.alias(name + end) for part, end in zip((F.shiftright(cents, _BITS), low), _PARTS)]
+
+
+def _one_amount(name: str) -> Column:
+    high, low = [F.col(name + end) for end in _PARTS]
+    small = high.between(-(1 << _BITS), 1 << _BITS) & (low < (1 << 2 * _BITS))
+    exact = high.cast("decimal(20,0)") * F.lit(1 << _BITS).cast("decimal(10,0)") + low
+    cents = F.when(small, (F.shiftleft(high, _BITS) + low).cast("decimal(20,0)")).otherwise(exact.cast("decimal(34,0)"))
+    return (cents * F.lit(Decimal("0.01"))).cast(schemas.MONEY_SUM).alias(name)
+
+
 def product_sums(
     rows: DataFrame, width: str = TEN_SECONDS, delay: str = "2 seconds"
 ) -> DataFrame:
-    """Sums and distinct order counts per window and article, without dimensions."""
-    timed = rows.withColumn("rt", millis_time("ts")).withWatermark("rt", delay)
+    """Sums and distinct order counts per window and article, without dimensions.
+
+    Amounts are summed as two whole numbers, see ``_two_parts``.
+    """
+    whole = [name for name in rows.columns if name not in _AMOUNTS]
+    timed = rows.select(*whole, *[part for name in _AMOUNTS for part in _two_parts(name)])
+    timed = timed.withColumn("rt", millis_time("ts")).withWatermark("rt", delay)
+    summed = _COUNTS + [f"{name}{end}" for name in _AMOUNTS for end in _PARTS]
     per_id = timed.groupBy(F.window("rt", width), "sku_id", "id_kind", "id").agg(
-        *[F.sum(name).alias(name) for name in _COUNTS + _AMOUNTS], F.min("ts").alias("ts")
+        *[F.sum(name).alias(name) for name in summed], F.min("ts").alias("ts")
     )
 
     def ids(kind: str) -> Column:
@@ -218,12 +247,14 @@ def product_sums(
         return F.sum(F.when(counted, 1).otherwise(0))
 
     sums = per_id.groupBy("window", "sku_id").agg(
-        *[F.sum(name).alias(name) for name in _COUNTS],
-        *[F.sum(name).cast(schemas.MONEY_SUM).alias(name) for name in _AMOUNTS],
+        *[F.sum(name).alias(name) for name in summed],
         ids(ORDERED).alias("order_ct"), ids(PAID).alias("paid_order_ct"),
         ids(REFUNDED).alias("refund_order_ct"), F.min("ts").alias("ts"),
     )
-    return sums.select("*", *_bounds()).drop("window")
+    counted = [name for name in sums.columns if name not in summed and name != "window"]
+    return sums.select(
+        *_COUNTS, *[_one_amount(name) for name in _AMOUNTS], *counted, *_bounds()
+    )
 
 
 def product_stats(

@@ -97,18 +97,24 @@ def wide_payments(spark: SparkSession, sf_dir: str, durations: Durations = SPARS
     )
 
 
+#: The fields of a joined order that measure rows and the payment join read.
+_MEASURED = ("order_id", "sku_id", "sku_num", "split_total_amount", "create_time")
+
+
 def product_inputs(
     spark: SparkSession, sf_dir: str, durations: Durations = SPARSE
 ) -> dict[str, DataFrame]:
     """The seven inputs of the product statistics.
 
     The joined orders are stored first, as the layer between the jobs, since both the
-    order rows and the payment join read them. They carry no dimensions: the statistics
-    look those up after aggregating.
+    order rows and the payment join read them. They carry the fields that these two read, and
+    no dimensions: the statistics look those up after aggregating. So the join of orders and
+    details moves a few numbers a row.
     """
     joined = joined_orders(spark, sf_dir, durations)
+    kinds = {field.name: field.dataType for field in joined.schema}
     wide = joined.select(*[
-        F.col(name) if name in joined.columns else F.lit(None).cast("string").alias(name)
+        F.col(name) if name in _MEASURED else F.lit(None).cast(kinds.get(name, "string")).alias(name)
         for name in schemas.ORDER_WIDE_COLUMNS
     ])
     layer = spark.read.schema(wide.schema).parquet(stored(spark, wide, "order-wide"))
