@@ -219,6 +219,20 @@ def test_the_join_of_orders_moves_only_what_the_measures_read(spark, sf_dir):
     assert {n for n, c in filled.items() if c} == {"order_id", "sku_id", "sku_num", "split_total_amount", "create_time"}
 
 
+def test_periods_are_dealt_without_computing_the_rows_for_a_sample(spark):
+    from tidemart.plans.layers import dealt_by_period
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(1000).select(F.lit("2024-01").alias("dt"), F.lit("2024-01-15 00:00:00").alias("stt"), "id")
+    dealt = dealt_by_period(rows.mapInPandas(count, rows.schema))
+    assert dealt.toPandas().id.nunique() == 1000 and seen.value == 1000 and dealt.columns == rows.columns
+
+
 def test_good_and_dirty_times_are_all_rows(spark, sf_dir):
     from tidemart import bind
     for rows in (bind.favor_info(spark, sf_dir), bind.cart_info(spark, sf_dir)):

@@ -18,6 +18,9 @@ from tidemart.session import fresh_dir
 
 PERIOD = "dt"
 
+#: Places that the rows of one period are dealt to, at least.
+PLACES = 2
+
 Stamp = tuple[tuple[str, int, int, int], ...]
 
 _built: dict[tuple[str, str, str], tuple[Stamp, str, StructType]] = {}
@@ -51,6 +54,18 @@ def stamp_of(spark: SparkSession, folder: str, tables: tuple[str, ...] | None =
     return tuple(sorted(stamp))
 
 
+def dealt_by_period(rows: DataFrame) -> DataFrame:
+    """Rows dealt to tasks by period, sorted by window start within each.
+
+    A period goes by hash to a few places. Adaptive execution then splits what is too large for a task and
+    joins what is small, so a busy period or window is written by several tasks and a sparse one shares
+    a task. Ranges would need a sample, for which the statistics would be computed a second time.
+    """
+    place = F.pmod(F.xxhash64(*rows.columns), F.lit(PLACES)).alias("_place")
+    dealt = rows.select("*", place).hint("rebalance", PERIOD, "_place").drop("_place")
+    return dealt.sortWithinPartitions(PERIOD, "stt")
+
+
 def layer(
     spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
     period_width: int | None = None, rebuild: bool = False, tables: tuple[str, ...] | None = None,
@@ -59,8 +74,7 @@ def layer(
     characters of ``stt``: 10 for days, 7 for months.
 
     Being stored, a layer's size is known when a job is planned, and so is whether it may be
-    broadcast. Rows are dealt by ranges of window start, and within one by hash, so a busy period
-    or window is written by several tasks and a sparse one shares a task with others.
+    broadcast. Rows are dealt by ``dealt_by_period``.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     stamp = stamp_of(spark, sf_dir, tables)
@@ -68,8 +82,7 @@ def layer(
         path, rows = fresh_dir(spark, name), build()
         if period_width:
             rows = rows.withColumn(PERIOD, F.substring("stt", 1, period_width))
-            dealt = rows.repartitionByRange(PERIOD, "stt", F.xxhash64(*rows.columns))
-            dealt.sortWithinPartitions(PERIOD, "stt").write.partitionBy(PERIOD).parquet(path)
+            dealt_by_period(rows).write.partitionBy(PERIOD).parquet(path)
         else:
             rows.write.parquet(path)
         _built[key] = stamp, path, rows.schema

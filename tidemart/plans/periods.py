@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemart.functions.times import millis_time, time_text
-from tidemart.plans.layers import PERIOD
+from tidemart.plans.layers import PERIOD, dealt_by_period
 
 DAYS, MONTHS = 10, 7
 _DAY = 86_400_000
@@ -100,9 +100,7 @@ class PeriodStatistics:
         if not periods:
             return []
         done = self.computed(periods).withColumn(PERIOD, F.substring("stt", 1, self.width))
-        # Rows are dealt by ranges of window start, so a busy period has several files.
-        dealt = done.repartitionByRange(PERIOD, "stt", F.xxhash64(*done.columns)).sortWithinPartitions(PERIOD, "stt")
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(
+        dealt_by_period(done).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(
             f"{self.path}/statistics")
         self._declare(done.schema, periods)
         return periods
