@@ -219,6 +219,13 @@ def test_the_join_of_orders_moves_only_what_the_measures_read(spark, sf_dir):
     assert {n for n, c in filled.items() if c} == {"order_id", "sku_id", "sku_num", "split_total_amount", "create_time"}
 
 
+def test_kept_statistics_join_the_orders_once(spark, sf_dir, monkeypatch):
+    from __spark_entry__ import queries
+    made = []
+    monkeypatch.setattr(flows, "product_measures", lambda *a, ask=flows.product_measures: made.append(1) or ask(*a))
+    assert queries()["stats_one_day_more"](spark, sf_dir).count() and len(made) == 1
+
+
 def test_periods_are_dealt_without_computing_the_rows_for_a_sample(spark):
     from tidemart.plans.layers import dealt_by_period
     seen = spark.sparkContext.accumulator(0)

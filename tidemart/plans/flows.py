@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidemart import bind, schemas
 from tidemart.operators import joins, logs, orders, stats, visits
@@ -200,11 +201,16 @@ def statistics(
     )
 
 
-def product_by_period(spark: SparkSession, sf_dir: str, path: str, durations: Durations = SPARSE) -> PeriodStatistics:
-    """Product statistics kept up from measure rows, which stand for themselves."""
-    rows = product_measures(spark, sf_dir, durations)
+def product_by_period(
+    spark: SparkSession, sf_dir: str, path: str, durations: Durations = SPARSE, schema: StructType | None = None
+) -> PeriodStatistics:
+    """Product statistics kept up from measure rows, which stand for themselves.
+
+    ``schema`` is that of the measure rows; without it they are made to learn it, which stores the joined orders.
+    """
+    schema = schema or product_measures(spark, sf_dir, durations).schema
     return PeriodStatistics(
-        spark, path, {"rows": rows.schema}, {"rows": "ts"},
+        spark, path, {"rows": schema}, {"rows": "ts"},
         lambda read: stats.product_stats(read["rows"], snowflake(spark, sf_dir), durations.product_window),
         durations.period_width,
     )

@@ -790,8 +790,9 @@ def _one_more(kept: PeriodStatistics, name: str, rows: DataFrame) -> DataFrame:
 @query
 def stats_one_day_more(spark, d):
     """Product statistics by period; the last day comes after all others."""
-    kept = flows.product_by_period(spark, d, fresh_dir(spark, "kept-product"))
-    return _one_more(kept, "rows", flows.product_measures(spark, d))
+    rows = flows.product_measures(spark, d)
+    kept = flows.product_by_period(spark, d, fresh_dir(spark, "kept-product"), schema=rows.schema)
+    return _one_more(kept, "rows", rows)
 
 
 @query
