@@ -226,3 +226,16 @@ def test_an_arrow_batch_keeps_the_first_of_visitor_and_day():
     batch = pa.RecordBatch.from_pylist([dict(zip(("mid", "day", "at", "number"), row)) for row in rows])
     found = [tuple(r.values()) for b in stream_visits._first_in_batch(iter([batch, batch[:0]])) for r in b.to_pylist()]
     assert sorted(found, key=repr) == sorted([rows[1], rows[4], rows[5], rows[6]], key=repr)
+
+
+def test_state_partitions_follow_the_rows(spark, sf_dir, monkeypatch):
+    from __spark_entry__ import queries
+    from tidemart.plans import queries as plans
+    cores = spark.sparkContext.defaultParallelism
+    assert run.state_partitions(spark, 0) == cores == run.state_partitions(spark, cores * run.ROWS_PER_STATE)
+    assert run.state_partitions(spark, 60 * run.ROWS_PER_STATE + 1) == 61
+    asked, ask = [], plans.stream_session
+    monkeypatch.setattr(run, "ROWS_PER_STATE", 500)
+    monkeypatch.setattr(plans, "stream_session", lambda s, n=None, **more: asked.append(n) or ask(s, n, **more))
+    found = queries()["stream_product_stats"](spark, sf_dir)
+    assert found.count() and asked[0] > cores

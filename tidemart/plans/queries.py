@@ -962,7 +962,7 @@ def stream_product_stats(spark, d):
     layer = run.stored(spark, rows.withColumn("kind", kinds), "product-rows")
     stored = spark.read.schema(rows.schema.add("kind", "string")).parquet(layer)
     frames = {k: stored.where(F.col("kind") == k).drop("kind") for k in ("page", "other", "order", "paid", "refund")}
-    own = stream_session(spark)
+    own = stream_session(spark, run.state_partitions(spark, stored.count()))
     dims = flows.snowflake(own, d)
 
     def plan(streams: dict[str, DataFrame]) -> DataFrame:

@@ -76,6 +76,15 @@ def in_order_of_time(
         yield {n: f"{base}/{n}" for n in kept}
 
 
+#: Rows of a topic that one state partition may be given over the whole run.
+ROWS_PER_STATE = 1_000_000
+
+
+def state_partitions(spark: SparkSession, rows: int) -> int:
+    """State partitions for so many rows, one per core at least, so that a task's memory does not grow with them."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_STATE))
+
+
 def stored(spark: SparkSession, df: DataFrame, name: str, format: str = "parquet") -> str:
     """Write a table to a fresh folder, which then serves as the files of a topic."""
     path = fresh_dir(spark, name)
