@@ -239,3 +239,12 @@ def test_state_partitions_follow_the_rows(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(plans, "stream_session", lambda s, n=None, **more: asked.append(n) or ask(s, n, **more))
     found = queries()["stream_product_stats"](spark, sf_dir)
     assert found.count() and asked[0] > cores
+
+
+def test_files_of_a_topic_have_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(run, "ROWS_PER_FILE", 10)
+    rows = spark.range(100).coalesce(1).withColumn("ts", F.col("id"))
+    for folders in run.in_order_of_time(spark, {"rows": rows}, {"rows": "ts"}, fresh_dir(spark, "bounded")):
+        pass
+    files = spark.read.parquet(folders["rows"]).groupBy(F.input_file_name()).count()
+    assert files.agg(F.max("count"), F.sum("count")).first()[:] == (10, 100)

@@ -963,6 +963,8 @@ def stream_product_stats(spark, d):
     stored = spark.read.schema(rows.schema.add("kind", "string")).parquet(layer)
     frames = {k: stored.where(F.col("kind") == k).drop("kind") for k in ("page", "other", "order", "paid", "refund")}
     own = stream_session(spark, run.state_partitions(spark, stored.count()))
+    # Rows combine in memory before the shuffle, so a task reads few files.
+    own.conf.set("spark.sql.files.maxPartitionBytes", "16m")
     dims = flows.snowflake(own, d)
 
     def plan(streams: dict[str, DataFrame]) -> DataFrame:

@@ -72,10 +72,13 @@ def in_order_of_time(
     for part in range(parts):
         for n, frame in kept.items():
             mine = F.coalesce(F.floor((F.col(times[n]) - low) / width), F.lit(0)) == part
-            frame.where(mine).write.mode("append").parquet(f"{base}/{n}")
+            frame.where(mine).write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{base}/{n}")
         yield {n: f"{base}/{n}" for n in kept}
 
 
+#: Rows of a file of a topic at most, so that a task that reads one has a bounded share.
+ROWS_PER_FILE = 500_000
+
 #: Rows of a topic that one state partition may be given over the whole run.
 ROWS_PER_STATE = 1_000_000
 
