@@ -974,6 +974,27 @@ def stream_product_stats(spark, d):
     return run.drained_in_order(spark, own, frames, dict.fromkeys(frames, "ts"), plan, "product-stats")
 
 
+def _joined_topics(
+    spark: SparkSession, frames: dict[str, DataFrame], on: dict[str, str], time: str, bounds: tuple[int, int],
+    name: str, plan: Callable[[DataFrame], DataFrame] = lambda pairs: pairs, **options: str,
+) -> DataFrame:
+    """A plan over the interval join of two topics that come in several runs, in order of time."""
+    base = fresh_dir(spark, name)
+    # No state is kept by partition, so there may be many; small ones are joined while a micro-batch runs.
+    own = stream_session(spark, 16 * spark.sparkContext.defaultParallelism)
+    times = (time, time)
+
+    def write(pairs: DataFrame, batch_id: int) -> None:
+        plan(pairs).write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+
+    joining = stream_joins.interval_joining(on, times, *bounds, f"{base}/kept", write, **options)
+    for part in run.in_order_of_time(spark, frames, dict.fromkeys(frames, time), f"{base}/in"):
+        streams = [own.readStream.schema(frame.schema).parquet(part[topic]) for topic, frame in frames.items()]
+        run.drain_to_batches(stream_joins.both_topics(*streams), joining, f"{base}/checkpoint")
+    shape = plan(joins.interval_join(*frames.values(), on, times, *bounds)).schema
+    return spark.read.schema(shape).parquet(f"{base}/out").drop("batch_id")
+
+
 @query
 def stream_order_wide(spark, d):
     frames = {
@@ -982,16 +1003,12 @@ def stream_order_wide(spark, d):
     }
     bound = DURATIONS.order_bound
 
-    def plan(streams: dict[str, DataFrame]) -> DataFrame:
-        pairs = stream_joins.interval_join(
-            streams["orders"], streams["details"], {"id": "order_id"}, ("create_ts", "create_ts"),
-            -bound, bound,
-        )
+    def plan(pairs: DataFrame) -> DataFrame:
         wide = orders.merge_order_detail(pairs)
         return wide.drop("split_feight_fee", "expire_time", "operate_time")
 
-    own = stream_session(spark)
-    return run.drained_in_order(spark, own, frames, dict.fromkeys(frames, "create_ts"), plan, "order-wide")
+    return _joined_topics(
+        spark, frames, {"id": "order_id"}, "create_ts", (-bound, bound), "order-wide", plan, copy="left")
 
 
 @query
@@ -1000,16 +1017,9 @@ def stream_payment_wide(spark, d):
         "payments": orders.parse_created(bind.payment_info(spark, d)),
         "orders": orders.parse_created(flows.wide_orders(spark, d)),
     }
-
-    def plan(streams: dict[str, DataFrame]) -> DataFrame:
-        pairs = stream_joins.interval_join(
-            streams["payments"], streams["orders"], {"order_id": "order_id"},
-            ("create_ts", "create_ts"), DURATIONS.payment_lower, DURATIONS.payment_upper,
-        )
-        return orders.merge_payment(pairs)
-
-    own = stream_session(spark)
-    return run.drained_in_order(spark, own, frames, dict.fromkeys(frames, "create_ts"), plan, "payment-wide")
+    bounds = (DURATIONS.payment_lower, DURATIONS.payment_upper)
+    return _joined_topics(
+        spark, frames, {"order_id": "order_id"}, "create_ts", bounds, "payment-wide", orders.merge_payment, copy="left")
 
 
 @query
@@ -1057,14 +1067,8 @@ def stream_keyword_stats(spark, d):
 
 def _stream_ttl(spark: SparkSession, d: str, how: str) -> DataFrame:
     frames = {kind: bind.sensors(spark, d, kind) for kind in ("view", "click")}
-
-    def plan(streams: dict[str, DataFrame]) -> DataFrame:
-        return stream_joins.ttl_join(
-            streams["view"], streams["click"], _SENSOR_KEY, _SENSOR_TIME, SENSOR_BOUND, how
-        )
-
-    own = stream_session(spark)
-    return run.drained_in_order(spark, own, frames, dict.fromkeys(frames, "ts"), plan, f"ttl-{how}")
+    bounds = (-SENSOR_BOUND, SENSOR_BOUND)
+    return _joined_topics(spark, frames, _SENSOR_KEY, "ts", bounds, f"ttl-{how}", how=how)
 
 
 @query
