@@ -2,8 +2,10 @@
 
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,6 +192,51 @@ def test_repeats_in_parts_of_long_texts(spark, monkeypatch):
     assert [r[1:] for r in removal(documents(spark, texts))] == want
 
 
+def streamed(step, table, key):
+    """What a step gives for a table that comes sorted, in batches of ten rows, and the most of these it took at a time."""
+    rows = pa.Table.from_pylist(sorted(table.to_pylist(), key=key), table.schema)
+    taken, seen, waits, found = 0, 0, [0], []
+
+    def batches():
+        nonlocal taken
+        for batch in rows.to_batches(max_chunksize=10):
+            taken += 1
+            yield batch
+
+    for out in step(batches()):
+        waits.append(taken - seen)
+        seen = taken
+        found.append(out)
+    return pa.Table.from_batches(found), max(waits), taken
+
+
+@pytest.mark.parametrize("crowded", [3, 1000])
+def test_repeats_hold_few_rows_of_a_partition(monkeypatch, crowded):
+    for name, most in (("ROWS", 30), ("STRINGS", 200), ("BYTES", 8000)):
+        monkeypatch.setattr(repeats, name, most)
+    texts = [(t or "").encode() for t in REPEATING + near_copies(12) + [prose(8, 200)] * 3 + ["x" * 900]]
+    docs = pa.RecordBatch.from_pylist([{"doc_id": i, "h": 7, "text": t.decode()} for i, t in enumerate(texts)])
+    scanned = pa.Table.from_batches(repeats._scan(iter([docs])))
+    routes = [
+        None if r["kind"] == repeats._SETTLED else r["anchor"] ^ r["context"] >> 1 if r["kind"] == repeats._MIXED else r["anchor"]
+        for r in scanned.to_pylist()]
+    settled, wait, batches = streamed(
+        repeats._settle, scanned.append_column("route", pa.array(routes, pa.int64())), lambda r: (r["route"] is not None, r["route"] or 0))
+    assert wait < 8 < 20 < batches
+    spans = [(r["doc_id"], r["first"], r["last"] + repeats.SIZE) for r in settled.to_pylist() if r["kind"] == repeats._SETTLED]
+    mixed = [r for r in settled.to_pylist() if r["kind"] == repeats._MIXED]
+    sizes = Counter(r["anchor"] for r in mixed)
+    wanted = [[r | {"crowded": sizes[r["anchor"]] > crowded} for r in mixed if r["doc_id"] == i] for i in range(len(texts))]
+    contexts = list(repeats._fetch(iter([docs.append_column("wanted", pa.array(wanted))])))
+    assert len(contexts) > 4 and max(b.nbytes for b in contexts) < 40_000  # one context of single strings at least
+    ranges, wait, batches = streamed(
+        repeats._sort, pa.Table.from_batches(contexts), lambda r: (r["single"], r["route"], r["bytes"] if r["single"] else b""))
+    assert wait < 4 < batches
+    spans += [(r["doc_id"], r["start"], r["end"]) for r in ranges.to_pylist()]
+    found = [len(set().union(*[range(a, b) for i, a, b in spans if i == n])) for n in range(len(texts))]
+    assert found == [r[1] for r in brute.repeats([t.decode() for t in texts])]
+
+
 def test_repeated_rows_and_no_rows(spark):
     docs = documents(spark, [prose(1, 60)] * 2).withColumn("doc_id", F.lit(None).cast("long"))
     n = len(prose(1, 60))

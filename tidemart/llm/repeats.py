@@ -27,15 +27,19 @@ hashed in parts; a text's bytes and ranges must fit a worker's memory.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemart.llm.common import stored, text_of
 
 SIZE, GRAM, SHALLOW, CROWDED = 200, 50, 24, 1 << 16
+#: What a step holds at once: anchors, strings, and bytes of text.
+ROWS, STRINGS, BYTES = 1 << 17, 1 << 18, 1 << 24
 _PART = (1 << 20) - 512
 _BASE = 0x9E3779B97F4A7C15
 _SETTLED, _LONE, _MARK, _MIXED = 0, 1, 2, 3
@@ -97,6 +101,40 @@ def anchors(text: bytes) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
+def _pieces(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of so many bytes of text; a longer text stands alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        end = max(int(np.searchsorted(ends, before + most, "right")), start + 1)
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def _whole_groups(
+    batches: Iterator[pa.RecordBatch], weight: Callable[[pa.RecordBatch], int], most: int
+) -> Iterator[pa.Table]:
+    """Rows sorted by ``route`` in tables that hold all rows of a route, of little over ``most`` where one route has no more."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += weight(batch)
+        if size < most or held[0]["route"][0] == batch["route"][-1]:
+            continue
+        table = pa.Table.from_batches(held)
+        route = table["route"].to_numpy()
+        cut = int(np.flatnonzero(route != route[-1])[-1]) + 1
+        yield table.slice(0, cut)
+        held = table.slice(cut).to_batches()
+        size = sum(map(weight, held))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 _ANCHOR = "kind int, anchor long, context long, first long, last long, place long, done boolean"
 
 
@@ -124,7 +162,7 @@ def _rows(columns: tuple[np.ndarray, ...], owners: pa.Array, hashes: pa.Array) -
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors of a batch of documents, with what the batch settles by itself."""
-    for batch in batches:
+    for batch in (piece for whole in batches for piece in _pieces(whole, 2, BYTES)):
         texts = batch.column(2).cast(pa.binary()).to_pylist()
         parts = [anchors(t) for t in texts]
         owner = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
@@ -150,14 +188,31 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a partition's anchors: settled ranges, and one row per context still to be compared."""
-    table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-    if table is None or not table.num_rows:
-        return
+    """Of a partition's anchors: settled ranges, and one row per context still to be compared.
+
+    The rows come sorted by route; the settled ones have none and come first.
+    """
+    def open_rows() -> Iterator[pa.RecordBatch]:
+        if rest is not None:
+            yield rest
+        yield from batches
+
+    rest = None
+    for batch in batches:
+        settled = batch["route"].null_count
+        yield batch.slice(0, settled).drop_columns(["route"])
+        if settled < batch.num_rows:
+            rest = batch.slice(settled)
+            break
+    for table in _whole_groups(open_rows(), lambda b: b.num_rows, ROWS):
+        yield from _settled(table)
+
+
+def _settled(table: pa.Table) -> Iterator[pa.RecordBatch]:
     kind = table["kind"].to_numpy()
     anchor, context = (table[c].to_numpy().view(np.uint64) for c in ("anchor", "context"))
     done = table["done"].to_numpy()
-    keep = [np.flatnonzero(kind == _SETTLED)]
+    keep: list[np.ndarray] = []
     compare: list[np.ndarray] = []
     for kinds in ((_LONE, _MARK), (_MIXED,)):
         own = np.flatnonzero(np.isin(kind, kinds))
@@ -192,30 +247,40 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some["doc_id"].combine_chunks(), some["h"].combine_chunks())
 
 
+_CONTEXT = "route long, single boolean, offset long, first long, done boolean, bytes binary"
+
+
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the wanted contexts; crowded anchors give their strings one by one."""
-    for batch in batches:
-        owner, route, offset, first, done, out = [], [], [], [], [], []
+    for batch in (piece for whole in batches for piece in _pieces(whole, 2, BYTES >> 1)):
+        found: list[tuple] = []
+        held = 0
         for row, (text, wanted) in enumerate(zip(batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist())):
             for w in wanted:
-                own = text[w["first"] : w["last"] + SIZE]
-                cuts = [(w["anchor"], 0, own)]
+                own, offset = text[w["first"] : w["last"] + SIZE], w["place"] - w["first"]
                 if w["crowded"]:
                     strings = [own[k : k + SIZE] for k in range(len(own) - SIZE + 1)]
-                    cuts = [(int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True), k, s) for k, s in enumerate(strings)]
-                for key, k, piece in cuts:
-                    owner.append(row)
-                    route.append(key)
-                    offset.append(w["place"] - w["first"] - k)
-                    first.append(w["first"] + k)
-                    done.append(w["done"])
-                    out.append(piece)
-        rows = pa.array(owner, pa.int64())
-        yield pa.RecordBatch.from_arrays([
-            pa.array(route, pa.int64()), pa.array(offset, pa.int64()), pa.array(first, pa.int64()),
-            pa.array(done, pa.bool_()), pa.array(out, pa.binary()),
-            batch.column(0).take(rows), batch.column(1).take(rows),
-        ], names=["route", "offset", "first", "done", "bytes", "doc_id", "h"])
+                    found.extend(
+                        (int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True),
+                         True, offset - k, w["first"] + k, w["done"], s, row) for k, s in enumerate(strings))
+                    held += SIZE * len(strings)
+                else:
+                    found.append((w["anchor"], False, offset, w["first"], w["done"], own, row))
+                    held += len(own)
+                if held > BYTES >> 1:
+                    yield _contexts(found, batch)
+                    found, held = [], 0
+        if found:
+            yield _contexts(found, batch)
+
+
+def _contexts(found: list[tuple], batch: pa.RecordBatch) -> pa.RecordBatch:
+    *columns, owner = zip(*found)
+    rows = pa.array(owner, pa.int64())
+    kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [*map(pa.array, columns, kinds), batch.column(0).take(rows), batch.column(1).take(rows)],
+        names=["route", "single", "offset", "first", "done", "bytes", "doc_id", "h"])
 
 
 class BlindTrie:
@@ -307,44 +372,102 @@ def equal_strings(buffer: np.ndarray, starts: np.ndarray, group: np.ndarray) ->
     return repeated
 
 
+def _bounds(binaries: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an array of binaries, and where each begins and the last one ends."""
+    binaries = binaries.cast(pa.binary())
+    _, ends, data = binaries.buffers()
+    bounds = np.frombuffer(ends, np.int32)[binaries.offset : binaries.offset + len(binaries) + 1]
+    return np.frombuffer(data, np.uint8), bounds.astype(np.int64)
+
+
+def _strings(batch: pa.RecordBatch) -> int:
+    """How many strings of SIZE bytes the contexts hold."""
+    return pc.sum(pc.binary_length(batch["bytes"])).as_py() - (SIZE - 1) * batch.num_rows
+
+
 def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranges of the strings that repeat among the contexts of a partition."""
-    table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-    if table is None or not table.num_rows:
-        return
+    """Ranges of the strings that repeat among the contexts of a partition.
+
+    Contexts come first, sorted by route; then the strings of crowded anchors, sorted by route and bytes.
+    """
+    rest: list[pa.RecordBatch] = []
+
+    def contexts() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = batch.num_rows - (pc.sum(batch["single"]).as_py() or 0)
+            if whole:
+                yield batch.slice(0, whole)
+            if whole < batch.num_rows:
+                rest.append(batch.slice(whole))
+                return
+
+    for table in _whole_groups(contexts(), _strings, STRINGS):
+        yield from _sorted(table)
+    yield from _neighbours(chain(rest, batches))
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges of the single strings that equal the one before or after them; the last waits for the next batch."""
+    last, known = None, False
+    for batch in batches:
+        rows = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+        if not rows.num_rows:
+            continue
+        buffer, bounds = _bounds(rows["bytes"])
+        strings = buffer[bounds[0] : bounds[-1]].reshape(-1, SIZE)
+        same = (strings[1:] == strings[:-1]).all(1)
+        repeated = np.append(same, False)
+        repeated[1:] |= same
+        repeated[0] |= known
+        last, known = rows.slice(len(same)), bool(repeated[-1])
+        yield _single_ranges(rows.slice(0, len(same)), repeated[:-1])
+    if last is not None:
+        yield _single_ranges(last, np.array([known]))
+
+
+def _single_ranges(rows: pa.RecordBatch, repeated: np.ndarray) -> pa.RecordBatch:
+    some = rows.filter(pa.array(repeated & ~rows["done"].to_numpy(zero_copy_only=False)))
+    return pa.RecordBatch.from_arrays(
+        [some["doc_id"], some["h"], some["first"], pc.add(some["first"], SIZE)], names=["doc_id", "h", "start", "end"])
+
+
+def _sorted(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Ranges of the strings that repeat within the groups of a table."""
     route, offset, first, done = (table[c].to_numpy() for c in ("route", "offset", "first", "done"))
-    contexts = table["bytes"].to_pylist()
-    sizes = np.array([len(c) for c in contexts])
-    buffer = np.frombuffer(b"".join(contexts), np.uint8)
-    begin = np.cumsum(sizes) - sizes
-    counts = sizes - SIZE + 1
-    owner = np.repeat(np.arange(len(sizes)), counts)
-    step = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    # Equal strings have their anchor at the same distance.
-    keys = np.stack([route[owner], offset[owner] - step], 1)
-    order = np.lexsort((keys[:, 1], keys[:, 0]))
-    new = np.ones(len(order), bool)
-    new[1:] = (keys[order][1:] != keys[order][:-1]).any(1)
-    group = np.empty(len(order), np.int64)
-    group[order] = np.cumsum(new)
-    repeated = equal_strings(buffer, begin[owner] + step, group) & ~done[owner]
-    hit = np.flatnonzero(repeated)
-    if not len(hit):
-        return
-    run = np.ones(len(hit), bool)
-    run[1:] = (owner[hit][1:] != owner[hit][:-1]) | (step[hit][1:] != step[hit][:-1] + 1)
-    lead = hit[run]
-    tail = hit[np.append(run[1:], True)]
-    rows = pa.array(owner[lead])
-    some = table.take(rows)
-    yield pa.RecordBatch.from_arrays([
-        some["doc_id"].combine_chunks(), some["h"].combine_chunks(),
-        pa.array(first[owner[lead]] + step[lead]), pa.array(first[owner[tail]] + step[tail] + SIZE),
-    ], names=["doc_id", "h", "start", "end"])
+    buffer, bounds = _bounds(table["bytes"].combine_chunks())
+    begin, counts = bounds[:-1], np.diff(bounds) - SIZE + 1
+    number = np.cumsum(np.append(False, route[1:] != route[:-1]))
+    # Equal strings have their anchor at the same distance, so a few distances at a time will do.
+    farthest = int(offset.max())
+    edges = np.zeros(farthest + 2, np.int64)
+    np.add.at(edges, offset - counts + 1, 1)
+    np.add.at(edges, offset + 1, -1)
+    there = np.cumsum(edges[:-1])
+    low = 0
+    while low <= farthest:
+        high = max(int(np.searchsorted(np.cumsum(there[low:]), 2 * STRINGS, "right")) + low, low + 1)
+        lead, tail = np.maximum(offset - high + 1, 0), np.minimum(offset - low, counts - 1)
+        some = np.maximum(tail - lead + 1, 0)
+        owner = np.repeat(np.arange(len(some)), some)
+        step = np.arange(len(owner)) - np.repeat(np.cumsum(some) - some - lead, some)
+        group = number[owner] * (farthest + 1) + offset[owner] - step
+        hit = np.flatnonzero(equal_strings(buffer, begin[owner] + step, group) & ~done[owner])
+        low = high
+        if not len(hit):
+            continue
+        run = np.ones(len(hit), bool)
+        run[1:] = (owner[hit][1:] != owner[hit][:-1]) | (step[hit][1:] != step[hit][:-1] + 1)
+        lead = hit[run]
+        tail = hit[np.append(run[1:], True)]
+        found = table.select(["doc_id", "h"]).take(pa.array(owner[lead]))
+        yield pa.RecordBatch.from_arrays([
+            found["doc_id"].combine_chunks(), found["h"].combine_chunks(),
+            pa.array(first[owner[lead]] + step[lead]), pa.array(first[owner[tail]] + step[tail] + SIZE),
+        ], names=["doc_id", "h", "start", "end"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (piece for whole in batches for piece in _pieces(whole, 1, BYTES >> 1)):
         out: list[tuple] = []
         for text, ranges in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
             kept, spans, removed, seen = hashlib.sha256(), 0, 0, 0
@@ -367,9 +490,11 @@ def repeated_ranges(rows: DataFrame, key: str, crowded: int = CROWDED) -> DataFr
     """(doc_id, h, start, end): the repeated strings of ``rows`` (doc_id, h, text)."""
     shape = f"{_ANCHOR}, doc_id {key}, h long"
     scanned = rows.mapInArrow(_scan, shape)
-    by = F.when(F.col("kind") == _SETTLED, F.xxhash64("h", "first")).when(
-        F.col("kind") == _MIXED, F.xxhash64("anchor", "context")).otherwise(F.xxhash64("anchor"))
-    settled = stored(scanned.repartition(by).mapInArrow(_settle, shape), "anchors")
+    over = F.col("kind") == _SETTLED
+    group = F.when(F.col("kind") == _MIXED, F.xxhash64("anchor", "context")).otherwise(F.xxhash64("anchor"))
+    dealt = scanned.repartition(F.when(over, F.xxhash64("doc_id", "h", "first")).otherwise(group))
+    dealt = dealt.withColumn("route", F.when(~over, group)).sortWithinPartitions(F.asc_nulls_first("route"))
+    settled = stored(dealt.mapInArrow(_settle, shape), "anchors")
     wanted = settled.where(F.col("kind") == _MIXED)
     crowds = stored(wanted.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > crowded), "crowded")
     marked = wanted.join(crowds.select("anchor", F.lit(True).alias("crowded")), "anchor", "left")
@@ -379,9 +504,10 @@ def repeated_ranges(rows: DataFrame, key: str, crowded: int = CROWDED) -> DataFr
     fetched = rows.join(
         by_doc, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("h").eqNullSafe(F.col("_h"))
     ).select("doc_id", "h", "text", "wanted").mapInArrow(
-        _fetch, f"route long, offset long, first long, done boolean, bytes binary, doc_id {key}, h long")
-    compared = fetched.repartition(F.xxhash64("route")).mapInArrow(
-        _sort, f"doc_id {key}, h long, start long, end long")
+        _fetch, f"{_CONTEXT}, doc_id {key}, h long")
+    compared = fetched.repartition(F.xxhash64("route")).sortWithinPartitions(
+        "single", "route", F.when(F.col("single"), F.col("bytes"))
+    ).mapInArrow(_sort, f"doc_id {key}, h long, start long, end long")
     return settled.where(F.col("kind") == _SETTLED).select(
         "doc_id", "h", F.col("first").alias("start"), (F.col("last") + SIZE).alias("end")
     ).union(compared)
