@@ -1,5 +1,6 @@
 """Streaming forms over several files against the batch forms."""
 
+import glob
 import random
 
 import pyarrow as pa
@@ -8,9 +9,9 @@ from pyspark.sql import Row, functions as F
 
 from tests.pages import PAGES, frame, page
 from tidemart.operators import joins, logs, stats, visits
-from tidemart.session import fresh_dir, stream_session
+from tidemart.session import fresh_dir, shared_root, stream_session
 from tidemart.streaming import joins as stream_joins
-from tidemart.streaming import run
+from tidemart.streaming import run, windows
 from tidemart.streaming import visits as stream_visits
 
 TIMEOUT = 10_000
@@ -248,3 +249,46 @@ def test_files_of_a_topic_have_bounded_rows(spark, monkeypatch):
         pass
     files = spark.read.parquet(folders["rows"]).groupBy(F.input_file_name()).count()
     assert files.agg(F.max("count"), F.sum("count")).first()[:] == (10, 100)
+
+
+MEASURES = ", ".join([
+    "sku_id long, ts long", *[f"{n} long" for n in stats._COUNTS], *[f"{n} decimal(16,2)" for n in stats._AMOUNTS],
+    "id_kind string, id long"])
+
+
+def test_closed_windows_are_those_of_the_stream(spark):
+    """Rows out of order, one that is late, times missing and before 1970, a micro-batch without any time."""
+    draw, path = random.Random(6), fresh_dir(spark, "measures")
+    times = [[n * 900 - draw.choice([0, 0, 1_500]) for n in range(a, a + 60)] for a in (-20, 40, 100)]
+    for some in (*times, [None, None], [500_000], [500_001, 3_000, 499_000]):
+        rows = [
+            (draw.choice([1, 2, None]), ts, *[draw.randrange(3) for _ in stats._COUNTS], *[draw.randrange(9) for _ in stats._AMOUNTS],
+             draw.choice([None, stats.ORDERED, stats.PAID]), draw.choice([7, 8, None])) for ts in some]
+        columns = spark.createDataFrame(rows, MEASURES.replace("decimal(16,2)", "long"))
+        typed = columns.select(*[F.col(n).cast("decimal(16,2)") if n in stats._AMOUNTS else n for n in columns.columns])
+        typed.coalesce(1).write.mode("append").parquet(path)
+    own, base = stream_session(spark, 2), fresh_dir(spark, "closed")
+
+    def stream():
+        return own.readStream.schema(MEASURES).option("maxFilesPerTrigger", 1).parquet(path)
+
+    def write(closed, batch_id):
+        stats.product_sums(closed).write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+
+    want = run.drained(spark, stats.product_sums(stream()), "sums")
+    run.drain_to_batches(stream(), windows.closing("ts", stats.TEN_SECONDS, 2_000, f"{base}/kept", write), f"{base}/checkpoint")
+    found = spark.read.schema(want.schema).parquet(f"{base}/out").drop("batch_id")
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, want.collect())) and want.count() > 20
+    late = want.agg(F.max("edt")).first()[0]
+    assert late < "1970-01-01 00:08:20"  # the window of the last rows is open
+
+
+def test_stream_product_stats_keeps_open_windows_only(spark, sf_dir):
+    from __spark_entry__ import queries
+    folders = f"{shared_root(spark)}/product-stats-*"
+    before = set(glob.glob(folders))
+    assert queries()["stream_product_stats"](spark, sf_dir).count()
+    (base,) = set(glob.glob(folders)) - before
+    assert not glob.glob(f"{base}/checkpoint/state")
+    read = spark.read.parquet(f"{base}/in/*").count()
+    assert 0 < spark.read.parquet(f"{base}/kept/1/rows").count() < read / 20

@@ -25,7 +25,7 @@ from tidemart.sources import changes as change_sources
 from tidemart.sources import tables as table_sources
 from tidemart.sources import topics as topic_sources
 from tidemart.streaming import joins as stream_joins
-from tidemart.streaming import claims, renewed, run
+from tidemart.streaming import claims, renewed, run, windows
 from tidemart.streaming import visits as stream_visits
 from tidemart.streaming.dims import fresh_lookup
 from tidemart.streaming.rules import current_dimension, dimension_batches, routed_batches
@@ -40,6 +40,7 @@ _registry: dict[str, Query] = {}
 DURATIONS = flows.SPARSE
 SENSOR_BOUND = flows.HOUR
 RENEWED_TTL = 24 * flows.HOUR
+PRODUCT_DELAY = 2000
 VISIT_DAY = "20240115"
 SALES_FROM, SALES_TO = "19970101", "19981231"
 SALES_DATE = "1998-02-08"
@@ -955,23 +956,37 @@ def stream_visitor_stats(spark, d):
 
 @query
 def stream_product_stats(spark, d):
-    """Statistics over a union of streams, one per kind of input, with the watermark after it."""
+    """Statistics over a union of streams, one per kind of input, with the watermark after it.
+
+    Each micro-batch gives the windows that its watermark closes; the rows of open ones are kept for the next.
+    """
     rows = flows.product_measures(spark, d)
     kinds = F.when(F.col("id_kind").isNotNull(), F.col("id_kind")).when(
         F.col("click_ct") + F.col("display_ct") > 0, "page").otherwise("other")
-    layer = run.stored(spark, rows.withColumn("kind", kinds), "product-rows")
+    layer = run.stored(spark, rows.withColumn("kind", kinds), "product-rows", partition_by=("kind",))
     stored = spark.read.schema(rows.schema.add("kind", "string")).parquet(layer)
     frames = {k: stored.where(F.col("kind") == k).drop("kind") for k in ("page", "other", "order", "paid", "refund")}
-    own = stream_session(spark, run.state_partitions(spark, stored.count()))
+    # No state is kept by partition, so there may be many; a task's rows stay few if they are not merged.
+    own = stream_session(spark, 4 * run.state_partitions(spark, stored.count()))
+    own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     # Rows combine in memory before the shuffle, so a task reads few files.
     own.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    # What a micro-batch has shuffled is of no use to the next one.
+    own.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     dims = flows.snowflake(own, d)
+    base = fresh_dir(spark, "product-stats")
 
-    def plan(streams: dict[str, DataFrame]) -> DataFrame:
-        union = reduce(DataFrame.unionByName, streams.values())
+    def plan(union: DataFrame) -> DataFrame:
         return stats.product_stats(union, dims, DURATIONS.product_window)
 
-    return run.drained_in_order(spark, own, frames, dict.fromkeys(frames, "ts"), plan, "product-stats")
+    def write(closed: DataFrame, batch_id: int) -> None:
+        plan(closed).write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+
+    closing = windows.closing("ts", DURATIONS.product_window, PRODUCT_DELAY, f"{base}/kept", write)
+    for part in run.in_order_of_time(spark, frames, dict.fromkeys(frames, "ts"), f"{base}/in", written=True):
+        streams = [own.readStream.schema(frame.schema).parquet(part[topic]) for topic, frame in frames.items()]
+        run.drain_to_batches(reduce(DataFrame.unionByName, streams), closing, f"{base}/checkpoint")
+    return spark.read.schema(plan(frames["page"]).schema).parquet(f"{base}/out").drop("batch_id")
 
 
 def _joined_topics(

@@ -57,12 +57,14 @@ def drained_in_order(
 
 def in_order_of_time(
     spark: SparkSession, frames: dict[str, DataFrame], times: dict[str, str], base: str, parts: int = 2,
+    written: bool = False,
 ) -> Iterator[dict[str, str]]:
     """Folders of topics, given out once each further part of the common span of time has come.
 
-    The frames are stored first, so that each is evaluated once.
+    The frames are stored first, so that each is evaluated once; not so what is ``written`` already.
     """
-    kept = {n: spark.read.schema(f.schema).parquet(stored(spark, f, n)) for n, f in frames.items()}
+    kept = frames if written else {
+        n: spark.read.schema(f.schema).parquet(stored(spark, f, n)) for n, f in frames.items()}
     ends = [
         frame.agg(F.min(times[n]).alias("lo"), F.max(times[n]).alias("hi")).first() for n, frame in kept.items()
     ]
@@ -88,8 +90,13 @@ def state_partitions(spark: SparkSession, rows: int) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_STATE))
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str, format: str = "parquet") -> str:
+def stored(
+    spark: SparkSession, df: DataFrame, name: str, format: str = "parquet", partition_by: tuple[str, ...] = ()
+) -> str:
     """Write a table to a fresh folder, which then serves as the files of a topic."""
     path = fresh_dir(spark, name)
-    df.write.format(format).save(path)
+    writer = df.write.format(format)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
     return path
