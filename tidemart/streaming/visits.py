@@ -297,7 +297,7 @@ def bounce_details(
     spots = look_ahead_slices(F.col("ts"), timeout, width)
     mine = entry & (F.col("_slice") == own)
     rows = with_event_time(pages, delay).select("*", F.explode(spots).alias("_slice")).select(
-        F.col("common.mid").alias("mid"), F.pmod(F.hash("common.mid"), F.lit(groups)).alias("_group"),
+        F.col("common.mid").alias("mid"), F.pmod(F.xxhash64("common.mid"), F.lit(groups)).cast("int").alias("_group"),
         "_slice", "event_id", "ts", "rt", entry.alias("entry"), mine.alias("own"),
         F.when(mine, F.to_json(F.struct(*body))).alias("value"),
     )
